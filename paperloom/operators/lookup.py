@@ -25,7 +25,12 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def salt_of(columns: Sequence[str | Column], salts: int) -> Column:
-    """A repeatable salt, so that a retried task sends its rows where they went before."""
+    """A repeatable salt, so that a retried task sends its rows where they went before.
+
+    Without columns to tell rows apart there is nothing to salt by.
+    """
+    if not columns:
+        return F.lit(0)
     return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
 
 

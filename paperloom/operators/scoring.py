@@ -45,6 +45,21 @@ class TermModel:
         return scores
 
 
+@dataclass(frozen=True)
+class TermLabels:
+    """A multi-label model: one weight per vocabulary term and label, as probabilities."""
+
+    vocabulary: Sequence[str]
+    weights: Sequence[Sequence[float]]
+    biases: Sequence[float]
+
+    def __call__(self, texts: np.ndarray) -> np.ndarray:
+        lowered = [text.lower() for text in texts]
+        counts = np.array([[t.count(term) for term in self.vocabulary] for t in lowered], float)
+        scores = counts @ np.array(self.weights, float).T + np.array(self.biases, float)
+        return 1.0 / (1.0 + np.exp(-np.clip(scores, -700, 700)))
+
+
 def loaded(model: Model) -> Callable[[], Model]:
     """A loader for a model small enough to travel with the task."""
     return lambda: model

@@ -70,12 +70,16 @@ def label(
     fill_order: Sequence[str] = ("first", "last", "journal"),
     lower_terms: Iterable[str] = constants.LOWER_INCOME_TERMS,
 ) -> DataFrame:
-    """Second stage: maturity, characteristics, countries, flags and year."""
+    """Second stage: countries, flags and year, then maturity and characteristics.
+
+    The country step reads its input more than once, so ``screened`` should be a written
+    table (the hand-off). The models come last and see each article once.
+    """
     chosen = F.col("include") == 1
-    scored = score_binary(screened, "mature", models.mature, where=chosen)
+    placed = add_country_columns(screened, gazetteers, chosen, fill_order, lower_terms)
+    scored = score_binary(placed, "mature", models.mature, where=chosen)
     scored = scored.withColumn("mature", zero_filled(F.col("mature")))
-    scored = score_multilabel(scored, models.characteristics, where=chosen)
-    return add_country_columns(scored, gazetteers, chosen, fill_order, lower_terms)
+    return score_multilabel(scored, models.characteristics, where=chosen)
 
 
 def add_country_columns(

@@ -1,0 +1,47 @@
+"""Row-by-row comparison of a Spark query with its SQL twin."""
+
+import math
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    connection = duckdb.connect()
+    for name in TABLES:
+        path = Path(folder) / f"{name}.parquet"
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def _cell(value):
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"
+    return value
+
+
+def _sorted_rows(rows):
+    cells = [tuple(_cell(v) for v in row) for row in rows]
+    return sorted(cells, key=lambda row: tuple((v is None, str(type(v)), v if v is not None else 0) for v in row))
+
+
+def differences(frame, connection, sql: str) -> str | None:
+    """None when names, Python types and values agree; otherwise what differs first."""
+    result = connection.sql(sql)
+    names = sorted(result.columns)
+    if names != sorted(frame.columns):
+        return f"columns {sorted(frame.columns)} against {names}"
+    wanted = _sorted_rows(result.select(", ".join(f'"{n}"' for n in names)).fetchall())
+    got = _sorted_rows(tuple(r) for r in frame.select(*names).collect())
+    if len(wanted) != len(got):
+        return f"{len(got)} rows against {len(wanted)}"
+    for ours, theirs in zip(got, wanted):
+        if ours != theirs or [type(v) for v in ours] != [type(v) for v in theirs]:
+            bad = [(n, a, b) for n, a, b in zip(names, ours, theirs) if a != b or type(a) is not type(b)]
+            return f"first difference {str(bad)[:800]}"
+    return None
