@@ -12,7 +12,7 @@ from paperloom.operators import filters, merge, quality, rollup, scoring
 from paperloom.operators.places import Gazetteers, countries_of_texts
 from paperloom.plans import stages, tables
 from paperloom.plans.tables import table, to_xml
-from paperloom.session import work_folder
+from paperloom.session import spread, work_folder
 from paperloom.sources import articles
 from paperloom.streaming import handoff, incremental
 
@@ -25,19 +25,19 @@ def _day(column: str | Column) -> Column:
     return F.date_format(column, "yyyy-MM-dd")
 
 
-def _scoring_text(spark: SparkSession, folder: str) -> DataFrame:
-    rows = tables.prose(spark, folder)
+def _scoring_text(spark: SparkSession, folder: str, costly: bool = True) -> DataFrame:
+    rows = tables.prose(spark, folder, costly)
     return rows.select(
         "pmid", "abstract", feature_text(F.col("title"), F.col("abstract")).alias("feature")
     )
 
 
 def feature_text_query(spark: SparkSession, folder: str) -> DataFrame:
-    return _scoring_text(spark, folder).select("pmid", "feature")
+    return _scoring_text(spark, folder, costly=False).select("pmid", "feature")
 
 
 def search_filter(spark: SparkSession, folder: str) -> DataFrame:
-    rows = tables.prose(spark, folder).withColumn("mesh_terms", F.array("source"))
+    rows = tables.prose(spark, folder, costly=True).withColumn("mesh_terms", F.array("source"))
     hits = articles.match_search(
         rows,
         phrases=[*constants.SEARCH_PHRASES, *tables.PHRASES],
@@ -103,7 +103,7 @@ def _prose_records(spark: SparkSession, folder: str) -> DataFrame:
         },
         {},
     )
-    return tables.prose(spark, folder).select(record.alias("record"))
+    return tables.prose(spark, folder, costly=True).select(record.alias("record"))
 
 
 SCALARS = [
@@ -136,7 +136,8 @@ def _line_lists(spark: SparkSession, folder: str, *columns: Column) -> DataFrame
     lists = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.array_sort(F.collect_list(entry)).alias("lines")
     )
-    return table(spark, folder, "orders").select("o_orderkey").join(lists, "o_orderkey", "left")
+    orders = spread(table(spark, folder, "orders").select("o_orderkey"))
+    return orders.join(lists, "o_orderkey", "left")
 
 
 def _pmid_part() -> dict[str, Column]:
@@ -165,7 +166,7 @@ def xml_doi(spark: SparkSession, folder: str) -> DataFrame:
 
 def _dated_records(spark: SparkSession, folder: str) -> DataFrame:
     """Records whose dates are partly missing, partly no real day."""
-    orders = table(spark, folder, "orders")
+    orders = spread(table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate"))
     year, month, day = (F.col(c) for c in ("Year", "Month", "Day"))
     parts = orders.select("o_orderkey", "o_orderpriority", *tables.date_parts(F.col("o_orderdate")))
     urgent = F.col("o_orderpriority") == "1-URGENT"
@@ -406,8 +407,7 @@ def _summaries(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with the roll-up's first, last and distinct countries and a journal country."""
     summary = rollup.rollup_summary(_country_rows(spark, folder), "pmid", tables.AUTHOR_ORDER)
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("pmid"), "o_custkey")
-    rows = orders.join(tables.journals(spark, folder), "o_custkey", "left").drop("o_custkey")
-    return rows.join(summary, "pmid", "left")
+    return tables.with_journal_country(orders, folder).join(summary, "pmid", "left")
 
 
 def fill_country(spark: SparkSession, folder: str) -> DataFrame:

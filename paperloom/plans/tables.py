@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from paperloom.constants import CHARACTERISTICS
 from paperloom.operators.places import Gazetteers
 from paperloom.operators.scoring import TermLabels, TermModel
+from paperloom.session import spread
 from paperloom.sources.gazetteers import bounded_names
 
 # The countries the numbered nations stand for.
@@ -73,8 +74,10 @@ def abstract_of(text: Column) -> Column:
     return F.when(newline > 0, F.substr(text, newline + 1))
 
 
-def prose(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents")
+def prose(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
+    """Documents as articles; ``costly`` spreads a small table over the cores."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    documents = spread(documents) if costly else documents
     return documents.select(
         F.col("doc_id").alias("pmid"),
         title_of(F.col("text")).alias("title"),
@@ -90,27 +93,36 @@ def nations(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "nation").select("n_nationkey", country.alias("country"))
 
 
-def institutions(spark: SparkSession, folder: str) -> DataFrame:
-    suppliers = table(spark, folder, "supplier").select(
+def suppliers(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), "s_name", F.col("s_nationkey").alias("n_nationkey")
     )
-    return suppliers.join(nations(spark, folder), "n_nationkey", "left").drop("n_nationkey")
 
 
-def journals(spark: SparkSession, folder: str) -> DataFrame:
+def institutions(spark: SparkSession, folder: str) -> DataFrame:
+    sited = suppliers(spark, folder).join(nations(spark, folder), "n_nationkey", "left")
+    return sited.drop("n_nationkey")
+
+
+def with_journal_country(orders: DataFrame, folder: str) -> DataFrame:
+    """Add the customer's country as the journal country, one small join after the other."""
+    spark = orders.sparkSession
     customers = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
     )
-    homes = customers.join(nations(spark, folder), "n_nationkey", "left")
-    return homes.select("o_custkey", F.col("country").alias("journal_country"))
+    homes = nations(spark, folder).withColumnRenamed("country", "journal_country")
+    rows = orders.join(customers, "o_custkey", "left").join(homes, "n_nationkey", "left")
+    return rows.drop("n_nationkey", "o_custkey")
 
 
-def author_lines(spark: SparkSession, folder: str) -> DataFrame:
+def author_lines(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
     """One row per author position with the institution and its country."""
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", *AUTHOR_ORDER, "l_returnflag", "l_linestatus"
     )
-    return lines.join(institutions(spark, folder), "l_suppkey", "left")
+    lines = spread(lines) if costly else lines
+    sited = lines.join(suppliers(spark, folder), "l_suppkey", "left")
+    return sited.join(nations(spark, folder), "n_nationkey", "left").drop("n_nationkey")
 
 
 def second_countries(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,7 +169,7 @@ def mixed_text() -> Column:
 
 
 def affiliation_lines(spark: SparkSession, folder: str, text: Column) -> DataFrame:
-    lines = author_lines(spark, folder).join(
+    lines = author_lines(spark, folder, costly=True).join(
         second_countries(spark, folder), "l_linenumber", "left"
     )
     return lines.withColumn("affil", text)
@@ -239,7 +251,7 @@ def article_records(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("pmid"), "o_custkey", F.col("o_orderdate").cast("date").alias("day")
     )
-    rows = orders.join(journals(spark, folder), "o_custkey", "left")
+    rows = with_journal_country(spread(orders), folder)
     rows = rows.join(prose(spark, folder), "pmid", "left")
     rows = rows.join(
         article_lines(spark, folder).withColumnRenamed("l_orderkey", "pmid"), "pmid", "left"

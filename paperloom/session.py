@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", app: str = "paperloom", **conf: str) -> SparkSession:
@@ -12,6 +12,7 @@ def local_session(cores: str = "8", app: str = "paperloom", **conf: str) -> Spar
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
@@ -34,3 +35,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/paperloom/{name}-{uuid.uuid4().hex}"
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a small scan over all cores ahead of costly expressions.
+
+    Only a scan with fewer partitions than cores is shuffled, so a large table stays as
+    it was read.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -24,9 +24,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def records_from_text(df: DataFrame, xml: str) -> DataFrame:
-    """Nested records held as XML text in a column."""
+    """Nested records held as XML text in a column.
+
+    ``inline`` keeps later filters above the parser. Pushed below it they would parse the
+    text again for every column they test.
+    """
     parsed = F.from_xml(F.col(xml), F.lit(_record_ddl()), XML_OPTIONS)
-    return df.select(parsed.alias("record")).select("record.*")
+    return df.select(F.inline(F.array(parsed)))
 
 
 def _record_ddl() -> str:
