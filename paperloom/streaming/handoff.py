@@ -7,9 +7,13 @@ CORRUPT = "_corrupt_record"
 
 
 def encode_rows(df: DataFrame, into: str = "data") -> DataFrame:
-    """One message per row, so a table of any size is never held as one message."""
+    """One message per row, so a table of any size is never held as one message.
+
+    Line breaks that the encoder may put into long messages are taken out again.
+    """
     payload = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    return df.select(F.base64(F.encode(payload, "UTF-8")).alias(into))
+    message = F.translate(F.base64(F.encode(payload, "UTF-8")), "\r\n", "")
+    return df.select(message.alias(into))
 
 
 def decode_rows(messages: DataFrame, schema: str, column: str = "data") -> DataFrame:
