@@ -21,15 +21,17 @@ def contains_any(text: Column, patterns: Iterable[str]) -> Column:
     return text.rlike("|".join(minimal_terms(patterns)))
 
 
-def contains_phrase(text: Column, phrases: Iterable[str]) -> Column:
-    return contains_any(text, [re.escape(p) for p in phrases])
+def search_pattern(phrases: Iterable[str], all_words: Iterable[Iterable[str]]) -> str:
+    """One pattern for any of the phrases, or all words of a set, anywhere in a text.
 
-
-def contains_all(text: Column, words: Iterable[str]) -> Column:
-    condition = F.lit(True)
-    for word in words:
-        condition = condition & text.contains(word)
-    return condition
+    The text is then built and searched once. A word set is tested by looking ahead from
+    the start of the text.
+    """
+    found = [re.escape(phrase) for phrase in minimal_terms(phrases)]
+    together = [
+        r"\A" + "".join(f"(?=(?s:.*?){re.escape(word)})" for word in words) for words in all_words
+    ]
+    return "|".join([*found, *together])
 
 
 def any_starts_with(items: Column, prefixes: Iterable[str]) -> Column:

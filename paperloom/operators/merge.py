@@ -9,7 +9,10 @@ from pyspark.sql.utils import AnalysisException
 
 from paperloom import schemas
 from paperloom.functions.text import render_list
-from paperloom.operators.lookup import attach
+from paperloom.operators.lookup import BROADCAST_BYTES, attach
+
+# Room for one key of an id type in a broadcast table.
+KEY_BYTES = 48
 
 
 def stage(df: DataFrame, path: str, schema: str | None = None) -> DataFrame:
@@ -30,17 +33,20 @@ def insert_new(
     target: DataFrame,
     key: str = "pmid",
     dedupe_by: Sequence[str] | None = None,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """Source rows whose key is not in the target; nothing is updated or deleted.
 
     Repeats inside the source are all kept unless ``dedupe_by`` names columns, of which
     the largest picks one row per key. A NULL key matches nothing and is kept.
 
-    The target's keys are first reduced to those in the source. For a small batch against
-    a large table that is one broadcast and a scan of the key column, without a shuffle of
-    the table; the second join then meets few keys.
+    The target's keys are first reduced to those in the source; the second join then
+    meets few keys. When the caller counted the batch, ``batch_rows``, and its keys are
+    small, they are broadcast: the table's key column is scanned but never shuffled.
     """
     batch_keys = source.select(key).where(F.col(key).isNotNull()).distinct()
+    if batch_rows is not None and batch_rows * KEY_BYTES <= BROADCAST_BYTES:
+        batch_keys = F.broadcast(batch_keys)
     if dedupe_by is not None:
         source = newest_per_key(source, key, dedupe_by)
     seen = target.select(key).join(batch_keys, key, "left_semi").distinct()
@@ -70,6 +76,12 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def countable(source: DataFrame, key: str) -> int | None:
+    """Rows of a written batch, or None when its keys have no bounded width."""
+    fixed = isinstance(source.schema[key].dataType, (T.IntegralType, T.DateType))
+    return source.count() if fixed else None
+
+
 def append_new(
     source: DataFrame,
     path: str,
@@ -79,11 +91,14 @@ def append_new(
 ) -> None:
     """Insert-only merge into the Parquet table at ``path``; returns when it is written.
 
-    Assumes a single writer, as plain Parquet has no transactions.
+    ``source`` is read more than once and should be staged. Assumes a single writer, as
+    plain Parquet has no transactions.
     """
     target = read_table(source.sparkSession, path, schema)
     columns = list(T.StructType.fromDDL(schema).fieldNames())
-    fresh = insert_new(source.select(*columns), target, key, dedupe_by)
+    fresh = insert_new(
+        source.select(*columns), target, key, dedupe_by, countable(source, key)
+    )
     fresh.write.mode("append").parquet(path)
 
 

@@ -49,29 +49,42 @@ def rollup_summary(
     )
 
 
-def rollup_lists(
+def ordered_entries(
     rows: DataFrame,
     key: str,
     order: Sequence[str],
-    country: str = "country",
+    values: Sequence[str],
+    into: str = "entries",
     salts: int = 8,
 ) -> DataFrame:
-    """The full ordered country list per article, with distinct set, first and last.
+    """Per key, the list of its rows as structs of ``order`` and ``values``, in order.
 
-    The rows of an article are first sorted in ``salts`` parts, in different tasks, and
-    the sorted parts are then merged. The final list is one cell, as large as the article.
+    The rows of a key are first sorted in ``salts`` parts, in different tasks, and the
+    sorted parts are then merged. The final list is one cell, as large as the record it
+    belongs to; where only first, last or distinct values are wanted use
+    ``rollup_summary``, which builds no list.
     """
-    entry = F.struct(*order, F.col(country).alias("__country"))
+    entry = F.struct(*order, *values)
     parts = (
         rows.withColumn("__part", salt_of(list(order), salts))
         .groupBy(key, "__part")
         .agg(F.array_sort(F.collect_list(entry)).alias("__items"))
     )
     merged = F.array_sort(F.flatten(F.collect_list("__items")))
-    lists = parts.groupBy(key).agg(
-        F.transform(merged, lambda item: item.getField("__country")).alias("affil_countries")
-    )
-    return list_columns(lists)
+    return parts.groupBy(key).agg(merged.alias(into))
+
+
+def rollup_lists(
+    rows: DataFrame,
+    key: str,
+    order: Sequence[str],
+    country: str = "country",
+    salts: int = 8,
+) -> DataFrame:
+    """The full ordered country list per article, with distinct set, first and last."""
+    entries = ordered_entries(rows, key, order, [country], "__entries", salts)
+    countries = F.transform("__entries", lambda entry: entry.getField(country))
+    return list_columns(entries.select(key, countries.alias("affil_countries")))
 
 
 def rendered(df: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ def feature_text_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_filter(spark: SparkSession, folder: str) -> DataFrame:
-    rows = tables.prose(spark, folder, costly=True).withColumn("mesh_terms", F.array("source"))
+    rows = tables.prose(spark, folder).withColumn("mesh_terms", F.array("source"))
     hits = articles.match_search(
         rows,
         phrases=[*constants.SEARCH_PHRASES, *tables.PHRASES],
@@ -129,13 +129,10 @@ def xml_file_scan(spark: SparkSession, folder: str) -> DataFrame:
     return articles.read_articles(spark, landing).select(*SCALARS)
 
 
-def _line_lists(spark: SparkSession, folder: str, *columns: Column) -> DataFrame:
+def _line_lists(spark: SparkSession, folder: str, *values: str) -> DataFrame:
     """Orders with their line items as one ordered list, built from the given fields."""
-    lines = table(spark, folder, "lineitem")
-    entry = F.struct(*tables.AUTHOR_ORDER, *columns)
-    lists = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.array_sort(F.collect_list(entry)).alias("lines")
-    )
+    lines = table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    lists = rollup.ordered_entries(lines, "o_orderkey", tables.AUTHOR_ORDER, values, "lines")
     orders = spread(table(spark, folder, "orders").select("o_orderkey"))
     return orders.join(lists, "o_orderkey", "left")
 
@@ -145,7 +142,7 @@ def _pmid_part() -> dict[str, Column]:
 
 
 def xml_doi(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _line_lists(spark, folder, F.col("l_returnflag"))
+    rows = _line_lists(spark, folder, "l_returnflag")
     ids = F.transform(
         "lines",
         lambda x: F.struct(
@@ -219,9 +216,7 @@ def _render(column: str) -> Column:
 
 
 def xml_author_lists(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _line_lists(
-        spark, folder, F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_discount")
-    )
+    rows = _line_lists(spark, folder, "l_returnflag", "l_linestatus", "l_discount")
     people = F.transform(
         "lines",
         lambda x: F.struct(
@@ -250,7 +245,7 @@ def xml_author_lists(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def xml_term_lists(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _line_lists(spark, folder, F.col("l_returnflag"), F.col("l_tax"))
+    rows = _line_lists(spark, folder, "l_returnflag", "l_tax")
     lines, present = F.col("lines"), F.col("lines").isNotNull()
     words = F.transform(lines, lambda x: F.concat(F.lit("word "), x.getField("l_suppkey")))
     headings = F.transform(

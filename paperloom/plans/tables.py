@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from paperloom.constants import CHARACTERISTICS
 from paperloom.operators.places import Gazetteers
+from paperloom.operators.rollup import ordered_entries
 from paperloom.operators.scoring import TermLabels, TermModel
 from paperloom.session import spread
 from paperloom.sources.gazetteers import bounded_names
@@ -204,12 +205,10 @@ def article_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_size"
     )
     lines = affiliation_lines(spark, folder, mixed_text()).join(parts, "l_partkey", "left")
-    entry = F.struct(
-        *AUTHOR_ORDER, "s_name", "affil", "p_name", "p_type", "p_size", "l_returnflag",
-        "l_linestatus",
-    )
-    ordered = F.array_sort(F.collect_list(entry)).alias("lines")
-    return lines.groupBy("l_orderkey").agg(ordered)
+    values = [
+        "s_name", "affil", "p_name", "p_type", "p_size", "l_returnflag", "l_linestatus",
+    ]
+    return ordered_entries(lines, "l_orderkey", AUTHOR_ORDER, values, "lines")
 
 
 def nested(

@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 
 from paperloom import constants, schemas
 from paperloom.functions import record
-from paperloom.functions.terms import contains_all, contains_phrase
+from paperloom.functions.terms import search_pattern
 from paperloom.functions.text import slashed_date
 
+MONTH = "landed_month"
 XML_OPTIONS = {"rowTag": schemas.RECORD_TAG, "ignoreSurroundingSpaces": "false"}
 
 
@@ -73,6 +74,34 @@ def read_articles(spark: SparkSession, path: str, **rules) -> DataFrame:
     return flatten_records(read_records(spark, path), **rules)
 
 
+def land(articles: DataFrame, path: str, date_column: str = "pubmed_date") -> None:
+    """Append articles to a Parquet landing table with one partition per month.
+
+    Records are parsed once, here. Later runs read columns and only the months they need.
+    The rebalance hint splits a month that is too large and joins small ones.
+    """
+    month = F.date_format(F.col(date_column), "yyyy-MM")
+    monthly = articles.withColumn(MONTH, F.coalesce(month, F.lit("unknown")))
+    rebalanced = monthly.hint("rebalance", F.col(MONTH))
+    rebalanced.write.mode("append").partitionBy(MONTH).parquet(path)
+
+
+def read_landed(
+    spark: SparkSession,
+    path: str,
+    lo: date | None = None,
+    hi: date | None = None,
+    date_column: str = "pubmed_date",
+) -> DataFrame:
+    """Landed articles of the window; months outside it are not listed for reading."""
+    rows = spark.read.schema(f"{schemas.ARTICLE}, {MONTH} string").parquet(path)
+    if lo is not None:
+        rows = rows.where(F.col(MONTH) >= F.lit(f"{lo:%Y-%m}"))
+    if hi is not None:
+        rows = rows.where(F.col(MONTH) <= F.lit(f"{hi:%Y-%m}"))
+    return date_window(rows, date_column, lo, hi).drop(MONTH)
+
+
 def search_predicate(
     title: Column,
     abstract: Column,
@@ -83,9 +112,7 @@ def search_predicate(
 ) -> Column:
     """Any phrase, any full set of words, or any subject heading; case is ignored."""
     text = F.lower(F.concat_ws(" ", title, abstract))
-    wanted = contains_phrase(text, phrases)
-    for words in all_words:
-        wanted = wanted | contains_all(text, words)
+    wanted = text.rlike(search_pattern(phrases, all_words))
     if headings is not None:
         terms = list(heading_terms)
         hit = F.exists(headings, lambda h: F.lower(h).isin(terms))

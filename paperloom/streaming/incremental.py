@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paperloom.operators.merge import insert_new, read_table, stage
+from paperloom.operators.merge import countable, insert_new, read_table, stage
 
 PART = "batch"
 
@@ -47,7 +47,8 @@ def incremental_sink(
             rows = stage(transform(batch).select(*columns), staging, schema)
         rows = rows.select(*columns)
         table = read_table(batch.sparkSession, target, f"{schema}, {PART} string")
-        fresh = insert_new(rows, table.where(F.col(PART) != name), key, dedupe_by)
+        earlier = table.where(F.col(PART) != name)
+        fresh = insert_new(rows, earlier, key, dedupe_by, countable(rows, key))
         fresh.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{PART}={name}")
 
     return insert

@@ -1,11 +1,12 @@
 """Scalar expressions, term lists, search, window, mark and flags on hand-made rows."""
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom import constants
+from paperloom import constants, schemas
 from paperloom.functions import terms, text
 from paperloom.operators import filters, rollup
 from paperloom.sources import articles, gazetteers
@@ -214,3 +215,22 @@ def test_normalised_fill(spark):
 def test_year(spark):
     frame = spark.createDataFrame([(date(2024, 5, 1),), (None,)], "pubmed_date date")
     assert {r.year for r in rollup.add_year(frame).collect()} == {2024, None}
+
+
+def test_landed_months_are_pruned(spark, tmp_path):
+    days = [date(2023, 12, 31), date(2024, 1, 1), date(2024, 2, 10), date(2024, 3, 1), None]
+    frame = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "pmid long, pubmed_date date")
+    missing = {
+        name: F.lit(None).cast(kind)
+        for name, kind in (part.split(" ") for part in schemas.ARTICLE.split(", "))
+        if name not in frame.columns
+    }
+    columns = [part.split(" ")[0] for part in schemas.ARTICLE.split(", ")]
+    path = str(tmp_path / "landed")
+    articles.land(frame.withColumns(missing).select(*columns), path)
+    window = articles.read_landed(spark, path, date(2024, 1, 1), date(2024, 2, 10))
+    assert {r.pmid for r in window.collect()} == {1, 2}
+    assert {Path(f).parent.name for f in window.inputFiles()} >= {"landed_month=2024-01"}
+    shown = window._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(landed_month" in shown
+    assert articles.read_landed(spark, path).count() == 5

@@ -80,3 +80,21 @@ def test_empty_affiliation_list_is_a_problem(spark):
     problem = quality.country_problem(F.col("include") == 1, F.col("affils"), F.col("countries"))
     found = [r[0] for r in frame.select(problem).collect()]
     assert found == ["empty affiliation list", None, None, None, None]
+
+
+def test_a_counted_small_batch_never_shuffles_the_table(spark, tmp_path):
+    spark.range(100000).withColumn("n", F.lit(1)).withColumnRenamed("id", "pmid").write.parquet(
+        str(tmp_path / "main")
+    )
+    target = spark.read.parquet(str(tmp_path / "main"))
+    source = spark.createDataFrame([(5, 1), (200000, 1)], ROW)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = merge.insert_new(source, target, batch_rows=source.count())
+        shown = fresh._jdf.queryExecution().toString()
+        assert rows(fresh) == [(200000, 1)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [pmid" in shown and "LeftSemi, BuildRight" in shown
+    assert merge.countable(source, "pmid") == 2
+    assert merge.countable(source.select(F.lit("x").alias("pmid")), "pmid") is None

@@ -161,3 +161,21 @@ def test_lookup_paths_agree(spark, how):
     derived = sorted(map(str, attach(facts, table, "k", how).collect()))
     assert small == large == derived
     assert measured_bytes(table) > 0
+
+
+def test_salted_lookup_splits_a_hot_key(spark):
+    """A third of the rows share one key; no task of the shuffled join gets them all."""
+    facts = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).cast("long").alias("k"), "id"
+    )
+    table = spark.range(30000).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup(facts, table, "k", limit_bytes=0, salts=16)
+        sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r["count"] for r in sizes) == 30000
+    assert max(r["count"] for r in sizes) < 30000 / 3
