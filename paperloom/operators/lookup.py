@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 32 << 20
 SALTS = 16
+NULL_SALTS = 1024
 _SALT = "__salt"
 _ROW_OVERHEAD = 32
 
@@ -64,9 +65,11 @@ def attach(facts: DataFrame, table: DataFrame, on: str, how: str = "left") -> Da
 
     Measuring a derived table would compute it twice, so Spark picks the join at run time
     from the shuffled sizes, and its adaptive skew join splits a hot key. Rows with a
-    NULL key match nothing; a salt keeps them from meeting in one task.
+    NULL key match nothing; a salt keeps them from meeting in one task. The salt of every
+    other row is 0, taken from the key: as a constant it would be dropped from the join.
     """
     others = [c for c in facts.columns if c != on]
-    salt = F.when(F.col(on).isNull(), salt_of(others, 1024)).otherwise(0)
-    keyed = table.where(F.col(on).isNotNull()).withColumn(_SALT, F.lit(0))
+    zero = salt_of([on], 1)
+    salt = F.when(F.col(on).isNull(), salt_of(others, NULL_SALTS)).otherwise(zero)
+    keyed = table.where(F.col(on).isNotNull()).withColumn(_SALT, zero)
     return facts.withColumn(_SALT, salt).join(keyed, [on, _SALT], how).drop(_SALT)

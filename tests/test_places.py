@@ -163,19 +163,29 @@ def test_lookup_paths_agree(spark, how):
     assert measured_bytes(table) > 0
 
 
-def test_salted_lookup_splits_a_hot_key(spark):
-    """A third of the rows share one key; no task of the shuffled join gets them all."""
+@pytest.mark.parametrize(
+    "hot, join",
+    [
+        (0, lambda facts, table: lookup(facts, table, "k", limit_bytes=0, salts=16)),
+        (None, lambda facts, table: lookup(facts, table, "k", limit_bytes=0, salts=16)),
+        (None, lambda facts, table: attach(facts, table, "k")),
+        (None, lambda facts, table: attach(facts, table.select("k"), "k", "left_anti")),
+    ],
+)
+def test_shuffled_joins_split_a_hot_key(spark, hot, join):
+    """A third of the rows share one key or none; no task of the join gets them all."""
     facts = spark.range(30000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).cast("long").alias("k"), "id"
+        F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id")).cast("long").alias("k"), "id"
     )
     table = spark.range(30000).select(F.col("id").alias("k"), F.lit("x").alias("name"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = lookup(facts, table, "k", limit_bytes=0, salts=16)
+        joined = join(facts, table)
         sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sum(r["count"] for r in sizes) == 30000
-    assert max(r["count"] for r in sizes) < 30000 / 3
+    total = sum(r["count"] for r in sizes)
+    assert total == (10000 if "id" in joined.columns and len(joined.columns) == 2 else 30000)
+    assert max(r["count"] for r in sizes) < total / 4
