@@ -9,7 +9,7 @@ class TooManyFailures(RuntimeError):
 
 
 def batch_stats(
-    df: DataFrame, date_column: str | None = None, flags: tuple[str, ...] = ()
+    date_column: str | None = None, flags: tuple[str, ...] = ()
 ) -> dict[str, Column]:
     """The batch's metrics: row count, latest date and the sum of each flag."""
     stats = {"row_count": F.count("*")}

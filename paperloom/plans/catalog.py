@@ -71,7 +71,7 @@ def batch_stats(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderdate")
     known = documents.withColumn("known", F.lit(1))
     rows = orders.join(known, "doc_id", "left").join(labels, "doc_id", "left")
-    metrics = quality.batch_stats(rows, "o_orderdate", ("quality", "toxic", "known"))
+    metrics = quality.batch_stats("o_orderdate", ("quality", "toxic", "known"))
     stats = rows.agg(*[column.alias(name) for name, column in metrics.items()])
     return stats.withColumn("latest_date", slashed_date(F.col("latest_date")))
 

@@ -4,17 +4,19 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom import constants, schemas
 from paperloom.functions.text import feature_text, zero_filled
 from paperloom.operators import quality, rollup
 from paperloom.operators.filters import scoring_candidate
-from paperloom.operators.merge import append_new, stage, to_main_layout
+from paperloom.operators.merge import append_new, read_table, stage, to_main_layout
 from paperloom.operators.places import Gazetteers, countries_of_articles
 from paperloom.operators.scoring import Model, TermModel, score_binary, score_multilabel
-from paperloom.sources.articles import date_window, mark_date, match_search
+from paperloom.sources.articles import date_window, mark_date, match_search, read_landed
+from paperloom.streaming import handoff
+from paperloom.streaming.incremental import run_incremental
 
 BinaryModel = TermModel | Callable[[], Model]
 
@@ -115,3 +117,61 @@ def load_main(
     staged = stage(to_main_layout(watched), staging, schemas.MAIN)
     quality.gate(counts, max_failure_ratio)
     append_new(staged, main, schemas.MAIN)
+
+
+def publish_new(
+    spark: SparkSession,
+    landed: str,
+    main: str,
+    messages: str,
+    model: BinaryModel,
+    today: date,
+    search: dict | None = None,
+    limit: int | None = constants.MAX_HITS,
+) -> dict:
+    """First stage as a daily run: landed articles since the mark become messages.
+
+    Returns the batch's counts, gathered while the messages are written.
+    """
+    table = read_table(spark, main, schemas.MAIN)
+    window = read_landed(spark, landed, mark_date(table, "pubmed_date"), today)
+    found = new_articles(window, table, today, search=search, limit=limit)
+    screened = screen(found, model)
+    metrics = quality.batch_stats("pubmed_date", ("include",))
+    watched, counts = quality.observed(screened, "publish", metrics)
+    handoff.publish(watched, messages)
+    return counts.get
+
+
+def label_messages(
+    spark: SparkSession,
+    messages: str,
+    main: str,
+    checkpoint: str,
+    models: Models,
+    gazetteers: Gazetteers,
+    **choices,
+) -> None:
+    """Second stage as an incremental run: new messages are labelled and inserted.
+
+    Messages that cannot be read go to ``rejected`` beside the checkpoint.
+    """
+    arrived = handoff.read_messages(spark, messages, schemas.ARTICLE_SCORED)
+    unreadable = F.col(handoff.CORRUPT).isNotNull()
+
+    def labelled(batch: DataFrame) -> DataFrame:
+        return to_main_layout(label(batch, models, gazetteers, **choices))
+
+    sound = arrived.where(~unreadable).drop(handoff.CORRUPT)
+    run_incremental(
+        sound, main, schemas.MAIN, f"{checkpoint}/sound", transform=labelled,
+        dedupe_by=["pubmed_date"],
+    )
+    rejects = (
+        arrived.where(unreadable).select(handoff.CORRUPT).writeStream.format("parquet")
+        .option("path", f"{checkpoint}/rejected")
+        .option("checkpointLocation", f"{checkpoint}/rejects")
+        .trigger(availableNow=True)
+        .start()
+    )
+    rejects.awaitTermination()

@@ -66,6 +66,7 @@ def run_incremental(
     """Process everything that has arrived since the last run, then stop.
 
     By default each micro-batch keeps one row per key, the largest by all its columns.
+    The table belongs to such runs alone: ``append_new`` keeps another folder layout.
     """
     spark = stream.sparkSession
     order = list(dedupe_by or [c for c in T.StructType.fromDDL(schema).fieldNames() if c != key])

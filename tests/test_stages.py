@@ -11,6 +11,7 @@ from paperloom.operators import quality, scoring
 from paperloom.operators.merge import read_table
 from paperloom.operators.places import Gazetteers
 from paperloom.plans import stages
+from paperloom.sources.articles import land
 
 COLUMNS = (
     "pmid bigint, title string, abstract string, pubmed_date date, journal_country string, "
@@ -102,3 +103,29 @@ def test_load_main_stops_before_the_table_on_too_many_failures(spark, articles,
     with pytest.raises(quality.TooManyFailures):
         stages.load_main(labelled, f"{tmp_path}/staging", f"{tmp_path}/main")
     assert read_table(spark, f"{tmp_path}/main", schemas.MAIN).count() == 0
+
+
+def test_daily_runs_from_landing_to_main(spark, articles, tmp_path):
+    landed, main = f"{tmp_path}/landed", f"{tmp_path}/main"
+    messages, checkpoint = f"{tmp_path}/messages", f"{tmp_path}/checkpoint"
+
+    def day(today):
+        counts = stages.publish_new(spark, landed, f"{main}", messages, MODELS.include, today)
+        stages.label_messages(spark, messages, main, checkpoint, MODELS, Gazetteers(NAMES))
+        table = read_table(spark, main, schemas.MAIN)
+        return counts, {r.pmid: r.affil_first_country for r in table.collect()}
+
+    columns = [part.split(" ")[0] for part in schemas.ARTICLE.split(", ")]
+    ordered = articles.select(*columns)
+    land(ordered.where("pmid in (1, 2, 7)"), landed)
+    counts, table = day(date(2024, 1, 2))
+    assert counts == {"row_count": 3, "latest_date": date(2024, 1, 2), "include_count": 3}
+    assert table == {1: "Nigeria", 2: None, 7: "Peru"}
+
+    land(ordered.where("pmid not in (1, 2, 7)"), landed)
+    spark.createDataFrame([("not a message",)], "value string").write.mode("append").text(messages)
+    counts, table = day(date(2024, 1, 3))
+    assert counts["row_count"] == 4
+    assert set(table) == {1, 2, 3, 4, 5, 7}
+    assert read_table(spark, main, schemas.MAIN).count() == 6
+    assert spark.read.parquet(f"{checkpoint}/rejected").count() == 1
