@@ -16,7 +16,7 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "paperloom-bench")
     only = sys.argv[1:]
-    # The JVM and the Python workers start outside the timings.
+    # The JVM starts outside the timings.
     spark.read.parquet(f"{folder}/region.parquet").write.format("noop").mode("overwrite").save()
     seconds = {}
     for name, query in QUERIES.items():

@@ -74,27 +74,21 @@ def extract_terms(
         .select(text, "gram.*")
     )
     hits = lookup(grams, gazetteer, name, "inner", [text, "start"], limit_bytes)
-    found = F.array_sort(
+    found = F.sort_array(
         F.collect_list(F.struct("start", (-F.col("length")).alias("order"), name, "address"))
     )
     per_text = hits.groupBy(text).agg(found.alias("found"))
 
+    def entry(hit: Column) -> Column:
+        return F.struct(hit.getField(name).alias(name), hit.getField("address").alias("address"))
+
     def keep(state: Column, hit: Column) -> Column:
         start, length = hit.getField("start"), -hit.getField("order")
-        kept = F.concat(
-            state.getField("kept"),
-            F.array(F.struct(hit.getField(name).alias(name), hit.getField("address").alias("address"))),
-        )
+        kept = F.concat(state.getField("kept"), F.array(entry(hit)))
         taken = F.struct((start + length).alias("next"), kept.alias("kept"))
         return F.when(start >= state.getField("next"), taken).otherwise(state)
 
-    nothing = F.filter(
-        F.transform(
-            "found",
-            lambda h: F.struct(h.getField(name).alias(name), h.getField("address").alias("address")),
-        ),
-        lambda _: F.lit(False),
-    )
+    nothing = F.array().cast(f"array<struct<{name}:string,address:string>>")
     begin = F.struct(F.lit(1).alias("next"), nothing.alias("kept"))
     return per_text.select(
         text, F.aggregate("found", begin, keep).getField("kept").alias("mentions")
@@ -211,7 +205,7 @@ def countries_of_articles(
         .select("__key", F.posexplode(affils).alias("__pos", "__affil"))
     )
     found = countries_of_texts(texts, "__affil", gazetteers)
-    ordered = F.array_sort(F.collect_list(F.struct("__pos", "countries")))
+    ordered = F.sort_array(F.collect_list(F.struct("__pos", "countries")))
     lists = found.groupBy("__key").agg(
         F.flatten(F.transform(ordered, lambda x: x.getField("countries"))).alias(into)
     )

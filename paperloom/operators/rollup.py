@@ -39,7 +39,7 @@ def rollup_summary(
     place = F.struct(*order)
     has_unknown = F.max(F.col(country).isNull())
     unknown = F.array(F.lit(None).cast("string"))
-    known = F.array_sort(F.collect_set(country))
+    known = F.sort_array(F.collect_set(country))
     return rows.groupBy(key).agg(
         F.when(has_unknown, F.concat(known, unknown)).otherwise(known).alias(
             "affil_countries_unique"
@@ -68,9 +68,9 @@ def ordered_entries(
     parts = (
         rows.withColumn("__part", salt_of(list(order), salts))
         .groupBy(key, "__part")
-        .agg(F.array_sort(F.collect_list(entry)).alias("__items"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("__items"))
     )
-    merged = F.array_sort(F.flatten(F.collect_list("__items")))
+    merged = F.sort_array(F.flatten(F.collect_list("__items")))
     return parts.groupBy(key).agg(merged.alias(into))
 
 

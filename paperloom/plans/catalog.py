@@ -280,7 +280,11 @@ def xml_term_lists(spark: SparkSession, folder: str) -> DataFrame:
         {
             **_pmid_part(),
             "KeywordList": F.when(
-                present, F.array(tables.boxed("Keyword", words), tables.boxed("Keyword", F.array(F.lit("late"))))
+                present,
+                F.array(
+                    tables.boxed("Keyword", words),
+                    tables.boxed("Keyword", F.array(F.lit("late"))),
+                ),
             ),
             "MeshHeadingList": F.when(present, tables.boxed("MeshHeading", headings)),
         },
@@ -307,7 +311,7 @@ def animal_filter(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
     lines = lines.join(parts, "l_partkey", "left")
     terms = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.array_sort(F.collect_set("p_name")).alias("mesh_terms")
+        F.sort_array(F.collect_set("p_name")).alias("mesh_terms")
     )
     orders = table(spark, folder, "orders").select("o_orderkey").join(terms, "o_orderkey", "left")
     kept = filters.drop_by_term_prefix(orders, prefixes=["sma", "red w"])

@@ -11,7 +11,13 @@ from paperloom import constants, schemas
 from paperloom.functions.text import feature_text, zero_filled
 from paperloom.operators import quality, rollup
 from paperloom.operators.filters import scoring_candidate
-from paperloom.operators.merge import append_new, read_table, stage, to_main_layout
+from paperloom.operators.merge import (
+    append_new,
+    insert_new,
+    read_table,
+    stage,
+    to_main_layout,
+)
 from paperloom.operators.places import Gazetteers, countries_of_articles
 from paperloom.operators.scoring import Model, TermModel, score_binary, score_multilabel
 from paperloom.sources.articles import date_window, mark_date, match_search, read_landed
@@ -36,16 +42,19 @@ def new_articles(
     search: dict | None = None,
     limit: int | None = constants.MAX_HITS,
 ) -> DataFrame:
-    """Matching articles from the main table's mark up to today, newest first.
+    """Matching articles from the main table's mark up to today.
 
     The day of the mark is read again; the insert-only merge drops what it already holds.
-    ``limit=None`` takes every hit.
+    With a ``limit`` the oldest unseen articles come first. The mark then moves no further
+    than what was loaded, and the next run goes on from there: nothing is passed over,
+    even when one day has more hits than the limit. ``limit=None`` takes every hit.
     """
     recent = date_window(articles, date_column, mark_date(main, date_column), today)
     hits = match_search(recent, **(search or {}))
     if limit is None:
         return hits
-    return hits.orderBy(F.col(date_column).desc(), F.col("pmid").desc()).limit(limit)
+    unseen = insert_new(hits, main)
+    return unseen.orderBy(F.col(date_column), F.col("pmid")).limit(limit)
 
 
 def screen(

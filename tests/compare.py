@@ -25,9 +25,12 @@ def _cell(value):
     return value
 
 
+def _order(row):
+    return tuple((v is None, str(type(v)), 0 if v is None else v) for v in row)
+
+
 def _sorted_rows(rows):
-    cells = [tuple(_cell(v) for v in row) for row in rows]
-    return sorted(cells, key=lambda row: tuple((v is None, str(type(v)), v if v is not None else 0) for v in row))
+    return sorted((tuple(_cell(v) for v in row) for row in rows), key=_order)
 
 
 def differences(frame, connection, sql: str) -> str | None:
@@ -42,6 +45,7 @@ def differences(frame, connection, sql: str) -> str | None:
         return f"{len(got)} rows against {len(wanted)}"
     for ours, theirs in zip(got, wanted):
         if ours != theirs or [type(v) for v in ours] != [type(v) for v in theirs]:
-            bad = [(n, a, b) for n, a, b in zip(names, ours, theirs) if a != b or type(a) is not type(b)]
+            pairs = zip(names, ours, theirs)
+            bad = [(n, a, b) for n, a, b in pairs if a != b or type(a) is not type(b)]
             return f"first difference {str(bad)[:800]}"
     return None

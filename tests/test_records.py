@@ -208,3 +208,10 @@ def test_article_schema(spark, tmp_path):
 def test_no_records_gives_an_empty_table(spark, tmp_path):
     (tmp_path / "a.xml").write_text("<PubmedArticleSet></PubmedArticleSet>")
     assert articles.read_articles(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("xml", [None, "", "no xml", "<PubmedArticle><MedlineCitation>"])
+def test_unreadable_text_is_a_problem_not_a_failure(spark, xml):
+    frame = spark.createDataFrame([(xml,), (record(),)], "xml string")
+    rows = articles.flatten_records(articles.records_from_text(frame, "xml"), with_problems=True)
+    assert {(r.pmid, tuple(r.problems)) for r in rows.collect()} == {(None, ("pmid",)), (1, ())}

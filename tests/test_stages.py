@@ -48,11 +48,24 @@ def articles(spark):
 
 
 def test_new_articles_start_at_the_mark(spark, articles):
-    main = spark.createDataFrame([(date(2024, 1, 1),), (date(2023, 5, 1),)], "pubmed_date date")
-    found = stages.new_articles(articles, main, date(2024, 1, 3))
+    main = spark.createDataFrame(
+        [(1, date(2024, 1, 1)), (90, date(2023, 5, 1))], "pmid long, pubmed_date date"
+    )
+    found = stages.new_articles(articles, main, date(2024, 1, 3), limit=None)
     assert {r.pmid for r in found.collect()} == {1, 2, 3, 4, 5}
-    newest = stages.new_articles(articles, main, date(2024, 1, 3), limit=2)
-    assert [r.pmid for r in newest.collect()] == [5, 4]
+    capped = stages.new_articles(articles, main, date(2024, 1, 3), limit=2)
+    assert [r.pmid for r in capped.collect()] == [2, 3]
+
+
+def test_capped_runs_reach_every_article(spark, articles):
+    main = spark.createDataFrame([], "pmid long, pubmed_date date")
+    for size in (1, 2, 3, 4, 5, 6, 6):
+        found = stages.new_articles(articles, main, date(2024, 1, 3), limit=1)
+        main = spark.createDataFrame(
+            main.union(found.select("pmid", "pubmed_date")).collect(), main.schema
+        )
+        assert main.count() == size
+    assert {r.pmid for r in main.collect()} == {1, 2, 3, 4, 5, 7}
 
 
 def test_screen(articles):
@@ -125,7 +138,7 @@ def test_daily_runs_from_landing_to_main(spark, articles, tmp_path):
     land(ordered.where("pmid not in (1, 2, 7)"), landed)
     spark.createDataFrame([("not a message",)], "value string").write.mode("append").text(messages)
     counts, table = day(date(2024, 1, 3))
-    assert counts["row_count"] == 4
+    assert counts["row_count"] == 3
     assert set(table) == {1, 2, 3, 4, 5, 7}
     assert read_table(spark, main, schemas.MAIN).count() == 6
     assert spark.read.parquet(f"{checkpoint}/rejected").count() == 1
