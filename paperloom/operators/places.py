@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.terms import mentions
 from paperloom.functions.text import WORD
-from paperloom.operators.lookup import BROADCAST_BYTES, attach, lookup, measured_bytes
+from paperloom.operators.lookup import (
+    BROADCAST_BYTES,
+    NULL_SALTS,
+    lookup,
+    measured_bytes,
+    salt_of,
+)
 
 ATOM = f"[{WORD}]+|[^{WORD}]"
 
@@ -155,16 +161,18 @@ def countries_of_texts(df: DataFrame, text: str, gazetteers: Gazetteers) -> Data
     named = df.withColumn("countries", mentions(F.col(text), gazetteers.countries))
     if not gazetteers.has_fallback:
         return named.withColumn("countries", _or_unknown(F.col("countries")))
-    open_text = F.when(F.size("countries") == 0, F.col(text))
-    keyed = named.withColumn("__text", open_text)
-    texts = keyed.where(F.col("__text").isNotNull()).select("__text").distinct()
+    is_open = F.coalesce(F.size("countries") == 0, F.lit(False))
+    # Rows with nothing to look up get keys of their own, so they spread over the tasks,
+    # and the resolved texts stay partitioned as they are.
+    no_key = F.concat(F.lit("\0"), salt_of(df.columns, NULL_SALTS).cast("string"))
+    keyed = named.withColumn("__text", F.when(is_open, F.col(text)).otherwise(no_key))
+    texts = named.where(is_open).select(F.col(text).alias("__text")).distinct()
     resolved = resolve_places(texts, "__text", gazetteers).select(
         "__text", mentions(F.col("address"), gazetteers.countries).alias("__countries")
     )
-    joined = attach(keyed, resolved, "__text")
-    settled = F.when(F.size("countries") > 0, F.col("countries")).otherwise(
-        _or_unknown(F.col("__countries"))
-    )
+    joined = keyed.join(resolved, "__text", "left")
+    looked_up = F.when(is_open, F.col("__countries"))
+    settled = F.when(F.size("countries") > 0, F.col("countries")).otherwise(_or_unknown(looked_up))
     return joined.withColumn("countries", settled).drop("__text", "__countries")
 
 
@@ -209,4 +217,4 @@ def countries_of_articles(
     lists = found.groupBy("__key").agg(
         F.flatten(F.transform(ordered, lambda x: x.getField("countries"))).alias(into)
     )
-    return settled.unionByName(attach(rest, lists, "__key").drop("__key"))
+    return settled.unionByName(rest.join(lists, "__key", "left").drop("__key"))
