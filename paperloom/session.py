@@ -1,6 +1,5 @@
 """Session settings and the shared working folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,13 +26,10 @@ def local_session(cores: str = "8", app: str = "paperloom", **conf: str) -> Spar
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back on the machine's own temporary folder.
+    Where that setting is absent the folder lies below the warehouse, which all executors
+    share as well; a machine's own temporary folder is never used.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/paperloom/{name}-{uuid.uuid4().hex}"
 
 
