@@ -24,7 +24,8 @@ BINS = 24
 FACTORS = 8
 #: The most labelled rows a fit takes: those with the smallest hash of their id.
 FIT_ROWS = 6000
-EPOCHS = 12
+#: Steps of a fit, each over ``BATCH`` rows, however many rows there are.
+STEPS, BATCH = 800, 256
 THRESHOLD = 0.3
 _STATS = 12
 FEATURES = WORD_BUCKETS + _STATS * BINS
@@ -124,7 +125,7 @@ class FactorisationMachine:
         return 1.0 / (1.0 + np.exp(-np.clip(self.margins(x)[0], -500, 500)))
 
 
-def fit(x: Features, labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.02, decay: float = 1e-4) -> FactorisationMachine:
+def fit(x: Features, labels: np.ndarray, steps: int = STEPS, rate: float = 0.02, decay: float = 1e-4) -> FactorisationMachine:
     """Logistic loss, Adam, fixed order and seed."""
     random = np.random.default_rng(7)
     model = FactorisationMachine(0.0, np.zeros(FEATURES), random.normal(0, 0.01, (FEATURES, FACTORS)))
@@ -132,10 +133,10 @@ def fit(x: Features, labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.0
     model.bias = float(np.log(share / (1 - share)))
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (model.weights, model.factors)]
     starts, ends, step = x.starts(), x.ends, 0
-    for _ in range(epochs):
+    while step < steps:
         order = random.permutation(len(labels))
-        for at in range(0, len(order), 256):
-            rows = order[at : at + 256]
+        for at in range(0, len(order), BATCH):
+            rows = order[at : at + BATCH]
             sizes = ends[rows] - starts[rows]
             take = np.arange(sizes.sum()) + np.repeat(starts[rows] - np.cumsum(sizes) + sizes, sizes)
             part = Features(x.index[take], x.value[take], np.cumsum(sizes))

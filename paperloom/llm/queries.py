@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import decontaminate, lines, packing, quality, shards, simhash
+from paperloom.llm import decontaminate, lines, packing, quality, shards, simhash, substrings
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op3_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
     return placed.withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op4_fm_index_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.dedup_substrings(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -75,12 +80,38 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, sum(dropped::INT)::BIGINT AS n_dropp
 FROM marked GROUP BY doc_id
 """
 
+OP4_SQL = """
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(words) - 11)) AS place, words FROM words WHERE len(words) >= 13
+), named AS (
+  SELECT doc_id, place, array_to_string(words[place:place + 12], ' ') AS name FROM windows
+), first_holder AS (
+  SELECT name, min(doc_id) AS least FROM named GROUP BY name HAVING min(doc_id) < max(doc_id)
+), lost AS (
+  SELECT DISTINCT n.doc_id, unnest(range(n.place, n.place + 13)) AS place
+  FROM named n JOIN first_holder f ON n.name = f.name AND f.least < n.doc_id
+), gone AS (
+  SELECT doc_id, list(place) AS places FROM lost GROUP BY doc_id
+), kept AS (
+  SELECT w.doc_id, len(words) AS n_words, len(coalesce(places, [])) AS n_removed,
+    CASE WHEN places IS NULL THEN words ELSE
+      list_transform(list_filter(range(1, len(words) + 1), lambda i: NOT list_contains(places, i)), lambda i: words[i]) END AS words
+  FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id
+)
+SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(array_to_string(words, ' ')) AS kept_sha256
+FROM kept
+"""
+
 LLM_QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op3_hypergeometric_shards": op3_hypergeometric_shards,
+    "op4_fm_index_substrings": op4_fm_index_substrings,
     "op5_vector_packing": op5_vector_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
-LLM_ORACLE = {"op10_line_dedup": OP10_SQL}
+LLM_ORACLE = {"op4_fm_index_substrings": OP4_SQL, "op10_line_dedup": OP10_SQL}
