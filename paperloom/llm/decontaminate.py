@@ -52,7 +52,7 @@ def weighted_similarity(left: np.ndarray, right: np.ndarray) -> float:
     return float(same / (counts.sum() + their.sum() - same))
 
 
-def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def position_ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All numbers of the ranges, and for each the number of its range."""
     sizes = ends - starts
     owner = np.repeat(np.arange(len(starts)), sizes)
@@ -81,7 +81,7 @@ class SizeIndex:
         last = hits[need - 1 :]
         first = hits[: len(last)]
         tight = last - first < count
-        found, _ = _ranges(last[tight] - count + 1, first[tight] + 1)
+        found, _ = position_ranges(last[tight] - count + 1, first[tight] + 1)
         return np.unique(found)
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +91,7 @@ class SizeIndex:
         for b in range(BLOCKS):
             probes = _PROBES[blocks[:, b]]
             low, high = self.bounds[b][probes].ravel(), self.bounds[b][probes + 1].ravel()
-            place, owner = _ranges(low, high)
+            place, owner = position_ranges(low, high)
             pairs.append(np.stack((owner // probes.shape[1], self.order[b][place]), axis=1))
         window, item = np.unique(np.concatenate(pairs), axis=0).T
         near = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS

@@ -1,9 +1,20 @@
 """The registered queries of the operators and the SQL that says the same."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import decontaminate, lines, packing, quality, shards, simhash, substrings
+from paperloom.llm import (
+    decontaminate,
+    licenses,
+    lines,
+    neighbours,
+    packing,
+    quality,
+    secrets,
+    shards,
+    simhash,
+    substrings,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,6 +31,24 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.with_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] != "novel")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in secrets.KINDS],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = table(spark, folder, "documents").select(
@@ -52,6 +81,16 @@ def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_collision_counting(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest_vectors(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.with_licenses(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.inline("licenses"))
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -107,11 +146,14 @@ FROM kept
 
 LLM_QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_secret_scans": op2_secret_scans,
     "op3_hypergeometric_shards": op3_hypergeometric_shards,
     "op4_fm_index_substrings": op4_fm_index_substrings,
     "op5_vector_packing": op5_vector_packing,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_collision_counting": op8_collision_counting,
+    "op9_license_scans": op9_license_scans,
     "op10_line_dedup": op10_line_dedup,
 }
 LLM_ORACLE = {"op4_fm_index_substrings": OP4_SQL, "op10_line_dedup": OP10_SQL}
