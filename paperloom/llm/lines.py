@@ -85,9 +85,9 @@ class LineRuns:
             self.levels[level] = []
             self._push(self._write(merged), level + 1)
 
-    @staticmethod
-    def _merge(runs: list[DataFrame]) -> DataFrame:
-        rows = reduce(DataFrame.unionByName, runs)
+    def _merge(self, runs: list[DataFrame]) -> DataFrame:
+        # Dealt out anew: a union of bucketed tables does not keep a key's rows together.
+        rows = reduce(DataFrame.unionByName, runs).repartition(self.buckets, *KEY)
         return rows.groupBy(*KEY).agg(F.sum("docs").alias("docs"), F.max("keeper").alias("keeper"))
 
     def totals(self) -> DataFrame:

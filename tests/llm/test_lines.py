@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from llm_rows import docs  # noqa: F401
 from paperloom.llm import lines
 
 

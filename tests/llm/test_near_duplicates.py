@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from llm_rows import docs  # noqa: F401
 from paperloom.llm import simhash
 from paperloom.llm.components import components
 

@@ -1,0 +1,67 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from llm_rows import docs  # noqa: F401
+from paperloom.llm import packing
+
+TEXTS = [
+    "", None, "word", " lead", "trail ", "two  spaces", "a\n\nb", "a\nb c\nd", "tab\tin side", "x \t y", "don't we're I'll", "\n", " ", "\r\n line",
+    "é Über naïve ß", "日本 語 の", "emoji 😀 here", "nbsp\xa0 next", "12 345 6789", "!!! ??? ...", "<|endoftext|> is text", "a <|endoftext|>b", "　wide", "word " * 3000,
+]
+
+
+@pytest.fixture(scope="module")
+def reference():
+    tokenizer = Tokenizer.from_file(str(public_tokenizers.path(packing.TOKENIZER)))
+    tokenizer.encode_special_tokens = True
+    return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+
+
+def test_piecewise_ids_equal_the_tokenizer(reference):
+    encoder = packing.WordEncoder(str(public_tokenizers.path(packing.TOKENIZER)))
+    for texts in (TEXTS, TEXTS[::-1]):
+        for text, ids in zip(texts, encoder.encode([t or "" for t in texts])):
+            assert [*ids.tolist(), 1] == reference(text), text
+
+
+def test_documents_round_trip(docs, reference):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(3, "again"), (None, "no id")]
+    found = packing.pack_documents(docs(rows).withColumn("length", F.lit(1))).collect()
+    want = sorted((str(i), len(ids), zlib.crc32(np.array(ids[a : a + 2048], dtype="<u4").tobytes()), a) for i, t in rows for ids in [reference(t)] for a in range(0, len(ids), 2048))
+    assert sorted((str(r.doc_id), r.doc_tokens, r.ids_crc32, r.start) for r in found) == want
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for spots in sequences.values():
+        spots.sort()
+        assert [o for o, _ in spots] == [sum(n for _, n in spots[:i]) for i in range(len(spots))]
+        assert sum(n for _, n in spots) <= 2048
+
+
+def test_all_limits_hold_and_little_is_left_empty():
+    draw = np.random.default_rng(3)
+    tokens = draw.integers(1, 2048, 3000)
+    needs = np.stack([tokens, np.ones(3000, dtype=int), (tokens * draw.random(3000)).astype(int)], axis=1)
+    limits = np.array([2048, 6, 1500])
+    sequence, place = packing.pack_vectors(needs, limits)
+    for number in range(sequence.max() + 1):
+        own = sequence == number
+        used = needs[own].sum(axis=0)
+        assert own.any() and ((used <= limits).all() or own.sum() == 1)
+        assert sorted(place[own]) == list(range(own.sum()))
+    assert tokens.sum() / 2048 / (sequence.max() + 1) > 0.95
+
+
+def test_examples_of_odd_sizes(spark):
+    rows = [(1, 5000, 10), (2, None, None), (3, 0, 0), (4, 100, 3000), (5, 100, None), (5, 100, None)]
+    frame = spark.createDataFrame(rows, "id long, tokens long, loss_tokens long").withColumn("offset", F.lit("x"))
+    found = packing.pack(frame).collect()
+    assert len(found) == 6
+    alone = {r.sequence_id for r in found if r.id in (1, 4)}
+    assert len(alone) == 2 and not any(r.sequence_id in alone for r in found if r.id not in (1, 4))
+    assert packing.pack(frame.limit(0)).count() == 0

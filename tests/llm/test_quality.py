@@ -6,6 +6,7 @@ import pytest
 from conftest import MEDIUM
 from pyspark.sql import functions as F
 
+from llm_rows import docs  # noqa: F401
 from paperloom.llm import quality
 from paperloom.llm.queries import op1_quality_classifier
 
