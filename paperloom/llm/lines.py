@@ -85,10 +85,18 @@ class LineRuns:
             self.levels[level] = []
             self._push(self._write(merged), level + 1)
 
-    def _merge(self, runs: list[DataFrame]) -> DataFrame:
-        # Dealt out anew: a union of bucketed tables does not keep a key's rows together.
-        rows = reduce(DataFrame.unionByName, runs).repartition(self.buckets, *KEY)
-        return rows.groupBy(*KEY).agg(F.sum("docs").alias("docs"), F.max("keeper").alias("keeper"))
+    @staticmethod
+    def _merge(runs: list[DataFrame]) -> DataFrame:
+        """The runs as one, by merge joins; a key names at most one keeper."""
+
+        def both(left: DataFrame, right: DataFrame) -> DataFrame:
+            other = right.select(*KEY, F.col("docs").alias("__docs"), F.col("keeper").alias("__keeper"))
+            docs = F.coalesce("docs", F.lit(0)) + F.coalesce("__docs", F.lit(0))
+            return left.join(other, KEY, "full_outer").select(
+                *KEY, docs.alias("docs"), F.coalesce("keeper", "__keeper").alias("keeper")
+            )
+
+        return reduce(both, runs)
 
     def totals(self) -> DataFrame:
         """(key, docs, keeper) over everything added."""
