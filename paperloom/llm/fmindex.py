@@ -70,7 +70,7 @@ def suffix_order(symbols: np.ndarray, length: int) -> np.ndarray:
 
 
 class FmIndex:
-    """Backward search in a text of symbols above zero; zeros separate its parts."""
+    """Backward search in a text of symbols above zero; a zero stands after each of its parts."""
 
     def __init__(self, symbols: np.ndarray, length: int):
         self.length = length

@@ -36,7 +36,8 @@ ANCHOR_TEXT, SHARD_TEXT = 48 << 20, 12 << 20
 #: Bits of an anchor that are compared to find out which occur twice; more hits only cost time.
 _ANCHOR_SHIFT = np.uint64(20)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_PARTS = "part int, doc long, row long, body binary"
+_PARTS = "part int, direct boolean, body binary"
+_SCHEMA = pa.schema([("part", pa.int32()), ("direct", pa.bool_()), ("body", pa.binary())])
 
 
 def pack_arrays(*arrays: np.ndarray) -> bytes:
@@ -103,7 +104,7 @@ class _Buffer:
         ordinal = np.arange(len(text)) - np.repeat(fresh, np.diff(fresh, append=len(text)))
         self.parts.append((text + self.count, start + self.total, start - words.first[text], size, anchor, ordinal))
         if "shared" in part.schema.names:
-            wanted = [np.concatenate([unpack_arrays(b)[0] for b in own]) for own in part.column("shared").to_pylist()]
+            wanted = [unpack_arrays(own)[0] for own in part.column("shared").to_pylist()]
             names = np.concatenate([row * (1 << 32) + own.astype(np.int64) for row, own in enumerate(wanted)])
             keep = np.isin(text * (1 << 32) + ordinal, names)
             self.parts[-1] = tuple(a[keep] for a in self.parts[-1])
@@ -131,19 +132,46 @@ def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[_Buffer]:
         yield buffer
 
 
-def _batch(parts: list[int], docs: list, rows: list, bodies: list[bytes]) -> pa.RecordBatch:
-    columns = [pa.array(parts, pa.int32()), pa.array(docs, pa.int64()), pa.array(rows, pa.int64()), pa.array(bodies, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["part", "doc", "row", "body"])
+def _batch(parts: list[int], direct: list[bool], bodies: list[bytes]) -> pa.RecordBatch:
+    columns = [pa.array(parts, pa.int32()), pa.array(direct, pa.bool_()), pa.array(bodies, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["part", "direct", "body"])
 
 
-def _per_row(owner: np.ndarray, docs: np.ndarray, rows: np.ndarray, parts: int, *values: np.ndarray) -> pa.RecordBatch:
-    """One message to each row: the values that belong to it."""
-    order = np.argsort(owner, kind="stable")
-    bounds = np.flatnonzero(np.diff(owner[order], prepend=-1))
-    ends = np.append(bounds[1:], len(order))
-    who = owner[order[bounds]]
-    bodies = [pack_arrays(*(v[order[a:b]] for v in values)) for a, b in zip(bounds, ends)]
-    return _batch((rows[who] % parts).tolist(), docs[who].tolist(), rows[who].tolist(), bodies)
+def _messages(docs: np.ndarray, rows: np.ndarray, parts: int, *values: np.ndarray) -> pa.RecordBatch:
+    """What is known about input rows, one message to each part; all arrays have an entry for each value."""
+    part = rows % parts
+    order = np.argsort(part * np.int64(2) ** 40 + np.arange(len(part)), kind="stable")
+    edges = _group_edges(part[order])
+    ends = np.append(edges[1:], len(order))
+    bodies = [pack_arrays(*(v[order[a:b]] for v in (docs, rows, *values))) for a, b in zip(edges, ends)]
+    return _batch(part[order[edges]].tolist(), [True] * len(bodies), bodies)
+
+
+def _take_apart(table: pa.Table) -> tuple[list[pa.RecordBatch], list[list[np.ndarray]]]:
+    """The messages to be passed on, and the arrays of the others."""
+    direct, rest = [], []
+    for batch in table.to_batches():
+        known = batch.column("direct")
+        direct.append(batch.filter(known))
+        rest += [unpack_arrays(body.as_py()) for body in batch.filter(pc.invert(known)).column("body")]
+    return direct, rest
+
+
+def _gather(messages: DataFrame) -> DataFrame:
+    """(doc, row, body): one row for each input row, with all values sent to it."""
+
+    def gather(table: pa.Table) -> pa.Table:
+        arrays = [np.concatenate(a) for a in zip(*(unpack_arrays(body.as_py()) for body in table.column("body")))]
+        order = np.lexsort(arrays[:2])
+        docs, rows = arrays[0][order], arrays[1][order]
+        fresh = np.ones(len(rows), dtype=bool)
+        fresh[1:] = (rows[1:] != rows[:-1]) | (docs[1:] != docs[:-1])
+        edges = np.flatnonzero(fresh)
+        ends = np.append(edges[1:], len(order))
+        bodies = [pack_arrays(*(v[order[a:b]] for v in arrays[2:])) for a, b in zip(edges, ends)]
+        return pa.table({"doc": docs[edges], "row": rows[edges], "body": pa.array(bodies, pa.binary())})
+
+    return messages.groupBy("part").applyInArrow(gather, "doc long, row long, body binary")
 
 
 def _group_edges(sorted_values: np.ndarray) -> np.ndarray:
@@ -174,7 +202,7 @@ def _shared_anchors(rows: DataFrame, parts: int) -> DataFrame:
             name = anchor >> _ANCHOR_SHIFT
             several = _several(name, docs[text])
             if several.any():
-                yield _per_row(text[several], docs, rows, parts, ordinal[several].astype(np.int32))
+                yield _messages(docs[text[several]], rows[text[several]], parts, ordinal[several].astype(np.int32))
             part = (mix(name) % np.uint64(parts)).astype(np.int64)
             common = np.unique(name[several])
             common_part = (mix(common) % np.uint64(parts)).astype(np.int64)
@@ -184,27 +212,20 @@ def _shared_anchors(rows: DataFrame, parts: int) -> DataFrame:
                 if len(own) or len(there):
                     who, local = np.unique(text[own], return_inverse=True)
                     body = pack_arrays(there, docs[who], rows[who], local.astype(np.int32), name[own], ordinal[own].astype(np.int32))
-                    yield _batch([number], [None], [None], [body])
+                    yield _batch([number], [False], [body])
 
     def answer(table: pa.Table) -> pa.Table:
-        out, sent, common = [], [], []
-        for batch in table.to_batches():
-            direct = batch.filter(pc.is_valid(batch.column("doc")))
-            out.append(direct.select(["doc", "row", "body"]))
-            for body in batch.filter(pc.is_null(batch.column("doc"))).column("body"):
-                there, docs, rows, local, name, ordinal = unpack_arrays(body.as_py())
-                common.append(there)
-                sent.append((docs[local], rows[local], name, ordinal))
+        out, sent = _take_apart(table)
         if sent:
+            common = np.concatenate([there for there, *_ in sent])
+            sent = [(docs[local], rows[local], name, ordinal) for _, docs, rows, local, name, ordinal in sent]
             docs, rows, name, ordinal = (np.concatenate(a) for a in zip(*sent))
-            hit = _several(name, docs) | np.isin(name, np.concatenate(common)) if len(name) else np.zeros(0, dtype=bool)
+            hit = _several(name, docs) | np.isin(name, common) if len(name) else np.zeros(0, dtype=bool)
             if hit.any():
-                who, first, owner = np.unique(rows[hit], return_index=True, return_inverse=True)
-                out.append(_per_row(owner, docs[hit][first], who, parts, ordinal[hit]).select(["doc", "row", "body"]))
-        return pa.Table.from_batches(out, schema=pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("body", pa.binary())]))
+                out.append(_messages(docs[hit], rows[hit], parts, ordinal[hit]))
+        return pa.Table.from_batches(out, schema=_SCHEMA)
 
-    sent = rows.mapInArrow(send, _PARTS)
-    return sent.groupBy("part").applyInArrow(answer, "doc long, row long, body binary")
+    return _gather(rows.mapInArrow(send, _PARTS).groupBy("part").applyInArrow(answer, _PARTS))
 
 
 def covered_spans(docs: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -256,7 +277,8 @@ def _covered(rows: DataFrame, parts: int) -> DataFrame:
             least[order] = np.repeat(np.minimum.reduceat(docs[text][order], edges), np.diff(edges, append=len(order)))
             later = docs[text] > least
             if later.any():
-                yield _per_row(text[later], docs, rows, parts, start[later].astype(np.int32), (start + size)[later].astype(np.int32))
+                begin, end = start[later].astype(np.int32), (start + size)[later].astype(np.int32)
+                yield _messages(docs[text[later]], rows[text[later]], parts, begin, end)
             part = (mix(anchor) % np.uint64(parts)).astype(np.int64)
             for number in range(parts):
                 own = np.flatnonzero((part == number) & ~later)
@@ -265,27 +287,20 @@ def _covered(rows: DataFrame, parts: int) -> DataFrame:
                     vocabulary, inside = np.unique(words[spans(place[own], size[own])], return_inverse=True)
                     inside = inside.astype(np.uint16 if len(vocabulary) <= 1 << 16 else np.uint32)
                     body = pack_arrays(docs[who], rows[who], local.astype(np.int32), start[own].astype(np.int32), size[own].astype(np.int32), vocabulary, inside)
-                    yield _batch([number], [None], [None], [body])
+                    yield _batch([number], [False], [body])
 
     def index(table: pa.Table) -> pa.Table:
-        out, sent = [], []
-        for batch in table.to_batches():
-            direct = batch.filter(pc.is_valid(batch.column("doc")))
-            out.append(direct.select(["doc", "row", "body"]))
-            for body in batch.filter(pc.is_null(batch.column("doc"))).column("body"):
-                docs, rows, local, start, size, vocabulary, inside = unpack_arrays(body.as_py())
-                sent.append((docs[local], rows[local], start, size, vocabulary[inside]))
+        out, sent = _take_apart(table)
         if sent:
+            sent = [(docs[local], rows[local], start, size, words[inside]) for docs, rows, local, start, size, words, inside in sent]
             docs, rows, start, size, words = (np.concatenate(a) for a in zip(*sent))
             segment, begin, end = covered_spans(docs, size.astype(np.int64), words)
             if len(segment):
-                who, first, owner = np.unique(rows[segment], return_index=True, return_inverse=True)
                 begin, end = (start[segment] + begin).astype(np.int32), (start[segment] + end).astype(np.int32)
-                out.append(_per_row(owner, docs[segment][first], who, parts, begin, end).select(["doc", "row", "body"]))
-        return pa.Table.from_batches(out, schema=pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("body", pa.binary())]))
+                out.append(_messages(docs[segment], rows[segment], parts, begin, end))
+        return pa.Table.from_batches(out, schema=_SCHEMA)
 
-    sent = rows.mapInArrow(send, _PARTS)
-    return sent.groupBy("part").applyInArrow(index, "doc long, row long, body binary")
+    return _gather(rows.mapInArrow(send, _PARTS).groupBy("part").applyInArrow(index, _PARTS))
 
 
 def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -308,13 +323,12 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     rows = docs.withColumns(keys)
     narrow = rows.select(F.col("__doc").alias("doc"), F.col("__row").alias("row"), body.alias("text"))
     anchors = _shared_anchors(narrow, max(1, -(-size // ANCHOR_TEXT)))
-    anchors = anchors.groupBy("doc", "row").agg(F.collect_list("body").alias("shared"))
-    anchors.write.parquet(f"{folder}/anchors")
+    anchors.withColumnRenamed("body", "shared").write.parquet(f"{folder}/anchors")
     chosen = narrow.join(spark.read.parquet(f"{folder}/anchors"), ["doc", "row"])
     covered = _covered(chosen, max(1, -(-size // SHARD_TEXT)))
-    covered = covered.groupBy("doc", "row").agg(F.collect_list("body").alias("__spans"))
     covered.write.parquet(f"{folder}/covered")
-    covered = spark.read.parquet(f"{folder}/covered").withColumnsRenamed({"doc": "__doc", "row": "__row"})
+    names_of = {"doc": "__doc", "row": "__row", "body": "__spans"}
+    covered = spark.read.parquet(f"{folder}/covered").withColumnsRenamed(names_of)
     names = docs.columns
     schema = StructType([*docs.schema.fields, StructField("n_words", LongType()), StructField("n_removed", LongType())])
 
@@ -327,9 +341,9 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
                     counts.append(len(words))
                     if found:
                         edges = np.zeros(len(words) + 1, dtype=np.int64)
-                        for begin, end in map(unpack_arrays, found):
-                            np.add.at(edges, begin, 1)
-                            np.add.at(edges, end, -1)
+                        begin, end = unpack_arrays(found)
+                        np.add.at(edges, begin, 1)
+                        np.add.at(edges, end, -1)
                         words = [words[i] for i in np.flatnonzero(np.cumsum(edges[:-1]) == 0)]
                     removed.append(counts[-1] - len(words))
                     texts.append(b" ".join(words).decode())
