@@ -1,5 +1,6 @@
 """Staging, insert-only merge and the main table's layout."""
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from paperloom import schemas
 from paperloom.functions.text import render_list
 from paperloom.operators.lookup import BROADCAST_BYTES, attach
 
+PART = "batch"
 # Room for one key of an id type in a broadcast table.
 KEY_BYTES = 48
 
@@ -66,14 +68,47 @@ def newest_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return picked.unionByName(df.where(F.col(key).isNull()))
 
 
-def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The Parquet table at ``path``, or an empty one when it does not exist yet."""
+def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path`` with each row's ``batch``, or an empty one when it does not exist yet.
+
+    A table is a root with one ``batch=...`` folder per insert. Data files of another layout
+    below the root would hide rows from readers and are refused.
+    """
     try:
-        return spark.read.schema(schema).parquet(path)
+        found = spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(path)
+        stray = [f for f in found.inputFiles() if f"/{PART}=" not in f.replace("%3D", "=")]
+        if stray:
+            raise ValueError(f"{path} holds data outside its {PART} folders, such as {stray[0]}")
+        return spark.read.schema(f"{schema}, {PART} string").parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], f"{schema}, {PART} string")
+
+
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path``, or an empty one when it does not exist yet."""
+    return read_batches(spark, path, schema).drop(PART)
+
+
+def write_batch(
+    rows: DataFrame,
+    path: str,
+    schema: str,
+    batch: str,
+    key: str = "pmid",
+    dedupe_by: Sequence[str] | None = None,
+) -> None:
+    """Insert-only merge of ``rows`` as the folder ``batch`` of the table at ``path``.
+
+    The batch owns its folder and replaces it; what it wrote before is not counted as seen, so
+    a repeated batch writes the same rows once more. ``rows`` is read more than once and should
+    be staged. Assumes a single writer, as plain Parquet has no transactions.
+    """
+    rows = rows.select(*T.StructType.fromDDL(schema).fieldNames())
+    others = read_batches(rows.sparkSession, path, schema).where(F.col(PART) != batch)
+    fresh = insert_new(rows, others, key, dedupe_by, countable(rows, key))
+    fresh.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{PART}={batch}")
 
 
 def countable(source: DataFrame, key: str) -> int | None:
@@ -88,18 +123,16 @@ def append_new(
     schema: str,
     key: str = "pmid",
     dedupe_by: Sequence[str] | None = None,
-) -> None:
-    """Insert-only merge into the Parquet table at ``path``; returns when it is written.
+    batch: str | None = None,
+) -> str:
+    """Insert-only merge into the table at ``path``; returns the batch's name when it is written.
 
-    ``source`` is read more than once and should be staged. Assumes a single writer, as
-    plain Parquet has no transactions.
+    Streaming runs and such batches share one layout and see each other's rows. With the
+    ``batch`` named by an earlier call that call is repeated.
     """
-    target = read_table(source.sparkSession, path, schema)
-    columns = list(T.StructType.fromDDL(schema).fieldNames())
-    fresh = insert_new(
-        source.select(*columns), target, key, dedupe_by, countable(source, key)
-    )
-    fresh.write.mode("append").parquet(path)
+    batch = batch or uuid.uuid4().hex
+    write_batch(source, path, schema, batch, key, dedupe_by)
+    return batch
 
 
 def to_main_layout(df: DataFrame) -> DataFrame:

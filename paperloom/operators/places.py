@@ -6,19 +6,16 @@ to the city and place tables, each distinct text once.
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.terms import mentions
 from paperloom.functions.text import WORD
-from paperloom.operators.lookup import (
-    BROADCAST_BYTES,
-    NULL_SALTS,
-    lookup,
-    measured_bytes,
-    salt_of,
-)
+from paperloom.operators.lookup import BROADCAST_BYTES, attach, lookup, measured_bytes
+from paperloom.operators.merge import stage
+from paperloom.session import work_folder
 
 ATOM = f"[{WORD}]+|[^{WORD}]"
 
@@ -38,55 +35,61 @@ class Gazetteers:
     def has_fallback(self) -> bool:
         return self.cities is not None or self.places is not None
 
+    @cached_property
+    def city_bytes(self) -> int:
+        """Measured once, however many batches use the gazetteers."""
+        return measured_bytes(self.cities)
+
+    @cached_property
+    def place_bytes(self) -> int:
+        return measured_bytes(self.places)
+
+    @cached_property
+    def odd_starts(self) -> list[str]:
+        """Characters other than words that some city begins with: usually none."""
+        first = F.get(_atoms(F.col("city")), F.lit(0))
+        odd = self.cities.select(first.alias("first")).where(~F.col("first").rlike(f"^[{WORD}]"))
+        return sorted(row.first for row in odd.distinct().collect())
+
 
 def _atoms(text: Column) -> Column:
     """The text cut into whole words and single other characters."""
     return F.regexp_extract_all(text, F.lit(ATOM), F.lit(0))
 
 
-def _name_lengths(names: DataFrame, column: str) -> list[int]:
-    """Distinct name lengths in atoms: as many values as the longest name has atoms."""
-    lengths = names.select(F.size(_atoms(F.col(column))).alias("n")).distinct()
-    return sorted(row.n for row in lengths.collect() if row.n > 0)
-
-
-def extract_terms(
-    texts: DataFrame, text: str, gazetteer: DataFrame, name: str, limit_bytes: int
-) -> DataFrame:
-    """Gazetteer entries mentioned in each distinct text, as ``mentions``.
+def extract_cities(texts: DataFrame, text: str, gazetteers: Gazetteers) -> DataFrame:
+    """Cities mentioned in each distinct text, as ``mentions``.
 
-    Every run of atoms as long as some name becomes a row and is joined to the gazetteer
-    on equality. Leftmost matches win, longer ones first, and matches do not overlap.
+    A word that some city begins with is looked up first; only from there runs of atoms are
+    made, in the lengths of the cities beginning so, and joined to the cities on equality.
+    Leftmost matches win, longer ones first, and matches do not overlap.
     """
-    lengths = _name_lengths(gazetteer, name)
-    sizes = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
-    atoms = F.col("atoms")
-
-    def runs(start: Column) -> Column:
-        fitting = F.filter(sizes, lambda n: start + n - 1 <= F.size(atoms))
-        return F.transform(
-            fitting,
-            lambda n: F.struct(
-                start.alias("start"),
-                n.alias("length"),
-                F.array_join(F.slice(atoms, start, n), "").alias(name),
-            ),
-        )
-
-    starts = F.when(F.size(atoms) > 0, F.sequence(F.lit(1), F.size(atoms)))
-    grams = (
+    named = gazetteers.cities.select("city", "address", _atoms(F.col("city")).alias("atoms"))
+    named = named.where(F.size("atoms") > 0)
+    firsts = named.groupBy(F.get("atoms", F.lit(0)).alias("first")).agg(
+        F.collect_set(F.size("atoms")).alias("lengths")
+    )
+    begins = F.col("first").rlike(f"^[{WORD}]") | F.col("first").isin(gazetteers.odd_starts)
+    starts = (
         texts.select(text, _atoms(F.col(text)).alias("atoms"))
-        .select(text, F.explode(F.flatten(F.transform(starts, runs))).alias("gram"))
-        .select(text, "gram.*")
+        .select(text, "atoms", F.posexplode("atoms").alias("start", "first"))
+        .where(begins)
+    )
+    small = gazetteers.city_bytes <= gazetteers.broadcast_bytes
+    near = starts.join(F.broadcast(firsts) if small else firsts, "first")
+    grams = near.select(text, "start", "atoms", F.explode("lengths").alias("length")).select(
+        text, "start", "length",
+        F.array_join(F.slice("atoms", F.col("start") + 1, F.col("length")), "").alias("city"),
     )
-    hits = lookup(grams, gazetteer, name, "inner", [text, "start"], limit_bytes)
+    cities = gazetteers.cities
+    hits = grams.join(F.broadcast(cities) if small else cities, "city")
     found = F.sort_array(
-        F.collect_list(F.struct("start", (-F.col("length")).alias("order"), name, "address"))
+        F.collect_list(F.struct("start", (-F.col("length")).alias("order"), "city", "address"))
     )
     per_text = hits.groupBy(text).agg(found.alias("found"))
 
     def entry(hit: Column) -> Column:
-        return F.struct(hit.getField(name).alias(name), hit.getField("address").alias("address"))
+        return F.struct(hit.getField("city").alias("city"), hit.getField("address").alias("address"))
 
     def keep(state: Column, hit: Column) -> Column:
         start, length = hit.getField("start"), -hit.getField("order")
@@ -94,8 +97,8 @@ def extract_terms(
         taken = F.struct((start + length).alias("next"), kept.alias("kept"))
         return F.when(start >= state.getField("next"), taken).otherwise(state)
 
-    nothing = F.array().cast(f"array<struct<{name}:string,address:string>>")
-    begin = F.struct(F.lit(1).alias("next"), nothing.alias("kept"))
+    nothing = F.array().cast("array<struct<city:string,address:string>>")
+    begin = F.struct(F.lit(0).alias("next"), nothing.alias("kept"))
     return per_text.select(
         text, F.aggregate("found", begin, keep).getField("kept").alias("mentions")
     )
@@ -103,9 +106,7 @@ def extract_terms(
 
 def last_city(texts: DataFrame, text: str, gazetteers: Gazetteers) -> DataFrame:
     """Address of the last distinct city each text mentions; texts without one are absent."""
-    found = extract_terms(
-        texts, text, gazetteers.cities, "city", gazetteers.broadcast_bytes
-    )
+    found = extract_cities(texts, text, gazetteers)
     last = F.element_at(F.array_distinct("mentions"), F.lit(-1))
     return found.select(text, last.alias("hit")).select(
         text, F.col("hit.city").alias("city"), F.col("hit.address").alias("city_address")
@@ -121,30 +122,27 @@ def tail_tokens(text: Column) -> Column:
 
 def resolve_places(texts: DataFrame, text: str, gazetteers: Gazetteers) -> DataFrame:
     """An address for each distinct text: last city, else its tail, else the whole text."""
-    resolved = texts
     if gazetteers.cities is not None:
-        cities = last_city(texts, text, gazetteers)
-        resolved = resolved.join(cities, text, "left")
+        resolved = texts.join(last_city(texts, text, gazetteers), text, "left")
     else:
         nothing = F.lit(None).cast("string")
-        resolved = resolved.withColumns({"city": nothing, "city_address": nothing})
-    address = F.col("city_address")
-    if gazetteers.places is not None:
-        size = measured_bytes(gazetteers.places)
-        found = F.col("city").isNotNull()
-        for column, key in (("tail", tail_tokens(F.col(text))), ("whole", F.col(text))):
-            table = gazetteers.places.select(
-                F.col("place").alias(column), F.col("address").alias(f"{column}_address"),
-                F.lit(True).alias(f"{column}_found"),
-            )
-            keyed = resolved.withColumn(column, F.when(~found, key))
-            resolved = lookup(
-                keyed, table, column, spread=[text], size=size,
-                limit_bytes=gazetteers.broadcast_bytes,
-            )
-            found = found | F.coalesce(F.col(f"{column}_found"), F.lit(False))
-        address = F.coalesce(address, F.col("tail_address"), F.col("whole_address"))
-    return resolved.select(text, address.alias("address"))
+        resolved = texts.withColumns({"city": nothing, "city_address": nothing})
+    if gazetteers.places is None:
+        return resolved.select(text, F.col("city_address").alias("address"))
+    # Both keys are looked up by one join; the tail's entry goes before the whole text's.
+    keys = F.when(F.col("city").isNull(), F.array(tail_tokens(F.col(text)), F.col(text)))
+    asked = resolved.select(
+        text, "city_address", F.posexplode_outer(keys).alias("priority", "place")
+    )
+    places = gazetteers.places.select("place", "address")
+    found = lookup(
+        asked, places, "place", size=gazetteers.place_bytes,
+        limit_bytes=gazetteers.broadcast_bytes, salts=1,
+    )
+    order = F.when(F.col("address").isNotNull(), F.col("priority"))
+    return found.groupBy(text).agg(
+        F.coalesce(F.first("city_address"), F.min_by("address", order)).alias("address")
+    )
 
 
 def _or_unknown(countries: Column) -> Column:
@@ -153,27 +151,31 @@ def _or_unknown(countries: Column) -> Column:
     )
 
 
+def _settled_texts(texts: DataFrame, text: str, gazetteers: Gazetteers) -> DataFrame:
+    """(text, countries) of distinct texts that name no country; ``[NULL]`` when unresolved."""
+    return resolve_places(texts, text, gazetteers).select(
+        text, _or_unknown(mentions(F.col("address"), gazetteers.countries)).alias("__found")
+    )
+
+
 def countries_of_texts(df: DataFrame, text: str, gazetteers: Gazetteers) -> DataFrame:
     """Add ``countries``: the countries of one text per row, ``[NULL]`` if unresolved.
 
-    Each distinct text that names no country is resolved once and joined back.
+    Rows whose text names a country stay where they are. Each distinct other text is resolved
+    once and joined back; the rows are written once in between, so that the name pattern runs
+    once per row.
     """
     named = df.withColumn("countries", mentions(F.col(text), gazetteers.countries))
     if not gazetteers.has_fallback:
         return named.withColumn("countries", _or_unknown(F.col("countries")))
     is_open = F.coalesce(F.size("countries") == 0, F.lit(False))
-    # Rows with nothing to look up get keys of their own, so they spread over the tasks,
-    # and the resolved texts stay partitioned as they are.
-    no_key = F.concat(F.lit("\0"), salt_of(df.columns, NULL_SALTS).cast("string"))
-    keyed = named.withColumn("__text", F.when(is_open, F.col(text)).otherwise(no_key))
-    texts = named.where(is_open).select(F.col(text).alias("__text")).distinct()
-    resolved = resolve_places(texts, "__text", gazetteers).select(
-        "__text", mentions(F.col("address"), gazetteers.countries).alias("__countries")
-    )
-    joined = keyed.join(resolved, "__text", "left")
-    looked_up = F.when(is_open, F.col("__countries"))
-    settled = F.when(F.size("countries") > 0, F.col("countries")).otherwise(_or_unknown(looked_up))
-    return joined.withColumn("countries", settled).drop("__text", "__countries")
+    named = stage(named, work_folder(df.sparkSession, "named"))
+    settled = named.where(~is_open).withColumn("countries", _or_unknown(F.col("countries")))
+    rest = named.where(is_open)
+    found = _settled_texts(rest.select(F.col(text).alias("__text")).distinct(), "__text", gazetteers)
+    joined = rest.withColumn("__text", F.col(text)).join(found, "__text", "left")
+    looked_up = joined.withColumn("countries", F.coalesce("__found", _or_unknown(F.col("countries"))))
+    return settled.unionByName(looked_up.drop("__text", "__found"))
 
 
 def countries_of_articles(
@@ -185,36 +187,49 @@ def countries_of_articles(
 ) -> DataFrame:
     """Add the ordered country list of each article that ``where`` selects.
 
-    The list follows the authors, repeats included. Articles whose affiliations all name
-    a country are settled inside their row. Only the rest is exploded, resolved and put
-    together again, per article, so the wide rows of the others are never shuffled.
-    A NULL affiliation list gives ``[NULL]``, an empty one NULL.
+    The list follows the authors, repeats included. A NULL affiliation list gives ``[NULL]``, an
+    empty one NULL.
+
+    The articles are read once: the name pattern runs over every affiliation once and the result
+    is written with the article. Articles whose affiliations all name a country are settled
+    there. Of the others only narrow rows, one per affiliation without a country, are resolved
+    and put together again per article.
     """
     wanted = F.coalesce(where, F.lit(False))
     named = F.transform(
         F.when(wanted, F.col(affils)), lambda a: mentions(a, gazetteers.countries)
     )
-    matched = articles.withColumn("__named", named)
-    in_row = F.flatten(F.transform("__named", _or_unknown))
     unknown = F.array(F.lit(None).cast("string"))
+    in_row = F.flatten(F.transform("__named", _or_unknown))
     listed = (
-        F.when(wanted & F.col(affils).isNull(), unknown)
-        .when(wanted & (F.size(affils) > 0), in_row)
+        F.when(F.col("__wanted") & F.col(affils).isNull(), unknown)
+        .when(F.col("__wanted") & (F.size(affils) > 0), in_row)
     )
+    helpers = ["__named", "__wanted"]
     if not gazetteers.has_fallback:
-        return matched.withColumn(into, listed).drop("__named")
+        matched = articles.withColumns({"__named": named, "__wanted": wanted})
+        return matched.withColumn(into, listed).drop(*helpers)
+    matched = articles.withColumns({"__named": named, "__wanted": wanted})
+    matched = stage(matched, work_folder(articles.sparkSession, "named"))
     is_open = F.coalesce(F.exists("__named", lambda c: F.size(c) == 0), F.lit(False))
-    settled = matched.where(~is_open).withColumn(into, listed).drop("__named")
+    settled = matched.where(~is_open).withColumn(into, listed).drop(*helpers)
     key = F.concat_ws(":", "pmid", F.xxhash64(affils).cast("string"))
-    rest = matched.where(is_open).drop("__named").withColumn("__key", key)
-    texts = (
-        rest.select("__key", affils)
+    rest = matched.where(is_open).withColumn("__key", key)
+    pairs = F.arrays_zip(F.col(affils).alias("affil"), F.col("__named").alias("named"))
+    entries = (
+        rest.select("__key", pairs.alias("__pairs"))
         .dropDuplicates(["__key"])
-        .select("__key", F.posexplode(affils).alias("__pos", "__affil"))
+        .select("__key", F.posexplode("__pairs").alias("__pos", "__pair"))
+        .select("__key", "__pos", F.col("__pair.affil").alias("__affil"), F.col("__pair.named").alias("__named"))
     )
-    found = countries_of_texts(texts, "__affil", gazetteers)
-    ordered = F.sort_array(F.collect_list(F.struct("__pos", "countries")))
-    lists = found.groupBy("__key").agg(
+    nameless = F.when(F.size("__named") == 0, F.col("__affil"))
+    texts = entries.select(nameless.alias("__affil")).where(F.col("__affil").isNotNull()).distinct()
+    found = _settled_texts(texts, "__affil", gazetteers)
+    joined = attach(entries.withColumn("__affil", nameless), found, "__affil")
+    entry = F.coalesce("__found", _or_unknown(F.col("__named")))
+    ordered = F.sort_array(F.collect_list(F.struct("__pos", entry.alias("countries"))))
+    lists = joined.groupBy("__key").agg(
         F.flatten(F.transform(ordered, lambda x: x.getField("countries"))).alias(into)
     )
-    return settled.unionByName(rest.join(lists, "__key", "left").drop("__key"))
+    put_together = rest.join(lists, "__key", "left").drop("__key", *helpers)
+    return settled.unionByName(put_together)

@@ -1,5 +1,7 @@
 """Batch counts, quarantine and the failure gate."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -54,9 +56,13 @@ def failure_metrics(problem: str) -> dict[str, Column]:
     return {"row_count": F.count("*"), "failed_count": F.count_if(failed)}
 
 
-def gate(observation: Observation, max_ratio: float = 0.05, max_failed: int | None = None) -> None:
+def gate(
+    counts: Observation | Mapping[str, int],
+    max_ratio: float = 0.05,
+    max_failed: int | None = None,
+) -> None:
     """Stop before the sink when the staged batch failed too often."""
-    counts = observation.get
+    counts = counts.get if isinstance(counts, Observation) else counts
     failed, rows = counts["failed_count"], counts["row_count"]
     if max_failed is not None and failed > max_failed:
         raise TooManyFailures(f"{failed} rows failed, {max_failed} allowed")

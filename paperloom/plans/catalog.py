@@ -14,6 +14,7 @@ from paperloom.plans import stages, tables
 from paperloom.plans.tables import table, to_xml
 from paperloom.session import spread, work_folder
 from paperloom.sources import articles
+from paperloom.sources.gazetteers import country_spellings
 from paperloom.streaming import handoff, incremental
 
 WINDOW = (date(1996, 1, 1), date(1997, 12, 31))
@@ -37,12 +38,12 @@ def feature_text_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def search_filter(spark: SparkSession, folder: str) -> DataFrame:
-    rows = tables.prose(spark, folder).withColumn("mesh_terms", F.array("source"))
+    rows = tables.prose(spark, folder, costly=True).withColumn("mesh_terms", F.array("source"))
     hits = articles.match_search(
         rows,
-        phrases=[*constants.SEARCH_PHRASES, *tables.PHRASES],
-        all_words=[*constants.SEARCH_ALL_WORDS, ["keit", "und"]],
-        heading_terms=["src3"],
+        phrases=[*constants.SEARCH_PHRASES, *[p.upper() for p in tables.PHRASES]],
+        all_words=[*constants.SEARCH_ALL_WORDS, ["Keit", "UND"]],
+        heading_terms=["SRC3"],
     )
     return hits.select("pmid", "title")
 
@@ -51,7 +52,7 @@ def capped_search(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
     hits = articles.date_window(orders, "o_orderdate", *WINDOW)
     order = [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]
-    return articles.cap(hits, order).select("o_orderkey", "hit_count")
+    return articles.cap(hits, order, constants.MAX_HITS).select("o_orderkey", "hit_count")
 
 
 def date_window(spark: SparkSession, folder: str) -> DataFrame:
@@ -485,9 +486,9 @@ def stream_incremental_merge(spark: SparkSession, folder: str) -> DataFrame:
     """Three drops that overlap, each followed by a run over what is new."""
     place = work_folder(spark, "incremental")
     events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
-    drops = [["view", "click"], ["click", "error"], ["error", "signup", "purchase", "view"]]
-    for kinds in drops:
-        drop = events.where(F.col("event_type").isin(kinds))
+    for number in range(3):
+        own = F.coalesce(F.pmod("event_id", F.lit(3)), F.lit(0))
+        drop = events.where(own.isin(number, (number + 1) % 3))
         drop.write.mode("append").parquet(f"{place}/landing")
         stream = spark.readStream.schema(EVENT).parquet(f"{place}/landing")
         incremental.run_incremental(
@@ -518,8 +519,16 @@ def main_layout(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumns({**shown, **{name: _render(name) for name in lists}})
 
 
+def _landed_articles(spark: SparkSession, folder: str) -> str:
+    """All orders parsed and landed: those of the loaded time on one day, the others on the next."""
+    landed = work_folder(spark, "landed")
+    arrived = F.when(F.col("pubmed_date") <= F.lit(LOADED_UNTIL), F.lit(LOADED_UNTIL)).otherwise(F.lit(TODAY))
+    articles.land(_parsed_articles(spark, folder), landed, arrived, "all")
+    return landed
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    """A whole run: parse, window, search, score, countries, flags, insert-only merge."""
+    """A whole run: parse, land, window, search, score, countries, flags, insert-only merge."""
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("pmid"), F.col("o_orderdate").cast("date").alias("pubmed_date")
     )
@@ -528,9 +537,8 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
         "phrases": [*constants.SEARCH_PHRASES, *tables.PHRASES],
         "heading_terms": tables.HEADINGS,
     }
-    found = stages.new_articles(
-        _parsed_articles(spark, folder), main, TODAY, search=query, limit=None
-    )
+    window = articles.read_landed(spark, _landed_articles(spark, folder), TODAY, TODAY)
+    found = stages.new_articles(window, main, search=query).drop(articles.ARRIVED)
     labelled = merge.stage(_labelled(spark, found, folder), work_folder(spark, "labelled"))
     fresh = merge.insert_new(labelled, main)
     label_count = sum(F.coalesce(F.col(name), F.lit(0.0)) for name in constants.CHARACTERISTICS)
@@ -542,6 +550,146 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _short_articles(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as articles with few fields; urgent ones have no date, returned ones a late one."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    dated = F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_orderdate").cast("date"))
+    known = {
+        "pmid": F.col("o_orderkey"),
+        "title": F.concat(F.lit("Order "), F.col("o_orderkey")),
+        "abstract": F.when(F.col("o_orderstatus") != "P", F.lit("a heit and that")),
+        "pubmed_date": F.when(F.col("o_orderpriority") == "5-LOW", F.lit(date(1990, 1, 1))).otherwise(dated),
+    }
+    fields = [part.split(" ") for part in schemas.ARTICLE.split(", ")]
+    return orders.select(*[known.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in fields])
+
+
+FIRST_DAY, SECOND_DAY = date(2002, 1, 1), date(2002, 1, 2)
+
+
+def landed_window(spark: SparkSession, folder: str) -> DataFrame:
+    """Two landing days; articles without a date or with an old one come out once, on their day."""
+    landed = work_folder(spark, "landed")
+    rows = _short_articles(spark, folder)
+    articles.land(rows.where("pmid % 2 = 0"), landed, FIRST_DAY, "first")
+    articles.land(rows.where("pmid % 2 = 1"), landed, SECOND_DAY, "second")
+    days = [articles.read_landed(spark, landed, day, day) for day in (FIRST_DAY, SECOND_DAY)]
+    both = days[0].unionByName(days[1])
+    return both.select("pmid", _day("pubmed_date").alias("pubmed_date"), _day("landed_on").alias("landed_on"))
+
+
+def publish_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily first stages: each reports all hits and what it published, the last one with a cap."""
+    place = work_folder(spark, "publish")
+    landed, messages = f"{place}/landed", f"{place}/messages"
+    rows = _short_articles(spark, folder)
+    search = {"phrases": ["order"]}
+    counts = []
+    for number, (day, limit) in enumerate([(FIRST_DAY, None), (SECOND_DAY, 100)]):
+        articles.land(rows.where(F.col("pmid") % 2 == number), landed, day, str(number))
+        found = stages.publish_new(
+            spark, landed, f"{place}/main", messages, tables.include_model(), day, search, limit
+        )
+        counts.append((number, found["hit_count"], found["row_count"], found["rejected_count"]))
+    return spark.createDataFrame(counts, "run int, hit_count long, row_count long, rejected_count long")
+
+
+def merge_two_writers(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch load, a streaming run and another batch load into one table, keys overlapping."""
+    place = work_folder(spark, "writers")
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    third = F.coalesce(F.pmod("event_id", F.lit(3)), F.lit(0))
+    main = f"{place}/main"
+
+    def load(remainders: list[int]) -> None:
+        batch = merge.stage(events.where(third.isin(remainders)), f"{place}/staging", EVENT)
+        merge.append_new(batch, main, EVENT, "event_id", ["user_id"])
+
+    load([0])
+    events.where(third.isin(0, 1)).write.mode("append").parquet(f"{place}/landing")
+    stream = spark.readStream.schema(EVENT).parquet(f"{place}/landing")
+    incremental.run_incremental(stream, main, EVENT, f"{place}/checkpoint", key="event_id")
+    load([1, 2])
+    return merge.read_table(spark, main, EVENT)
+
+
+def _record_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Records as XML lines; every tenth is cut off, every tenth malformed, every tenth has no id."""
+    documents = spread(table(spark, folder, "documents").select("doc_id", "lang"))
+    third = F.pmod("doc_id", F.lit(10))
+    record = tables.nested(
+        {"PMID": tables.boxed("_VALUE", F.when(third == 3, F.lit("none")).otherwise(F.col("doc_id").cast("string")))},
+        {"ArticleTitle": F.col("lang")},
+        {},
+    )
+    xml = to_xml(record)
+    broken = (
+        F.when(third == 1, F.substring_index(xml, "</MedlineCitation>", 1))
+        .when(third == 2, F.replace(xml, F.lit("</PMID>"), F.lit("</PMIT>")))
+        .otherwise(xml)
+    )
+    return documents.select("doc_id", broken.alias("value"))
+
+
+def quarantine_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Damaged XML files through the landing stream: what stays sound and what was put aside."""
+    place = work_folder(spark, "quarantine")
+    _record_lines(spark, folder).select("value").write.text(f"{place}/files")
+    articles.land_files(spark, f"{place}/files", f"{place}/landed", f"{place}/checkpoint", FIRST_DAY)
+    sound = articles.read_landed(spark, f"{place}/landed").select(F.lit("sound").alias("problem"))
+    failed = articles.read_rejected(spark, f"{place}/landed").select(F.explode("problems").alias("problem"))
+    return sound.unionByName(failed).groupBy("problem").agg(F.count("*").alias("records"))
+
+
+def failure_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """A load with few failures passes, one with many stops before the table."""
+    place = work_folder(spark, "gate")
+    lines = _short_articles(spark, folder).withColumn("include", F.lit(1))
+    outcomes = []
+    for name, share in (("few", 100), ("many", 3)):
+        broken = lines.withColumn(
+            "problem", F.when(F.col("pmid") % share == 0, F.lit("no id"))
+        )
+        watched, counts = quality.observed(broken, f"gate_{name}", quality.failure_metrics("problem"))
+        staged = merge.stage(watched.select("pmid", "problem"), f"{place}/{name}")
+        try:
+            quality.gate(counts)
+            loaded = merge.insert_new(staged.where("problem is null"), staged.limit(0)).count()
+        except quality.TooManyFailures:
+            loaded = 0
+        outcomes.append((name, counts.get["row_count"], counts.get["failed_count"], loaded))
+    return spark.createDataFrame(outcomes, "load string, staged long, failed long, loaded long")
+
+
+def ingest_increments(spark: SparkSession, folder: str) -> DataFrame:
+    """Three drops of XML files with overlapping ids, and a last run without a drop."""
+    place = work_folder(spark, "ingest")
+    lines = _record_lines(spark, folder).where("doc_id % 10 > 3")
+    for drop in range(4):
+        if drop < 3:
+            own = lines.where((F.col("doc_id") % 3).isin(drop, (drop + 1) % 3))
+            own.select("value").write.mode("append").text(f"{place}/files")
+        day = date(2002, 1, 1 + drop)
+        articles.land_files(spark, f"{place}/files", f"{place}/landed", f"{place}/checkpoint", day)
+    landed = articles.read_landed(spark, f"{place}/landed")
+    return landed.groupBy("pmid").agg(
+        F.count("*").alias("landed"), _day(F.min("landed_on")).alias("first_day")
+    )
+
+
+def country_aliases(spark: SparkSession, folder: str) -> DataFrame:
+    """Institutions whose country is written with a common other spelling."""
+    spelled = F.array(*[F.lit(name) for name in tables.ALIASED])
+    rows = tables.suppliers(spark, folder).select(
+        "l_suppkey",
+        F.concat(
+            F.col("s_name"), F.lit(", "), F.get(spelled, F.col("n_nationkey"))
+        ).alias("affil"),
+    )
+    found = countries_of_texts(rows, "affil", Gazetteers(country_spellings(spark)))
+    return found.select("l_suppkey", _render("countries"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_text": feature_text_query,
     "search_filter": search_filter,
@@ -577,5 +725,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_insert_only": merge_insert_only,
     "stream_incremental_merge": stream_incremental_merge,
     "main_layout": main_layout,
+    "landed_window": landed_window,
+    "publish_counts": publish_counts,
+    "merge_two_writers": merge_two_writers,
+    "quarantine_pipeline": quarantine_pipeline,
+    "failure_gate": failure_gate,
+    "ingest_increments": ingest_increments,
+    "country_aliases": country_aliases,
     "flagship": flagship,
 }

@@ -2,6 +2,7 @@
 
 from paperloom import constants, schemas
 from paperloom.plans import catalog, tables
+from paperloom.sources.gazetteers import ALIASES
 
 NEWLINE = "chr(10)"
 TITLE = f"split_part(text, {NEWLINE}, 1)"
@@ -337,6 +338,8 @@ BOTH_WORDS = "(contains(%s, 'unsupervised') AND contains(%s, 'learning'))" % (
 LABEL_SUM = " + ".join(f"coalesce({name}, 0)" for name in constants.CHARACTERISTICS)
 FIRST_DAY, LAST_DAY = catalog.WINDOW
 
+ALIASED_NAMES = [ALIASES.get(name, name) for name in tables.ALIASED]
+
 ORACLE: dict[str, str] = {
     "feature_text": f"SELECT pmid, {FEATURE} AS feature FROM ({PROSE})",
     "search_filter": f"""
@@ -423,6 +426,36 @@ ORACLE: dict[str, str] = {
         SELECT * FROM target UNION ALL
         SELECT * FROM source s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.pmid = s.pmid)""",
     "stream_incremental_merge": "SELECT event_id, user_id, event_type, value FROM events",
+    "landed_window": """
+        SELECT o_orderkey AS pmid,
+          CASE WHEN o_orderpriority = '5-LOW' THEN '1990-01-01'
+            WHEN o_orderpriority <> '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d') END AS pubmed_date,
+          CASE WHEN o_orderkey % 2 = 0 THEN '2002-01-01' ELSE '2002-01-02' END AS landed_on
+        FROM orders""",
+    "publish_counts": """
+        SELECT 0 AS run, count(*) AS hit_count, count(*) AS row_count, 0::BIGINT AS rejected_count
+        FROM orders WHERE o_orderkey % 2 = 0
+        UNION ALL
+        SELECT 1, count(*), least(100, count(*)), 0 FROM orders""",
+    "merge_two_writers": "SELECT event_id, user_id, event_type, value FROM events",
+    "quarantine_pipeline": """
+        SELECT CASE doc_id % 10 WHEN 1 THEN 'record' WHEN 2 THEN 'record' WHEN 3 THEN 'pmid'
+          ELSE 'sound' END AS problem, count(*) AS records
+        FROM documents GROUP BY 1""",
+    "failure_gate": """
+        SELECT load, count(*) AS staged, count(*) FILTER (o_orderkey % share = 0) AS failed,
+          CASE WHEN count(*) FILTER (o_orderkey % share = 0) > 0.05 * count(*) THEN 0
+            ELSE count(*) FILTER (o_orderkey % share <> 0) END AS loaded
+        FROM orders, (VALUES ('few', 100), ('many', 3)) AS loads(load, share) GROUP BY load""",
+    "ingest_increments": """
+        SELECT doc_id AS pmid, 2::BIGINT AS landed,
+          CASE WHEN doc_id % 3 = 2 THEN '2002-01-02' ELSE '2002-01-01' END AS first_day
+        FROM documents WHERE doc_id % 10 > 3""",
+    "country_aliases": f"""
+        SELECT s_suppkey AS l_suppkey,
+          {_list(f"['{name}']" if "'" not in name else f'["{name}"]' for name in ALIASED_NAMES)}[s_nationkey + 1]
+            AS countries
+        FROM supplier""",
     "main_layout": f"WITH {FULL_RUN} SELECT {', '.join(schemas.MAIN_TYPES)} FROM flagged",
     "flagship": f"""
         WITH {FULL_RUN}

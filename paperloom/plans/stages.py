@@ -20,7 +20,13 @@ from paperloom.operators.merge import (
 )
 from paperloom.operators.places import Gazetteers, countries_of_articles
 from paperloom.operators.scoring import Model, TermModel, score_binary, score_multilabel
-from paperloom.sources.articles import date_window, mark_date, match_search, read_landed
+from paperloom.sources.articles import (
+    ARRIVED,
+    date_window,
+    match_search,
+    read_landed,
+    read_rejected,
+)
 from paperloom.streaming import handoff
 from paperloom.streaming.incremental import run_incremental
 
@@ -37,24 +43,22 @@ class Models:
 def new_articles(
     articles: DataFrame,
     main: DataFrame,
-    today: date,
-    date_column: str = "pubmed_date",
     search: dict | None = None,
-    limit: int | None = constants.MAX_HITS,
+    limit: int | None = None,
+    date_column: str = "pubmed_date",
 ) -> DataFrame:
-    """Matching articles from the main table's mark up to today.
+    """Matching articles; all of them, unless the caller asks for a ``limit``.
 
-    The day of the mark is read again; the insert-only merge drops what it already holds.
-    With a ``limit`` the oldest unseen articles come first. The mark then moves no further
-    than what was loaded, and the next run goes on from there: nothing is passed over,
-    even when one day has more hits than the limit. ``limit=None`` takes every hit.
+    With a ``limit`` only articles the main table does not hold count, and the oldest come
+    first, those without a date last. Articles without an id are never among them. The chosen
+    rows are dealt out again, so later steps do not run in one task.
     """
-    recent = date_window(articles, date_column, mark_date(main, date_column), today)
-    hits = match_search(recent, **(search or {}))
+    hits = match_search(articles, **(search or {}))
     if limit is None:
         return hits
-    unseen = insert_new(hits, main)
-    return unseen.orderBy(F.col(date_column), F.col("pmid")).limit(limit)
+    unseen = insert_new(hits.where(F.col("pmid").isNotNull()), main)
+    chosen = unseen.orderBy(F.col(date_column).asc_nulls_last(), F.col("pmid")).limit(limit)
+    return chosen.repartition("pmid")
 
 
 def screen(
@@ -107,25 +111,40 @@ def add_country_columns(
     return rollup.add_year(rollup.country_flags(named, lower_terms))
 
 
+def article_problem() -> Column:
+    """Why an article cannot be loaded: no id, or an empty affiliation list though it was chosen."""
+    chosen = F.coalesce(F.col("include") == 1, F.lit(False))
+    return F.when(F.col("pmid").isNull(), F.lit("no id")).when(
+        chosen & (F.size("author_affils") == 0), F.lit("empty affiliation list")
+    )
+
+
 def load_main(
     labelled: DataFrame,
     staging: str,
     main: str,
     max_failure_ratio: float = 0.05,
-) -> None:
-    """Stage the batch, check its failures, then insert the unseen articles.
+    batch: str | None = None,
+) -> dict:
+    """Stage the batch, check its failures, then insert the unseen articles that have an id.
 
-    The gate reads counts gathered while staging, so it costs no further pass.
+    The gate reads counts gathered while staging, so it costs no further pass. Returns the counts.
     """
-    lists_missing = quality.country_problem(
-        F.col("include") == 1, F.col("author_affils"), F.col("affil_first_country")
-    )
-    broken = F.when(F.size("author_affils") == 0, lists_missing)
-    checked = labelled.withColumn("problem", broken)
+    checked = labelled.withColumn("problem", article_problem())
     watched, counts = quality.observed(checked, "load", quality.failure_metrics("problem"))
     staged = stage(to_main_layout(watched), staging, schemas.MAIN)
     quality.gate(counts, max_failure_ratio)
-    append_new(staged, main, schemas.MAIN)
+    append_new(staged.where(F.col("pmid").isNotNull()), main, schemas.MAIN, batch=batch)
+    return counts.get
+
+
+LEDGER = "landed_on date, hit_count bigint, row_count bigint"
+
+
+def published_until(spark: SparkSession, ledger: str) -> date | None:
+    """The last landing day whose hits were all published; None before the first run."""
+    done = read_table(spark, ledger, LEDGER).where("hit_count = row_count")
+    return done.agg(F.max("landed_on")).first()[0]
 
 
 def publish_new(
@@ -136,20 +155,38 @@ def publish_new(
     model: BinaryModel,
     today: date,
     search: dict | None = None,
-    limit: int | None = constants.MAX_HITS,
+    limit: int | None = None,
+    max_failure_ratio: float = 0.05,
 ) -> dict:
-    """First stage as a daily run: landed articles since the mark become messages.
+    """First stage as a daily run: articles landed since the last run become messages.
 
-    Returns the batch's counts, gathered while the messages are written.
+    The window is on the landing day, so late articles and those without a date are taken.
+    The mark is the last day all of whose hits were published; it stands in a ledger beside the
+    messages. Its day is read again, since more may have landed later on it; the merge drops
+    what the main table holds. Rejected articles of the window count as failures for the gate,
+    which stops the run before anything is published.
+
+    Returns the batch's counts, with ``hit_count`` for all hits and ``row_count`` for the
+    published ones, gathered while the messages are written.
     """
+    ledger = f"{messages.rstrip('/')}.ledger"
+    since = published_until(spark, ledger)
+    window = read_landed(spark, landed, since, today)
+    rejected = date_window(read_rejected(spark, landed), ARRIVED, since, today).count()
+    rows = window.count()
+    quality.gate({"failed_count": rejected, "row_count": rows + rejected}, max_failure_ratio)
     table = read_table(spark, main, schemas.MAIN)
-    window = read_landed(spark, landed, mark_date(table, "pubmed_date"), today)
-    found = new_articles(window, table, today, search=search, limit=limit)
-    screened = screen(found, model)
+    if limit is not None:
+        hits = insert_new(match_search(window, **(search or {})), table).count()
+    found = new_articles(window, table, search=search, limit=limit).drop(ARRIVED)
     metrics = quality.batch_stats("pubmed_date", ("include",))
-    watched, counts = quality.observed(screened, "publish", metrics)
+    watched, counts = quality.observed(screen(found, model), "publish", metrics)
     handoff.publish(watched, messages)
-    return counts.get
+    counts = {"hit_count": counts.get["row_count"] if limit is None else hits, **counts.get}
+    entry = (today, counts["hit_count"], counts["row_count"])
+    write = spark.createDataFrame([entry], LEDGER).coalesce(1).write.mode("overwrite")
+    write.parquet(f"{ledger}/batch={today:%Y%m%d}")
+    return {**counts, "rejected_count": rejected}
 
 
 def label_messages(
@@ -159,28 +196,32 @@ def label_messages(
     checkpoint: str,
     models: Models,
     gazetteers: Gazetteers,
+    max_failure_ratio: float = 0.05,
     **choices,
 ) -> None:
     """Second stage as an incremental run: new messages are labelled and inserted.
 
-    Messages that cannot be read go to ``rejected`` beside the checkpoint.
+    Each batch is decoded once and staged. Messages that cannot be read or hold no id go to
+    ``rejected`` beside the checkpoint, one folder per batch. A batch with too many of them
+    stops the run before the sink and is taken up again by the next one.
     """
     arrived = handoff.read_messages(spark, messages, schemas.ARTICLE_SCORED)
     unreadable = F.col(handoff.CORRUPT).isNotNull()
 
+    def decoded(batch: DataFrame, number: int) -> DataFrame:
+        failed = F.when(unreadable | F.col("pmid").isNull(), F.lit("message"))
+        checked = batch.withColumn("problem", failed)
+        watched, counts = quality.observed(checked, f"decode{number}", quality.failure_metrics("problem"))
+        staged = stage(watched, f"{checkpoint}/decoded")
+        bad = staged.where(F.col("problem").isNotNull())
+        bad.drop("problem").write.mode("overwrite").parquet(f"{checkpoint}/rejected/batch={number}")
+        quality.gate(counts, max_failure_ratio)
+        return staged.where(F.col("problem").isNull()).drop("problem", handoff.CORRUPT)
+
     def labelled(batch: DataFrame) -> DataFrame:
         return to_main_layout(label(batch, models, gazetteers, **choices))
 
-    sound = arrived.where(~unreadable).drop(handoff.CORRUPT)
     run_incremental(
-        sound, main, schemas.MAIN, f"{checkpoint}/sound", transform=labelled,
-        dedupe_by=["pubmed_date"],
-    )
-    rejects = (
-        arrived.where(unreadable).select(handoff.CORRUPT).writeStream.format("parquet")
-        .option("path", f"{checkpoint}/rejected")
-        .option("checkpointLocation", f"{checkpoint}/rejects")
-        .trigger(availableNow=True)
-        .start()
+        arrived, main, schemas.MAIN, f"{checkpoint}/sound", transform=labelled,
+        dedupe_by=["pubmed_date"], prepare=decoded,
     )
-    rejects.awaitTermination()

@@ -12,7 +12,7 @@ from paperloom.operators.places import Gazetteers
 from paperloom.operators.rollup import ordered_entries
 from paperloom.operators.scoring import TermLabels, TermModel
 from paperloom.session import spread
-from paperloom.sources.gazetteers import bounded_names
+from paperloom.sources.gazetteers import name_table
 
 # The countries the numbered nations stand for.
 COUNTRIES = [
@@ -22,6 +22,15 @@ COUNTRIES = [
     "Russia", "United Kingdom", "United States",
 ]
 
+# Other spellings, one for each numbered nation.
+ALIASED = [
+    "USA", "UK", "England", "Scotland", "Wales", "Czech Republic", "Viet Nam", "Hong Kong",
+    "Ivory Coast", "Russian Federation", "P.R. China", "Côte d'Ivoire", "Cabo Verde",
+    "Kyrgyzstan", "Syria", "Sao Tome and Principe", "Kosovo", "Palestine",
+    "Republic of Korea", "Democratic People's Republic of Korea", "Burma", "Turkiye",
+    "Bosnia and Herzegovina", "DR Congo", "Northern Ireland",
+]
+
 # Search and model terms that occur in the invented prose.
 PHRASES = ["that the", "heit"]
 HEADINGS = ["standard"]
@@ -191,7 +200,7 @@ def gazetteers(spark: SparkSession, folder: str) -> Gazetteers:
         F.concat(F.lit("Institute "), "l_suppkey", F.lit(" Old East Wing")).alias("place"),
         F.col("country").alias("address"),
     )
-    names = bounded_names(nations(spark, folder), "country")
+    names = name_table(nations(spark, folder), "country")
     return Gazetteers(names, cities, campuses.unionByName(wings))
 
 

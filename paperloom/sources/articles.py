@@ -2,6 +2,7 @@
 
 from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,35 +10,68 @@ from pyspark.sql import types as T
 
 from paperloom import constants, schemas
 from paperloom.functions import record
-from paperloom.functions.terms import search_pattern
+from paperloom.functions.terms import minimal_terms
 from paperloom.functions.text import slashed_date
-
-MONTH = "landed_month"
-XML_OPTIONS = {"rowTag": schemas.RECORD_TAG, "ignoreSurroundingSpaces": "false"}
+from paperloom.streaming.ledger import sink_token
+
+ARRIVED, STATE, BATCH = "landed_on", "state", "batch"
+SOUND, REJECTED = "sound", "rejected"
+CORRUPT = "_corrupt_record"
+XML_OPTIONS = {
+    "rowTag": schemas.RECORD_TAG,
+    "ignoreSurroundingSpaces": "false",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT,
+}
+END_TAG = f"</{schemas.RECORD_TAG}>"
+START_TAG = f"<{schemas.RECORD_TAG}(?=[\\s>])"
+
+
+def record_texts(chunks: DataFrame, column: str = "value") -> DataFrame:
+    """One row ``xml`` per record from texts that were cut behind each end tag.
+
+    What stands before a start tag, such as the header, is left out, and so is a rest without
+    one. A record that is cut off before the next one begins is a row of its own, without its
+    end, and will not parse; neither will the cut-off last record of a file.
+    """
+    pieces = F.filter(
+        F.split(column, f"(?={START_TAG})", -1), lambda piece: piece.rlike(f"^{START_TAG}")
+    )
+    last = F.size("pieces") - 1
+    ended = F.transform(
+        "pieces",
+        lambda piece, i: F.when(i == last, F.concat(piece, F.lit(END_TAG))).otherwise(piece),
+    )
+    return chunks.select(pieces.alias("pieces")).select(F.explode(ended).alias("xml"))
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Nested records below ``path``; other record kinds in the files are ignored.
 
-    One XML file is read by one task, so land many files of moderate size.
+    Files are cut at the records' end tags, so a large one is read by many tasks, and every
+    record is parsed on its own: a broken one is kept in ``_corrupt_record``.
     """
-    return spark.read.format("xml").options(**XML_OPTIONS).schema(schemas.RECORD).load(path)
+    chunks = spark.read.option("lineSep", END_TAG).text(path)
+    return records_from_text(record_texts(chunks), "xml")
+
+
+def stream_records(spark: SparkSession, path: str, max_files: int) -> DataFrame:
+    """The same as a stream that reads every file once."""
+    chunks = spark.readStream.option("lineSep", END_TAG).option("maxFilesPerTrigger", max_files)
+    return records_from_text(record_texts(chunks.text(path)), "xml")
 
 
 def records_from_text(df: DataFrame, xml: str) -> DataFrame:
-    """Nested records held as XML text in a column.
+    """Nested records held as XML text in a column, with ``_corrupt_record`` for a broken one.
 
     ``inline`` keeps later filters above the parser. Pushed below it they would parse the
     text again for every column they test.
     """
-    parsed = F.from_xml(F.col(xml), F.lit(_record_ddl()), XML_OPTIONS)
+    ddl = f"{' '.join(schemas.RECORD.split())}, {CORRUPT} string"
+    parsed = F.from_xml(F.col(xml), F.lit(ddl), XML_OPTIONS)
     return df.select(F.inline(F.array(parsed)))
 
 
-def _record_ddl() -> str:
-    return " ".join(schemas.RECORD.split())
-
-
 def flatten_records(
     records: DataFrame,
     doi_rule: str = "last_doi",
@@ -66,7 +100,10 @@ def flatten_records(
         "references_pmids": record.references_pmids(pmid_only),
     }
     if with_problems:
-        columns["problems"] = record.problems()
+        broken = F.col(CORRUPT) if CORRUPT in records.columns else F.lit(None)
+        unreadable = F.array(F.lit("record"))
+        columns["problems"] = F.when(broken.isNotNull(), unreadable).otherwise(record.problems())
+        columns[CORRUPT] = broken.cast("string")
     return records.select(*[column.alias(name) for name, column in columns.items()])
 
 
@@ -74,32 +111,79 @@ def read_articles(spark: SparkSession, path: str, **rules) -> DataFrame:
     return flatten_records(read_records(spark, path), **rules)
 
 
-def land(articles: DataFrame, path: str, date_column: str = "pubmed_date") -> None:
-    """Append articles to a Parquet landing table with one partition per month.
+def _split_state(articles: DataFrame, arrived: date | Column) -> DataFrame:
+    """Articles with their landing day and whether they are sound or to be rejected."""
+    if "problems" not in articles.columns:
+        problem = F.when(F.col("pmid").isNull(), F.lit("pmid"))
+        articles = articles.withColumn("problems", F.array_compact(F.array(problem)))
+    if CORRUPT not in articles.columns:
+        articles = articles.withColumn(CORRUPT, F.lit(None).cast("string"))
+    state = F.when(F.size("problems") > 0, F.lit(REJECTED)).otherwise(F.lit(SOUND))
+    return articles.withColumns({STATE: state, ARRIVED: F.lit(arrived)})
+
 
-    Records are parsed once, here. Later runs read columns and only the months they need.
-    The rebalance hint splits a month that is too large and joins small ones.
+def land(articles: DataFrame, path: str, arrived: date | Column, batch: str) -> None:
+    """Write articles to the landing table as the partition ``batch``, replacing that batch.
+
+    Records are parsed once, here, and filed by the day they arrive, so an article without a
+    date or with an old one is found by the next run like any other. Articles with problems
+    (an unreadable record, id or date) are kept beside the sound ones, see ``read_rejected``.
+    The rebalance hint splits a partition that is too large and joins small files.
     """
-    month = F.date_format(F.col(date_column), "yyyy-MM")
-    monthly = articles.withColumn(MONTH, F.coalesce(month, F.lit("unknown")))
-    rebalanced = monthly.hint("rebalance", F.col(MONTH))
-    rebalanced.write.mode("append").partitionBy(MONTH).parquet(path)
+    rows = _split_state(articles, arrived).hint("rebalance", F.col(STATE))
+    writer = rows.write.mode("overwrite").partitionBy(ARRIVED, STATE)
+    writer.parquet(f"{path.rstrip('/')}/{BATCH}={batch}")
 
 
-def read_landed(
+def land_files(
     spark: SparkSession,
+    source: str,
     path: str,
-    lo: date | None = None,
-    hi: date | None = None,
-    date_column: str = "pubmed_date",
+    checkpoint: str,
+    arrived: date,
+    max_files: int = 1000,
+    **rules,
+) -> None:
+    """Land the XML files below ``source`` that no earlier run has landed, then stop.
+
+    The stream's checkpoint remembers the files. A batch that is repeated after a failure
+    replaces its own partition.
+    """
+    token = sink_token(spark, checkpoint)
+    parsed = flatten_records(stream_records(spark, source, max_files), with_problems=True, **rules)
+
+    def write(batch: DataFrame, number: int) -> None:
+        land(batch, path, arrived, f"{token}-{number}")
+
+    query = (
+        parsed.writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{checkpoint.rstrip('/')}/query")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def _landed(spark: SparkSession, path: str, state: str) -> DataFrame:
+    keys = f"{BATCH} string, {ARRIVED} date, {STATE} string"
+    schema = f"{schemas.ARTICLE}, problems array<string>, {CORRUPT} string, {keys}"
+    return spark.read.schema(schema).parquet(path).where(F.col(STATE) == state)
+
+
+def read_landed(
+    spark: SparkSession, path: str, lo: date | None = None, hi: date | None = None
 ) -> DataFrame:
-    """Landed articles of the window; months outside it are not listed for reading."""
-    rows = spark.read.schema(f"{schemas.ARTICLE}, {MONTH} string").parquet(path)
-    if lo is not None:
-        rows = rows.where(F.col(MONTH) >= F.lit(f"{lo:%Y-%m}"))
-    if hi is not None:
-        rows = rows.where(F.col(MONTH) <= F.lit(f"{hi:%Y-%m}"))
-    return date_window(rows, date_column, lo, hi).drop(MONTH)
+    """Sound articles that arrived from ``lo`` to ``hi``; other days are not listed for reading.
+
+    ``landed_on`` stays, as the run's mark is taken from it.
+    """
+    rows = date_window(_landed(spark, path, SOUND), ARRIVED, lo, hi)
+    return rows.drop("problems", CORRUPT, BATCH, STATE)
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Articles that were put aside on landing, with their problems and a broken record's text."""
+    return _landed(spark, path, REJECTED).drop(BATCH, STATE)
 
 
 def search_predicate(
@@ -110,14 +194,21 @@ def search_predicate(
     all_words: Iterable[Sequence[str]] = constants.SEARCH_ALL_WORDS,
     heading_terms: Iterable[str] = constants.SEARCH_HEADINGS,
 ) -> Column:
-    """Any phrase, any full set of words, or any subject heading; case is ignored."""
+    """Any phrase, any full set of words, or any subject heading; case is ignored.
+
+    Empty lists match nothing. Plain substrings are looked for, so no pattern runs over the text.
+    """
     text = F.lower(F.concat_ws(" ", title, abstract))
-    wanted = text.rlike(search_pattern(phrases, all_words))
-    if headings is not None:
-        terms = list(heading_terms)
+    wanted = [text.contains(phrase) for phrase in minimal_terms(p.lower() for p in phrases if p)]
+    for words in all_words:
+        found = [text.contains(word.lower()) for word in words if word]
+        if found:
+            wanted.append(reduce(Column.__and__, found))
+    terms = [term.lower() for term in heading_terms]
+    if headings is not None and terms:
         hit = F.exists(headings, lambda h: F.lower(h).isin(terms))
-        wanted = wanted | F.coalesce(hit, F.lit(False))
-    return wanted
+        wanted.append(F.coalesce(hit, F.lit(False)))
+    return reduce(Column.__or__, wanted, F.lit(False))
 
 
 def match_search(df: DataFrame, **query) -> DataFrame:
@@ -141,7 +232,7 @@ def date_window(df: DataFrame, column: str, lo: date | None, hi: date | None) ->
     return df
 
 
-def cap(df: DataFrame, order: Sequence[Column], limit: int = constants.MAX_HITS) -> DataFrame:
+def cap(df: DataFrame, order: Sequence[Column], limit: int) -> DataFrame:
     """The first ``limit`` rows in the given order, with the full count of hits beside."""
     total = df.agg(F.count("*")).scalar()
     return df.orderBy(*order).limit(limit).withColumn("hit_count", total)

@@ -34,6 +34,9 @@ def publish(df: DataFrame, path: str) -> None:
     encode_rows(df).write.mode("append").text(path)
 
 
-def read_messages(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The folder of messages as a stream of rows."""
-    return decode_rows(spark.readStream.text(path), schema, "value")
+def read_messages(
+    spark: SparkSession, path: str, schema: str, max_files: int = 1000
+) -> DataFrame:
+    """The folder of messages as a stream of rows, at most ``max_files`` files at a time."""
+    raw = spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
+    return decode_rows(raw, schema, "value")

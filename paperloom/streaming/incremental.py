@@ -1,24 +1,15 @@
 """Incremental insert-only runs as a Structured Streaming job."""
 
-import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from paperloom.operators.merge import countable, insert_new, read_table, stage
+from paperloom.operators.merge import read_table, stage, write_batch
+from paperloom.streaming.ledger import sink_token
 
-PART = "batch"
-
-
-def sink_token(spark: SparkSession, checkpoint: str) -> str:
-    """A name kept beside the checkpoint, so that batch numbers of two checkpoints that
-    feed one table never meet."""
-    folder = f"{checkpoint.rstrip('/')}/sink_token"
-    fresh = spark.createDataFrame([(uuid.uuid4().hex,)], "token string")
-    fresh.coalesce(1).write.mode("ignore").parquet(folder)
-    return spark.read.schema("token string").parquet(folder).first().token
+#: The table without the batch column; the same for every writer.
+read_main = read_table
 
 
 def incremental_sink(
@@ -29,11 +20,12 @@ def incremental_sink(
     dedupe_by: Sequence[str] | None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     staging: str | None = None,
+    prepare: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that inserts unseen keys.
 
-    A transformed batch is staged first: the merge reads it more than once, and a model
-    must score it only once.
+    ``prepare`` gets the raw batch and its number, and may put rows aside. A transformed batch
+    is staged first: the merge reads it more than once, and a model must score it only once.
 
     Each micro-batch owns one partition folder and overwrites it. A batch that is run
     again after a failure ignores its own folder and writes the same rows once more.
@@ -41,15 +33,10 @@ def incremental_sink(
     columns = T.StructType.fromDDL(schema).fieldNames()
 
     def insert(batch: DataFrame, number: int) -> None:
-        name = f"{token}-{number}"
-        rows = batch
+        rows = prepare(batch, number) if prepare else batch
         if transform:
-            rows = stage(transform(batch).select(*columns), staging, schema)
-        rows = rows.select(*columns)
-        table = read_table(batch.sparkSession, target, f"{schema}, {PART} string")
-        earlier = table.where(F.col(PART) != name)
-        fresh = insert_new(rows, earlier, key, dedupe_by, countable(rows, key))
-        fresh.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{PART}={name}")
+            rows = stage(transform(rows).select(*columns), staging, schema)
+        write_batch(rows, target, schema, f"{token}-{number}", key, dedupe_by)
 
     return insert
 
@@ -62,17 +49,17 @@ def run_incremental(
     key: str = "pmid",
     dedupe_by: Sequence[str] | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    prepare: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> None:
     """Process everything that has arrived since the last run, then stop.
 
     By default each micro-batch keeps one row per key, the largest by all its columns.
-    The table belongs to such runs alone: ``append_new`` keeps another folder layout.
     """
     spark = stream.sparkSession
     order = list(dedupe_by or [c for c in T.StructType.fromDDL(schema).fieldNames() if c != key])
     token = sink_token(spark, checkpoint)
     staging = f"{checkpoint.rstrip('/')}/staging"
-    sink = incremental_sink(target, schema, token, key, order, transform, staging)
+    sink = incremental_sink(target, schema, token, key, order, transform, staging, prepare)
     query = (
         stream.writeStream.foreachBatch(sink)
         .option("checkpointLocation", f"{checkpoint.rstrip('/')}/query")
@@ -80,8 +67,3 @@ def run_incremental(
         .start()
     )
     query.awaitTermination()
-
-
-def read_main(spark: SparkSession, target: str, schema: str) -> DataFrame:
-    """The table an incremental run maintains, without the batch column."""
-    return read_table(spark, target, f"{schema}, {PART} string").drop(PART)
