@@ -28,11 +28,6 @@ COUNTRY_COLUMNS = [
 ]
 MAIN_COLUMNS = [*BIBLIOGRAPHIC, "include", "mature", *COUNTRY_COLUMNS, *CHARACTERISTICS]
 
-# The main-table columns that are stored as text.
-TEXT_COLUMNS = [
-    "mesh_terms", "references_pmids", "affil_countries_unique", "affil_last_country",
-]
-
 # Search phrases, words that must all occur, and the subject heading.
 SEARCH_PHRASES = [
     "artificial intelligence", "deep learning", "machine learning", "neural net",

@@ -34,6 +34,3 @@ def scoring_candidate(animal_filter: bool = True) -> Column:
 def with_abstract(df: DataFrame) -> DataFrame:
     return df.where(F.col("abstract").isNotNull())
 
-
-def included(df: DataFrame, column: str = "include") -> DataFrame:
-    return df.where(F.col(column) == 1)

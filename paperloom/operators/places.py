@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.terms import mentions
 from paperloom.functions.text import WORD
-from paperloom.operators.lookup import BROADCAST_BYTES, attach, lookup, measured_bytes
+from paperloom.operators.lookup import BROADCAST_BYTES, attach, measured_bytes
 from paperloom.operators.merge import stage
 from paperloom.session import work_folder
 
@@ -135,10 +135,10 @@ def resolve_places(texts: DataFrame, text: str, gazetteers: Gazetteers) -> DataF
         text, "city_address", F.posexplode_outer(keys).alias("priority", "place")
     )
     places = gazetteers.places.select("place", "address")
-    found = lookup(
-        asked, places, "place", size=gazetteers.place_bytes,
-        limit_bytes=gazetteers.broadcast_bytes, salts=1,
-    )
+    if gazetteers.place_bytes <= gazetteers.broadcast_bytes:
+        found = asked.join(F.broadcast(places), "place", "left")
+    else:
+        found = attach(asked, places, "place")
     order = F.when(F.col("address").isNotNull(), F.col("priority"))
     return found.groupBy(text).agg(
         F.coalesce(F.first("city_address"), F.min_by("address", order)).alias("address")

@@ -1,6 +1,7 @@
 """Batch scoring of article texts with pluggable models."""
 
 import math
+import re
 import sys
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -41,7 +42,7 @@ class TermModel:
         lowered = [text.lower() for text in texts]
         scores = np.full(len(lowered), float(self.bias))
         for term, weight in self.weights.items():
-            scores += weight * np.array([text.count(term) for text in lowered], dtype=float)
+            scores += weight * np.array([text.count(term.lower()) for text in lowered], dtype=float)
         return scores
 
 
@@ -55,7 +56,7 @@ class TermLabels:
 
     def __call__(self, texts: np.ndarray) -> np.ndarray:
         lowered = [text.lower() for text in texts]
-        counts = np.array([[t.count(term) for term in self.vocabulary] for t in lowered], float)
+        counts = np.array([[t.count(term.lower()) for term in self.vocabulary] for t in lowered], float)
         scores = counts @ np.array(self.weights, float).T + np.array(self.biases, float)
         return 1.0 / (1.0 + np.exp(-np.clip(scores, -700, 700)))
 
@@ -66,7 +67,7 @@ def loaded(model: Model) -> Callable[[], Model]:
 
 
 def _literal(term: str) -> str:
-    return "\\Q" + term + "\\E"
+    return re.escape(term.lower())
 
 
 def sigmoid(score: Column) -> Column:

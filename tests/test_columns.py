@@ -1,5 +1,6 @@
 """Scalar expressions, term lists, search, window, mark and flags on hand-made rows."""
 
+import re
 from datetime import date, datetime
 from pathlib import Path
 
@@ -76,17 +77,23 @@ def test_mentions_without_case(spark):
     assert found == ["Peru"]
 
 
-def test_country_names_come_with_the_platform(spark):
-    names = gazetteers.iso_country_names(spark, {"USA": "United States"})
+def test_country_names_come_with_the_platform_and_their_aliases(spark):
+    names = gazetteers.country_spellings(spark)
     assert names["Nigeria"] == "Nigeria" and names["USA"] == "United States"
-    assert len(names) > 200
+    assert names["Wales"] == "Wales" and names["Viet Nam"] == "Vietnam"
+    assert len(names) > 250
 
 
-def test_bounded_names_refuse_a_long_table(spark):
-    frame = spark.range(10).select(F.col("id").cast("string").alias("n"))
-    assert len(gazetteers.bounded_names(frame, "n")) == 10
-    with pytest.raises(ValueError):
-        gazetteers.bounded_names(frame, "n", limit=9)
+def test_only_the_misspelt_income_term_cannot_be_hit(spark):
+    canonical = {name.lower() for name in gazetteers.country_spellings(spark).values()}
+    terms_ = dict.fromkeys(constants.LOW_MIDDLE_INCOME_TERMS)
+    missed = [t for t in terms_ if not any(re.search(t, name) for name in canonical)]
+    assert missed == ["palestinbe"]
+
+
+def test_name_tables_of_any_size(spark):
+    frame = spark.range(6000).select(F.col("id").cast("string").alias("n"))
+    assert len(gazetteers.name_table(frame, "n")) == 6000
 
 
 def test_best_address(spark):
@@ -115,6 +122,21 @@ def test_search(spark):
     assert hits == {row[0] for row in SEARCHED if row[4]}
 
 
+def test_search_ignores_the_case_of_terms_and_empty_lists_match_nothing(spark):
+    frame = spark.createDataFrame(
+        [(1, "deep learning x", None, ["ai"]), (2, "other", "words", ["b"])],
+        "pmid int, title string, abstract string, mesh_terms array<string>",
+    )
+
+    def hits(**query):
+        empty = {"phrases": [], "all_words": [], "heading_terms": []}
+        return {r.pmid for r in articles.match_search(frame, **{**empty, **query}).collect()}
+
+    assert hits() == hits(phrases=[""]) == hits(all_words=[[]]) == set()
+    assert hits(phrases=["Deep Learning"]) == hits(heading_terms=["AI"]) == {1}
+    assert hits(all_words=[["WORDS", "Other"], ["deep", "none"]]) == {2}
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp_ntz", "timestamp"])
 def test_date_window_includes_both_ends(spark, kind):
     moments = [datetime(2024, 1, d, h) for d in (1, 2, 3, 4) for h in (0, 23)]
@@ -219,20 +241,25 @@ def test_year(spark):
     assert {r.year for r in rollup.add_year(frame).collect()} == {2024, None}
 
 
-def test_landed_months_are_pruned(spark, tmp_path):
-    days = [date(2023, 12, 31), date(2024, 1, 1), date(2024, 2, 10), date(2024, 3, 1), None]
-    frame = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "pmid long, pubmed_date date")
+def full_articles(frame):
     missing = {
         name: F.lit(None).cast(kind)
         for name, kind in (part.split(" ") for part in schemas.ARTICLE.split(", "))
         if name not in frame.columns
     }
-    columns = [part.split(" ")[0] for part in schemas.ARTICLE.split(", ")]
+    return frame.withColumns(missing).select(*[p.split(" ")[0] for p in schemas.ARTICLE.split(", ")])
+
+
+def test_landing_days_are_pruned_and_every_article_arrives(spark, tmp_path):
+    rows = [(1, date(2023, 12, 31)), (2, None), (3, date(1999, 1, 1)), (None, date(2024, 1, 1))]
+    frame = full_articles(spark.createDataFrame(rows, "pmid long, pubmed_date date"))
     path = str(tmp_path / "landed")
-    articles.land(frame.withColumns(missing).select(*columns), path)
-    window = articles.read_landed(spark, path, date(2024, 1, 1), date(2024, 2, 10))
-    assert {r.pmid for r in window.collect()} == {1, 2}
-    assert {Path(f).parent.name for f in window.inputFiles()} >= {"landed_month=2024-01"}
+    articles.land(frame.where("pmid = 1"), path, date(2024, 1, 1), "a")
+    for _ in range(2):  # a repeated batch replaces itself
+        articles.land(frame.where("pmid is null or pmid > 1"), path, date(2024, 1, 2), "b")
+    window = articles.read_landed(spark, path, date(2024, 1, 2), date(2024, 1, 2))
+    assert {r.pmid for r in window.collect()} == {2, 3}
     shown = window._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(landed_month" in shown
-    assert articles.read_landed(spark, path).count() == 5
+    assert "PartitionFilters: [isnotnull(state" in shown and "landed_on" in shown
+    assert articles.read_landed(spark, path).count() == 3
+    assert [r.problems for r in articles.read_rejected(spark, path).collect()] == [["pmid"]]

@@ -34,7 +34,24 @@ def test_append_new_creates_then_extends_the_table(spark, tmp_path):
     path = str(tmp_path / "main")
     merge.append_new(spark.createDataFrame([(1, 1), (2, 1)], ROW), path, ROW)
     merge.append_new(spark.createDataFrame([(2, 2), (3, 2)], ROW), path, ROW)
-    assert rows(spark.read.parquet(path)) == [(1, 1), (2, 1), (3, 2)]
+    assert rows(merge.read_table(spark, path, ROW)) == [(1, 1), (2, 1), (3, 2)]
+
+
+def test_a_repeated_batch_leaves_the_table_as_it_is(spark, tmp_path):
+    path, batch = str(tmp_path / "main"), spark.createDataFrame([(1, 1), (None, 2)], ROW)
+    name = merge.append_new(batch, path, ROW)
+    merge.append_new(spark.createDataFrame([(1, 7), (5, 7)], ROW), path, ROW)
+    assert merge.append_new(batch, path, ROW, batch=name) == name
+    assert rows(merge.read_table(spark, path, ROW)) == [(1, 1), (5, 7), (None, 2)]
+
+
+def test_files_of_another_layout_are_refused(spark, tmp_path):
+    path = str(tmp_path / "main")
+    spark.createDataFrame([(1, 1)], ROW).write.parquet(path)
+    with pytest.raises(ValueError, match="outside its batch folders"):
+        merge.append_new(spark.createDataFrame([(2, 1)], ROW), path, ROW)
+    with pytest.raises(ValueError, match="outside its batch folders"):
+        merge.read_table(spark, path, ROW)
 
 
 def test_stage_keeps_the_last_batch_and_checks_the_schema(spark, tmp_path):

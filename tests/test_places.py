@@ -55,7 +55,7 @@ def test_extraction_equals_a_plain_scan(spark, known):
         | {" ".join(pick.choices(pieces, k=40)) for _ in range(20)}
     )
     frame = spark.createDataFrame([(t,) for t in texts], "t string")
-    found = places.extract_terms(frame, "t", known.cities, "city", known.broadcast_bytes)
+    found = places.extract_cities(frame, "t", known)
     got = {r.t: [m.city for m in r.mentions] for r in found.collect()}
     names = [c for c, _ in CITIES]
     assert got == {t: scan(t, names) for t in texts if scan(t, names)}
@@ -117,6 +117,35 @@ def test_countries_of_articles(spark, known):
     assert got == sorted([tuple(a) for a in ARTICLES], key=order)
 
 
+def test_cities_that_begin_with_no_word(spark):
+    cities = spark.createDataFrame([("'s-Hage", "x, Kenya"), ("", "none")], "city string, address string")
+    frame = spark.createDataFrame([("in 's-Hage",), ("Hage",)], "t string")
+    rows = places.countries_of_texts(frame, "t", Gazetteers(COUNTRIES, cities)).collect()
+    assert {r.t: r.countries for r in rows} == {"in 's-Hage": ["Kenya"], "Hage": [None]}
+
+
+def test_the_batch_is_read_once_and_the_pattern_runs_once(spark, known, tmp_path):
+    rows = [a[:3] for a in ARTICLES if a[0]]
+    frame = spark.createDataFrame(rows, "pmid int, include int, author_affils array<string>")
+    frame.write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.parquet(str(tmp_path / "batch"))
+    placed = places.countries_of_articles(batch, known, F.col("include") == 1)
+    shown = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert str(tmp_path) not in shown and "LocalRelation" not in shown.split("Relation")[0]
+    assert shown.count("regexp_extract_all(lambda") == 0
+    assert placed.count() == len(rows)
+
+
+def test_a_hot_tail_beyond_the_broadcast_limit(spark):
+    cities = spark.createDataFrame(CITIES, "city string, address string")
+    far = spark.createDataFrame(PLACES, "place string, address string")
+    hot = Gazetteers(COUNTRIES, cities, far, broadcast_bytes=0)
+    frame = spark.range(4000).select(F.concat(F.lit("Room "), F.col("id"), F.lit(" at Campus 5")).alias("t"))
+    rows = places.countries_of_texts(frame, "t", hot)
+    assert rows.where("countries[0] = 'Kenya'").count() == 4000
+    assert "explode(sequence" not in rows._jdf.queryExecution().toString()
+
+
 def test_list_columns_and_rendering(spark):
     frame = spark.createDataFrame(
         [(1, ["Peru", None, "Peru"]), (2, [None]), (3, None), (4, [None, "Chad"])],

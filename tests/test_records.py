@@ -214,4 +214,48 @@ def test_no_records_gives_an_empty_table(spark, tmp_path):
 def test_unreadable_text_is_a_problem_not_a_failure(spark, xml):
     frame = spark.createDataFrame([(xml,), (record(),)], "xml string")
     rows = articles.flatten_records(articles.records_from_text(frame, "xml"), with_problems=True)
-    assert {(r.pmid, tuple(r.problems)) for r in rows.collect()} == {(None, ("pmid",)), (1, ())}
+    problem = "pmid" if xml is None else "record"
+    assert {(r.pmid, tuple(r.problems)) for r in rows.collect()} == {(None, (problem,)), (1, ())}
+
+
+def test_a_damaged_record_costs_only_itself(spark, tmp_path):
+    def text(i):
+        return f"<PubmedArticle><MedlineCitation><PMID>{i}</PMID></MedlineCitation></PubmedArticle>"
+
+    whole = [text(i) for i in range(1, 8)]
+    whole[1] = whole[1].replace("</PMID>", "")
+    whole[3] = whole[3][:40]
+    body = "<?xml version='1.0'?><PubmedArticleSet>" + "\n".join(whole) + "</PubmedArticleSet>"
+    (tmp_path / "a.xml").write_text(body)
+    (tmp_path / "b.xml").write_text("<PubmedArticleSet>" + text(9) + text(10)[:50])
+    rows = articles.read_articles(spark, str(tmp_path), with_problems=True).collect()
+    assert sorted(r.pmid for r in rows if not r.problems) == [1, 3, 5, 6, 7, 9]
+    broken = [r for r in rows if r.problems]
+    assert [r.problems for r in broken] == [["record"]] * 3
+    assert all("<PubmedArticle>" in r["_corrupt_record"] for r in broken)
+
+
+def test_one_large_file_is_read_by_several_tasks(spark, tmp_path):
+    text = "<PubmedArticle><MedlineCitation><PMID>{}</PMID></MedlineCitation></PubmedArticle>"
+    (tmp_path / "a.xml").write_text("<PubmedArticleSet>" + "".join(text.format(i) for i in range(20000)) + "</PubmedArticleSet>")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        frame = articles.read_articles(spark, str(tmp_path))
+        assert frame.rdd.getNumPartitions() >= 4
+        assert frame.select("pmid").distinct().count() == frame.count() == 20000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_every_file_is_landed_once(spark, tmp_path):
+    text = "<PubmedArticle><MedlineCitation><PMID>{}</PMID></MedlineCitation></PubmedArticle>"
+    source = tmp_path / "in"
+    source.mkdir()
+    for day, ids in ((1, (1, 2)), (2, (2, 3)), (3, ())):
+        if ids:
+            (source / f"{day}.xml").write_text("".join(map(text.format, ids)))
+        articles.land_files(spark, str(source), f"{tmp_path}/landed", f"{tmp_path}/check", date(2024, 1, day))
+    rows = articles.read_landed(spark, f"{tmp_path}/landed").select("pmid", "landed_on").collect()
+    assert sorted((r.pmid, r.landed_on.day) for r in rows) == [(1, 1), (2, 1), (2, 2), (3, 2)]

@@ -47,25 +47,27 @@ def articles(spark):
     return frame.withColumns(missing)
 
 
-def test_new_articles_start_at_the_mark(spark, articles):
-    main = spark.createDataFrame(
-        [(1, date(2024, 1, 1)), (90, date(2023, 5, 1))], "pmid long, pubmed_date date"
-    )
-    found = stages.new_articles(articles, main, date(2024, 1, 3), limit=None)
-    assert {r.pmid for r in found.collect()} == {1, 2, 3, 4, 5}
-    capped = stages.new_articles(articles, main, date(2024, 1, 3), limit=2)
-    assert [r.pmid for r in capped.collect()] == [2, 3]
+def test_new_articles_take_every_hit_unless_capped(spark, articles):
+    main = spark.createDataFrame([(1, date(2024, 1, 1))], "pmid long, pubmed_date date")
+    found = stages.new_articles(articles, main)
+    assert {r.pmid for r in found.collect()} == {1, 2, 3, 4, 5, 7}
+    capped = stages.new_articles(articles, main, limit=2)
+    assert {r.pmid for r in capped.collect()} == {7, 2}
 
 
 def test_capped_runs_reach_every_article(spark, articles):
+    """Rows without an id or date do not block the others."""
+    nameless = articles.where("pmid = 5").withColumn("pmid", F.lit(None).cast("long"))
+    undated = articles.where("pmid = 3").withColumns({"pmid": F.lit(8).cast("long"), "pubmed_date": F.lit(None).cast("date")})
+    rows = articles.unionByName(nameless).unionByName(nameless).unionByName(undated)
     main = spark.createDataFrame([], "pmid long, pubmed_date date")
-    for size in (1, 2, 3, 4, 5, 6, 6):
-        found = stages.new_articles(articles, main, date(2024, 1, 3), limit=1)
+    for size in (2, 4, 6, 7, 7):
+        found = stages.new_articles(rows, main, limit=2)
         main = spark.createDataFrame(
             main.union(found.select("pmid", "pubmed_date")).collect(), main.schema
         )
         assert main.count() == size
-    assert {r.pmid for r in main.collect()} == {1, 2, 3, 4, 5, 7}
+    assert {r.pmid for r in main.collect()} == {1, 2, 3, 4, 5, 7, 8}
 
 
 def test_screen(articles):
@@ -118,27 +120,80 @@ def test_load_main_stops_before_the_table_on_too_many_failures(spark, articles,
     assert read_table(spark, f"{tmp_path}/main", schemas.MAIN).count() == 0
 
 
-def test_daily_runs_from_landing_to_main(spark, articles, tmp_path):
-    landed, main = f"{tmp_path}/landed", f"{tmp_path}/main"
-    messages, checkpoint = f"{tmp_path}/messages", f"{tmp_path}/checkpoint"
+@pytest.fixture
+def daily(spark, articles, tmp_path):
+    columns = [part.split(" ")[0] for part in schemas.ARTICLE.split(", ")]
+    landed, main, messages = (f"{tmp_path}/{n}" for n in ("landed", "main", "messages"))
 
-    def day(today):
-        counts = stages.publish_new(spark, landed, f"{main}", messages, MODELS.include, today)
-        stages.label_messages(spark, messages, main, checkpoint, MODELS, Gazetteers(NAMES))
-        table = read_table(spark, main, schemas.MAIN)
-        return counts, {r.pmid: r.affil_first_country for r in table.collect()}
+    def arrive(day, where, ready=articles.select(*columns)):
+        land(ready.where(where), landed, day, f"{day}-{abs(hash(where))}")
 
+    def run(day, gate=0.05, **options):
+        counts = stages.publish_new(
+            spark, landed, main, messages, MODELS.include, day, max_failure_ratio=gate, **options
+        )
+        stages.label_messages(
+            spark, messages, main, f"{tmp_path}/checkpoint", MODELS, Gazetteers(NAMES), max_failure_ratio=gate
+        )
+        table = read_table(spark, main, schemas.MAIN)
+        return counts, sorted((r.pmid, r.affil_first_country) for r in table.collect())
+
+    return arrive, run, tmp_path
+
+
+def test_daily_runs_from_landing_to_main(spark, daily):
+    arrive, run, place = daily
+    arrive(date(2024, 1, 2), "pmid in (1, 2)")
+    counts, table = run(date(2024, 1, 2))
+    assert counts == {"row_count": 2, "hit_count": 2, "latest_date": date(2024, 1, 2), "include_count": 2, "rejected_count": 0}
+    assert table == [(1, "Nigeria"), (2, None)]
+    # Late: its own date lies before everything that is loaded.
+    arrive(date(2024, 1, 3), "pmid not in (1, 2)")
+    spark.createDataFrame([("not a message",)], "value string").write.mode("append").text(f"{place}/messages")
+    counts, table = run(date(2024, 1, 3), gate=0.5)
+    assert [pmid for pmid, _ in table] == [1, 2, 3, 4, 5, 7]
+    assert spark.read.parquet(f"{place}/checkpoint/rejected").count() == 1
+    assert run(date(2024, 1, 4))[1] == table
+
+
+def test_a_capped_daily_run_goes_on_where_it_stopped(daily):
+    arrive, run, _ = daily
+    arrive(date(2024, 1, 2), "pmid > 0")
+    sizes = []
+    for day in (2, 3, 4, 5):
+        counts, table = run(date(2024, 1, day), limit=2)
+        sizes.append((counts["hit_count"], counts["row_count"], len(table)))
+    assert sizes == [(6, 2, 2), (4, 2, 4), (2, 2, 6), (0, 0, 6)]
+
+
+def test_articles_without_an_id_stop_the_daily_run_and_are_never_inserted(spark, articles, daily):
+    arrive, run, place = daily
     columns = [part.split(" ")[0] for part in schemas.ARTICLE.split(", ")]
-    ordered = articles.select(*columns)
-    land(ordered.where("pmid in (1, 2, 7)"), landed)
-    counts, table = day(date(2024, 1, 2))
-    assert counts == {"row_count": 3, "latest_date": date(2024, 1, 2), "include_count": 3}
-    assert table == {1: "Nigeria", 2: None, 7: "Peru"}
-
-    land(ordered.where("pmid not in (1, 2, 7)"), landed)
-    spark.createDataFrame([("not a message",)], "value string").write.mode("append").text(messages)
-    counts, table = day(date(2024, 1, 3))
-    assert counts["row_count"] == 3
-    assert set(table) == {1, 2, 3, 4, 5, 7}
-    assert read_table(spark, main, schemas.MAIN).count() == 6
-    assert spark.read.parquet(f"{checkpoint}/rejected").count() == 1
+    nameless = articles.select(*columns).withColumn("pmid", F.when(F.col("pmid") > 1, F.col("pmid")))
+    arrive(date(2024, 1, 2), "true", nameless)
+    with pytest.raises(quality.TooManyFailures):
+        run(date(2024, 1, 2))
+    for _ in range(2):
+        counts, table = run(date(2024, 1, 2), gate=0.5)
+        assert counts["rejected_count"] == 1
+        assert [pmid for pmid, _ in table] == [2, 3, 4, 5, 7]
+
+
+def test_too_many_unreadable_messages_stop_the_second_stage(spark, daily):
+    arrive, run, place = daily
+    arrive(date(2024, 1, 2), "pmid in (1, 2)")
+    spark.createDataFrame([("x",)] * 3, "value string").write.mode("append").text(f"{place}/messages")
+    with pytest.raises(Exception, match="3 of 5 rows failed"):
+        run(date(2024, 1, 2))
+    assert read_table(spark, f"{place}/main", schemas.MAIN).count() == 0
+    assert spark.read.parquet(f"{place}/checkpoint/rejected").count() == 3
+
+
+def test_loading_an_article_without_an_id_fails_and_is_left_out(spark, articles, tmp_path):
+    rows = articles.withColumn("pmid", F.when(F.col("pmid") > 1, F.col("pmid")))
+    labelled = stages.label(stages.screen(rows, MODELS.include), MODELS, Gazetteers(NAMES))
+    with pytest.raises(quality.TooManyFailures):
+        stages.load_main(labelled, f"{tmp_path}/staging", f"{tmp_path}/main")
+    counts = stages.load_main(labelled, f"{tmp_path}/staging", f"{tmp_path}/main", 0.5)
+    assert counts == {"row_count": 7, "failed_count": 1}
+    assert read_table(spark, f"{tmp_path}/main", schemas.MAIN).where("pmid is null").count() == 0

@@ -59,6 +59,15 @@ def test_transformed_batches_are_staged(spark, tmp_path):
     assert got == [(1, 10), (2, 20)]
 
 
+def test_batch_loads_and_streaming_runs_see_each_other(spark, tmp_path):
+    out = f"{tmp_path}/out"
+    merge.append_new(spark.createDataFrame([(1, 1), (2, 1)], ROW), out, ROW)
+    drop(spark, f"{tmp_path}/in", [(2, 5), (3, 5)])
+    assert run(spark, tmp_path) == [(1, 1), (2, 1), (3, 5)]
+    merge.append_new(spark.createDataFrame([(3, 9), (4, 9)], ROW), out, ROW)
+    assert run(spark, tmp_path) == [(1, 1), (2, 1), (3, 5), (4, 9)]
+
+
 FULL = "pmid bigint, title string, day date, score double, terms array<string>"
 MESSAGES = [
     (1, "ünï 'x' \"y\"", date(2024, 2, 29), 0.1, ["a", None, "ß"]),
