@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.llm.shared import share
 from paperloom.llm.text import Words, grams, slices
 
 SHINGLE_WORDS = 5
@@ -184,15 +185,16 @@ def with_leaks(
     beyond ``ITEM_BYTES`` the documents are passed once for each group of items.
     """
     docs = docs.drop(leaks)
-    names, context = docs.columns, docs.sparkSession.sparkContext
+    names = docs.columns
     rows = docs.withColumn(leaks, F.array().cast(f"array<{LEAK}>"))
     for group in _item_groups(items, item_id, item_text):
-        shared = context.broadcast(ItemIndex(group))
+        shared = share(docs.sparkSession, ItemIndex(group))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared()
             for batch in batches:
                 for part in slices(batch, text):
-                    found = shared.value.leaks(part.column(text), threshold)
+                    found = index.leaks(part.column(text), threshold)
                     before = part.column(leaks).to_pylist()
                     column = pa.array([a + b for a, b in zip(before, found)], part.schema.field(leaks).type)
                     yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), column], [*names, leaks])

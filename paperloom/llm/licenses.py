@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.decontaminate import SHINGLE_WORDS, position_ranges
+from paperloom.llm.shared import share
 from paperloom.llm.text import Words, grams, mix, slices
 
 CONTAINMENT = 0.8
@@ -212,14 +213,15 @@ def with_licenses(
     """
     docs = docs.drop(licenses)
     names = docs.columns
-    shared = docs.sparkSession.sparkContext.broadcast(LicenseIndex(TEMPLATES if templates is None else templates))
+    shared = share(docs.sparkSession, LicenseIndex(TEMPLATES if templates is None else templates))
     keys = ["license", "start", "words", "containment"]
     kind = pa.list_(pa.struct(list(zip(keys, [pa.string(), pa.int64(), pa.int64(), pa.float64()]))))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared()
         for batch in batches:
             for part in slices(batch, text):
-                found = pa.array(shared.value.find(part.column(text), threshold), kind)
+                found = pa.array(index.find(part.column(text), threshold), kind)
                 yield pa.RecordBatch.from_arrays([*part.columns, found], [*names, licenses])
 
     return docs.mapInArrow(search, docs.withColumn(licenses, F.array().cast(f"array<{FOUND}>")).schema)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from paperloom.llm.shared import share
 from paperloom.llm.text import Words, slices
 
 #: Hashed words; bins of each statistic.
@@ -223,11 +224,11 @@ def with_score(
     like the score is replaced.
     """
     docs = docs.drop(score)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = share(docs.sparkSession, model)
     names = docs.columns
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = shared.value
+        machine = shared()
         for batch in batches:
             for part in slices(batch, text):
                 told = part.column(stated).cast(pa.int64())
