@@ -54,6 +54,19 @@ class TermLabels:
     weights: Sequence[Sequence[float]]
     biases: Sequence[float]
 
+    def counts(self, text: Column) -> list[Column]:
+        """How often each term occurs, as built-in expressions."""
+        lowered = F.lower(text)
+        return [F.regexp_count(lowered, F.lit(_literal(term))) for term in self.vocabulary]
+
+    def columns(self, counts: Sequence[Column]) -> list[Column]:
+        """Each label's probability from the counts."""
+        scores = []
+        for weights, bias in zip(self.weights, self.biases):
+            parts = [n * F.lit(float(w)) for n, w in zip(counts, weights) if w]
+            scores.append(sigmoid(sum(parts, counts[0] * 0.0 + F.lit(float(bias)))))
+        return scores
+
     def __call__(self, texts: np.ndarray) -> np.ndarray:
         lowered = [text.lower() for text in texts]
         counts = np.array([[t.count(term.lower()) for term in self.vocabulary] for t in lowered], float)
@@ -129,16 +142,27 @@ def score_binary(
 
 def score_multilabel(
     df: DataFrame,
-    model: Callable[[], Model],
+    model: TermLabels | Callable[[], Model],
     labels: Sequence[str] = CHARACTERISTICS,
     where: Column | None = None,
     logit: bool = False,
     feature: str = "feature",
     batch: int = SCORING_BATCH,
 ) -> DataFrame:
-    """Add all labels from one model call per batch; rows outside ``where`` stay NULL."""
+    """Add all labels; rows outside ``where`` stay NULL.
+
+    ``TermLabels`` are scored inside the JVM, each term being counted once per text. Anything
+    else is a loader, whose model gives all labels in one call per batch.
+    """
     wanted = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     text = F.when(wanted, F.col(feature))
+    if isinstance(model, TermLabels):
+        names = [f"__count{i}" for i in range(len(model.vocabulary))]
+        counted = df.select("*", *[c.alias(n) for c, n in zip(model.counts(text), names)])
+        scores = model.columns([F.col(n) for n in names])
+        return counted.select(
+            *df.columns, *[rounded_label(s, logit).alias(name) for s, name in zip(scores, labels)]
+        )
     scored = df.withColumn("__scores", batch_scores(model, text, len(labels), batch))
     missing = F.lit(None).cast("double")
     columns = [

@@ -338,7 +338,7 @@ def score_binary_batches(spark: SparkSession, folder: str) -> DataFrame:
 def score_multilabel(spark: SparkSession, folder: str) -> DataFrame:
     rows = scoring.score_binary(_scoring_text(spark, folder), "include", tables.include_model())
     rows = scoring.score_multilabel(
-        rows, scoring.loaded(tables.characteristics_model()), where=F.col("include") == 1
+        rows, tables.characteristics_model(), where=F.col("include") == 1
     )
     return rows.select("pmid", *constants.CHARACTERISTICS)
 
@@ -501,7 +501,7 @@ def _labelled(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
     models = stages.Models(
         tables.include_model(),
         tables.mature_model(),
-        scoring.loaded(tables.characteristics_model()),
+        tables.characteristics_model(),
     )
     screened = merge.stage(stages.screen(rows, models.include), work_folder(spark, "handoff"))
     return stages.label(screened, models, tables.gazetteers(spark, folder))

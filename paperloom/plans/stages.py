@@ -19,7 +19,7 @@ from paperloom.operators.merge import (
     to_main_layout,
 )
 from paperloom.operators.places import Gazetteers, countries_of_articles
-from paperloom.operators.scoring import Model, TermModel, score_binary, score_multilabel
+from paperloom.operators.scoring import Model, TermLabels, TermModel, score_binary, score_multilabel
 from paperloom.sources.articles import (
     ARRIVED,
     date_window,
@@ -37,7 +37,7 @@ BinaryModel = TermModel | Callable[[], Model]
 class Models:
     include: BinaryModel
     mature: BinaryModel
-    characteristics: Callable[[], Model]
+    characteristics: TermLabels | Callable[[], Model]
 
 
 def new_articles(
