@@ -7,8 +7,10 @@ need together.
 """
 
 import math
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -31,6 +33,7 @@ GROUP_ITEMS = 4096
 #: Word pieces a tokenizing task remembers at most before it starts anew.
 MEMORY_WORDS = 600_000
 _JOINED = 256
+_OTHER_BLANKS = re.compile(r"[^\S \n]")
 
 
 class WordEncoder:
@@ -80,25 +83,32 @@ class WordEncoder:
             self.number.update(zip(some, range(count, count + len(some))))
 
     @staticmethod
-    def _regular(piece: str) -> bool:
-        bare = piece[1:] if piece[0] == "\n" else piece
-        return bool(bare) and not bare[0].isspace() and not bare[-1].isspace()
+    def _odd(pieces: set[str]) -> set[str]:
+        """Pieces next to further white space, which the tokenizer would see together."""
+        odd = pieces & {"", "\n"}
+        if _OTHER_BLANKS.search("".join(pieces)):
+            bare = {p: p[1:] if p[0] == "\n" else p for p in pieces - odd}
+            odd |= {p for p, b in bare.items() if b[0].isspace() or b[-1].isspace()}
+        return odd
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.number) > MEMORY_WORDS:
             self._forget()
         pieces = [text.replace("\n", " \n").split(" ") for text in texts]
-        known = self.number
-        new = {p for own in pieces for p in own[1:] if p not in known}
-        odd = {p for p in new if not p or not self._regular(p)}
-        self._learn(sorted(new - odd))
+        number = self.number.get
+        # The first piece stands at the text's start, not after a space, and is encoded by itself.
+        found = [np.fromiter(map(number, own, repeat(-1)), dtype=np.int64, count=len(own))[1:] for own in pieces]
+        gaps = [np.flatnonzero(which < 0).tolist() for which in found]
+        new = {own[i + 1] for own, missing in zip(pieces, gaps) for i in missing}
+        odd = self._odd(new)
+        self._learn(list(new - odd))
         out = []
-        for text, own in zip(texts, pieces):
+        for text, own, which, missing in zip(texts, pieces, found, gaps):
             head = own[0]
-            if not head or head[0].isspace() or head[-1].isspace() or (odd and not odd.isdisjoint(own[1:])):
+            which[missing] = [number(own[i + 1], -1) for i in missing]
+            if not head or head[0].isspace() or head[-1].isspace() or (which[missing] < 0).any():
                 out.append(self._ids(text))
                 continue
-            which = np.fromiter(map(known.__getitem__, own[1:]), dtype=np.int64, count=len(own) - 1)
             ends = self.ends[which]
             sizes = ends - np.where(which > 0, self.ends[which - 1], 0)
             take = np.arange(sizes.sum()) + np.repeat(ends - np.cumsum(sizes), sizes)
