@@ -2,7 +2,6 @@
 
 import re
 from datetime import date, datetime
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
