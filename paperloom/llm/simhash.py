@@ -59,19 +59,20 @@ def _signed(value: int) -> int:
     return value - (1 << _BITS) if value >> (_BITS - 1) else value
 
 
-def with_fingerprint(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, fp): the fingerprint of every row as a signed 64-bit number. A NULL text has none: 0."""
+def with_fingerprint(docs: DataFrame, id_column: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, fp, kept columns): the fingerprint of every row as a signed 64-bit number. A NULL text has none: 0."""
+    columns = [id_column, *keep]
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
                 values = [_signed(fingerprint(x)) for x in part.column(text).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(id_column), pa.array(values, pa.int64())], [id_column, "fp"]
+                    [*[part.column(c) for c in columns], pa.array(values, pa.int64())], [*columns, "fp"]
                 )
 
-    kind = docs.schema[id_column].dataType.simpleString()
-    return docs.select(id_column, text).mapInArrow(compute, f"`{id_column}` {kind}, fp long")
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+    return docs.select(*columns, text).mapInArrow(compute, f"{kinds}, fp long")
 
 
 def block_masks(radius: int, same: int) -> list[int]:
@@ -223,21 +224,23 @@ def link_edges(values: DataFrame, radius: int = RADIUS) -> DataFrame:
     return entries.repartition(tasks, "n", "key").mapInArrow(search, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
-    """(id, fingerprint, component_id, group_key): every row with its near-duplicate group.
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", radius: int = RADIUS, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """(id, fingerprint, component_id, group_key, kept columns): every row with its near-duplicate group.
 
     Two rows are linked when their fingerprints differ in at most ``radius`` bits; a group is
     what can be reached over links. ``component_id`` is the smallest id of the group, NULL only
     when no row of it has an id; ``group_key`` names the group and is never NULL. A NULL or
     empty text has fingerprint zero and is linked like any other; repeated rows stay repeated;
-    an empty table gives an empty result. Columns other than the two named are ignored.
+    an empty table gives an empty result. Columns other than the two named and ``keep`` are ignored.
 
     Equal fingerprints are reduced to one before any search, with partial aggregation, so copies
     cost no more than the first. Fingerprints are computed once and kept as a table in the
     shared folder.
     """
     spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "simhash")
-    with_fingerprint(docs, id_column, text).write.parquet(f"{folder}/rows")
+    with_fingerprint(docs, id_column, text, keep).write.parquet(f"{folder}/rows")
     rows = spark.read.parquet(f"{folder}/rows")
     rows.groupBy("fp").agg(F.min(id_column).alias("least")).write.parquet(f"{folder}/values")
     values = spark.read.parquet(f"{folder}/values")
@@ -247,17 +250,33 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     ids = members.groupBy("group_key").agg(F.min("least").alias("component_id"))
     named = members.join(ids, "group_key").select("fp", "group_key", "component_id")
     return rows.join(named, "fp").select(
-        id_column, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "group_key"
+        id_column, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "group_key", *keep
     )
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """The documents as stored rows, each with a number ``__key`` of its own."""
+    folder = work_folder(docs.sparkSession, "rows")
+    docs.withColumn("__key", F.monotonically_increasing_id()).write.parquet(f"{folder}/keyed")
+    return docs.sparkSession.read.parquet(f"{folder}/keyed")
+
+
+def first_of_each_group(rows: DataFrame, groups: DataFrame, id_column: str) -> DataFrame:
+    """The row with the smallest id, then ``__key``, of each group; a NULL id ranks above all ids.
+
+    ``groups`` has the id, ``__key`` and ``group_key`` of every row. Keys are unique, so exactly one
+    row of each group stays.
+    """
+    rank = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), "__key")
+    chosen = groups.groupBy("group_key").agg(F.min(rank).alias("first")).select(F.col("first.__key").alias("__key"))
+    return rows.join(chosen, "__key", "left_semi").drop("__key")
+
+
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """The documents with the smallest id of each near-duplicate group, one row of each group.
 
     Where several rows have that id, or no row of a group has an id, one of them stays.
     """
-    found = near_duplicates(docs, id_column, text, radius)
-    first = found.where(F.col(id_column).eqNullSafe(F.col("component_id")))
-    chosen = first.select(F.col(id_column).alias("__id"), F.col("fingerprint").alias("__print"), F.col("group_key").alias("__group"))
-    chosen = chosen.groupBy("__group").agg(F.min("__id").alias("__id"), F.min("__print").alias("__print"))
-    return docs.join(chosen, F.col(id_column).eqNullSafe(F.col("__id"))).drop("__id", "__print", "__group")
+    rows = with_row_key(docs)
+    groups = near_duplicates(rows, id_column, text, radius, keep=("__key",))
+    return first_of_each_group(rows, groups, id_column).select(*docs.columns)

@@ -90,3 +90,11 @@ def test_one_document_of_each_group_stays(docs):
     text = " ".join(f"w{i}" for i in range(300))
     kept = simhash.one_of_each_group(docs([(4, text), (8, text), (2, "short"), (None, "alone")]))
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(4, text), (2, "short"), (None, "alone")], key=str)
+
+
+def test_exactly_one_row_of_each_group_stays(docs):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(300)) for c in "abc")
+    rows = [(1, one), (1, one), (7, one), (2, two), (2, three), (9, three), (None, "no id here"), (None, "no id here"), (None, "nor is there one at this place"), (None, one)]
+    kept = simhash.one_of_each_group(docs(rows)).collect()
+    want = [(1, one), (2, two), (2, three), (None, "no id here"), (None, "nor is there one at this place")]
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(want, key=str)
