@@ -90,6 +90,10 @@ TEMPLATES = {
 }
 
 
+#: Licenses whose statements differ by a version or a word; only these dispute a passage.
+FAMILY = {name: name.partition("-")[0] for name in TEMPLATES if name.startswith(("GPL", "CC"))}
+
+
 def minhash_bands(shingles: np.ndarray, valid: np.ndarray) -> np.ndarray:
     """The band values of each row of shingle hashes; only valid shingles count."""
     keys = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -129,18 +133,32 @@ class SizeTemplates:
         return starts, text[owner][place]
 
 
-def _undisputed(found: dict[str, tuple]) -> list[dict]:
-    """The findings but those in whose window another license fits better, such as another version."""
-    listed = [
-        {"license": name, "start": start, "words": length, "containment": rank[0]}
-        for name, (rank, start, length) in sorted(found.items())
-    ]
+def _undisputed(found: dict[str, list[tuple]]) -> list[dict]:
+    """The best window of each license, without those that another license of its family fits better.
+
+    A window is disputed when more than half of its matched shingles stand between the first and
+    last matched shingle of a window of that other license with a larger share. A license goes only
+    when all its windows are disputed.
+    """
+
+    shares = {name: np.array([w[0][0] for w in windows]) for name, windows in found.items()}
+    ranges = {name: np.array([(w[3][0], w[3][-1] + 1) for w in windows]) for name, windows in found.items()}
 
-    def better(one: dict, other: dict) -> bool:
-        meets = one["start"] < other["start"] + other["words"] and other["start"] < one["start"] + one["words"]
-        return meets and other["containment"] > one["containment"]
+    def disputed(name: str, rank: tuple, places: np.ndarray) -> bool:
+        for other in found:
+            if other != name and FAMILY.get(other, other) == FAMILY.get(name, name):
+                low, high = np.searchsorted(places, ranges[other][shares[other] > rank[0]].T)
+                if (2 * (high - low) > len(places)).any():
+                    return True
+        return False
 
-    return [one for one in listed if not any(better(one, other) for other in listed)]
+    listed = []
+    for name, windows in sorted(found.items()):
+        for rank, start, length, places in sorted(windows, key=lambda w: w[0], reverse=True):
+            if not disputed(name, rank, places):
+                listed.append({"license": name, "start": start, "words": length, "containment": rank[0]})
+                break
+    return listed
 
 
 class LicenseIndex:
@@ -160,10 +178,10 @@ class LicenseIndex:
             self.filters[size.width][size.known >> np.uint64(64 - _FILTER_BITS)] = True
 
     def find(self, texts: pa.Array, threshold: float) -> list[list[dict]]:
-        """For each text its licenses, each with its best window, the first of equal ones."""
+        """For each text its licenses, each with its best undisputed window, the first of equal ones."""
         words = Words(texts, "plain")
         hashes, first = words.hashes(), words.first
-        text_of, best = words.text_of(), [{} for _ in range(words.texts)]
+        text_of, found = words.text_of(), [{} for _ in range(words.texts)]
         spots = {}
         for width, maybe in self.filters.items():
             all_grams = grams(hashes, width)
@@ -186,13 +204,14 @@ class LicenseIndex:
                     own = shingles[window][valid[window]]
                     for number in {n for b in bands[window][agreed[window]] for n in size.bands[int(b)]}:
                         share = float(np.isin(size.shingles[number], own).mean())
-                        found, name = best[text[window]], size.names[number]
+                        name = size.names[number]
                         start = int(some[window] - first[text[window]])
                         rank = (share, size.words, -start)
-                        if share >= threshold - 1e-12 and (name not in found or rank > found[name][0]):
+                        if share >= threshold - 1e-12:
                             length = min(size.window, int(first[text[window] + 1] - some[window]))
-                            found[name] = (rank, start, length)
-        return [_undisputed(own) for own in best]
+                            places = start + np.flatnonzero(valid[window] & np.isin(shingles[window], size.shingles[number]))
+                            found[text[window]].setdefault(name, []).append((rank, start, length, places))
+        return [_undisputed(own) for own in found]
 
 
 def with_licenses(
@@ -206,8 +225,8 @@ def with_licenses(
 
     A license is listed once per document, with the window that holds most of one of its templates:
     the window's first word (counted from 0), its number of words, and the share of the template's
-    distinct shingles in it. Where windows of two licenses overlap, such as two versions of one, only
-    the one with the larger share is listed. NULL or empty texts hold none. Repeated rows are searched each for
+    distinct shingles in it. Where two licenses of one family, such as two versions, match the same
+    passage, only the one with the larger share is listed; any other license is kept. NULL or empty texts hold none. Repeated rows are searched each for
     itself, other columns are kept, one named like ``licenses`` is replaced. Documents are not moved;
     the templates are a fixed list of a few pages.
     """
