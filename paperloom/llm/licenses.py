@@ -43,6 +43,10 @@ TEMPLATES = {
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, "
+        "worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare "
+        "Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such "
+        "Derivative Works in Source or Object form.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
         "compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0",
@@ -52,6 +56,9 @@ TEMPLATES = {
     ],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
+        "The licenses for most software are designed to take away your freedom to share and change it. By contrast, "
+        "the GNU General Public License is intended to guarantee your freedom to share and change free software--to "
+        "make sure the software is free for all its users.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation; either version 2 of the License, "
         "or (at your option) any later version.",
@@ -59,11 +66,58 @@ TEMPLATES = {
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
+        "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
         "General Public License as published by the Free Software Foundation, either version 3 of the License, "
         "or (at your option) any later version.",
         "SPDX-License-Identifier: GPL-3.0",
     ],
+    "GPL-2.0-only": [
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License version 2 as published by the Free Software Foundation.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation; version 2 of the License.",
+        "SPDX-License-Identifier: GPL-2.0-only",
+    ],
+    "GPL-3.0-only": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+        "General Public License as published by the Free Software Foundation, version 3 of the License.",
+        "SPDX-License-Identifier: GPL-3.0-only",
+    ],
+    "AGPL-3.0": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, "
+        "or (at your option) any later version.",
+        "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, "
+        "specifically designed to ensure cooperation with the community in the case of network server software.",
+        "SPDX-License-Identifier: AGPL-3.0",
+    ],
+    "LGPL-2.1": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, "
+        "or (at your option) any later version.",
+        "SPDX-License-Identifier: LGPL-2.1",
+    ],
+    "LGPL-3.0": [
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, "
+        "or (at your option) any later version.",
+        "SPDX-License-Identifier: LGPL-3.0",
+    ],
+    "BSD-3-Clause": [
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission.",
+    ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+        "License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
+    "CC0-1.0": [
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+        "rights to this software to the public domain worldwide. This software is distributed without any warranty.",
+        "SPDX-License-Identifier: CC0-1.0",
+    ],
     "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met:",
@@ -91,7 +145,7 @@ TEMPLATES = {
 
 
 #: Licenses whose statements differ by a version or a word; only these dispute a passage.
-FAMILY = {name: name.partition("-")[0] for name in TEMPLATES if name.startswith(("GPL", "CC"))}
+FAMILY = {name: "GPL" if "GPL" in name else "CC" for name in TEMPLATES if "GPL" in name or name.startswith("CC")}
 
 
 def minhash_bands(shingles: np.ndarray, valid: np.ndarray) -> np.ndarray:
@@ -137,17 +191,19 @@ def _undisputed(found: dict[str, list[tuple]]) -> list[dict]:
     """The best window of each license, without those that another license of its family fits better.
 
     A window is disputed when more than half of its matched shingles stand between the first and
-    last matched shingle of a window of that other license with a larger share. A license goes only
-    when all its windows are disputed.
+    last matched shingle of a window of that other license with a larger share, or an equal share of
+    a longer template. A license goes only when all its windows are disputed.
     """
 
     shares = {name: np.array([w[0][0] for w in windows]) for name, windows in found.items()}
+    sizes = {name: np.array([w[0][1] for w in windows]) for name, windows in found.items()}
     ranges = {name: np.array([(w[3][0], w[3][-1] + 1) for w in windows]) for name, windows in found.items()}
 
     def disputed(name: str, rank: tuple, places: np.ndarray) -> bool:
         for other in found:
             if other != name and FAMILY.get(other, other) == FAMILY.get(name, name):
-                low, high = np.searchsorted(places, ranges[other][shares[other] > rank[0]].T)
+                better = (shares[other] > rank[0]) | ((shares[other] == rank[0]) & (sizes[other] > rank[1]))
+                low, high = np.searchsorted(places, ranges[other][better].T)
                 if (2 * (high - low) > len(places)).any():
                     return True
         return False

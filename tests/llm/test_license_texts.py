@@ -24,3 +24,11 @@ def test_versions_dispute_a_passage_but_not_each_other_elsewhere():
     assert names("Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0.") == ["CC-BY-4.0", "CC-BY-SA-4.0"]
     # A better version elsewhere in the text does not hide a passage of its own.
     assert names("This work is licensed under the GNU General Public License, version 3. " + "word " * 99 + GPL2) == ["GPL-2.0", "GPL-3.0"]
+
+
+@pytest.mark.parametrize("name", ["GPL-2.0-only", "GPL-3.0-only", "AGPL-3.0", "LGPL-2.1", "LGPL-3.0", "BSD-3-Clause", "EPL-2.0", "CC0-1.0"])
+def test_notices_are_told_apart(name):
+    for notice in licenses.TEMPLATES[name]:
+        assert names(f"Here begins a file. {notice} Here it goes on.") == [name]
+    for known in ("MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0"):
+        assert all(names(f"Here begins a file. {notice} Here it goes on.") == [known] for notice in licenses.TEMPLATES[known])
