@@ -8,6 +8,10 @@ the index: backward search gives the matching statistics of each window, and a w
 its whole length belongs to the smallest document in its range. Words covered by a window of a
 larger document are removed.
 
+An anchor with more than ``HOT_WORDS`` words of segments, such as one in a notice that many documents
+hold in different surroundings, is split: each window is a segment of its own and its shard follows
+from the whole window, so that equal windows still meet and no anchor fills a shard.
+
 Copies are reduced before they move: of equal segments in one task's buffer only those of the
 smallest document are sent, the others are known to be removed.
 """
@@ -33,6 +37,8 @@ ANCHOR_WORDS = 5
 BUFFER_BYTES = 16 << 20
 #: Text for each group of anchors, and for each shard.
 ANCHOR_TEXT, SHARD_TEXT = 48 << 20, 12 << 20
+#: Words of one anchor's segments from which they are sent window by window, each to its own shard.
+HOT_WORDS = 1 << 16
 #: Bits of an anchor that are compared to find out which occur twice; more hits only cost time.
 _ANCHOR_SHIFT = np.uint64(20)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -257,7 +263,38 @@ def covered_spans(docs: np.ndarray, sizes: np.ndarray, words: np.ndarray) -> tup
     return segment[edges], place[edges], place[last] + WINDOW if len(lost) else place
 
 
-def _covered(rows: DataFrame, parts: int) -> DataFrame:
+def _hot_anchors(rows: DataFrame) -> np.ndarray:
+    """The anchors with more than ``HOT_WORDS`` words of segments, ascending; ``rows`` has the shared ordinals.
+
+    At most one for each ``HOT_WORDS`` words of the segments comes to the driver.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for buffer in _buffers(batches):
+            *_, size, anchor, _ = buffer.gathered()
+            names, which = np.unique(anchor, return_inverse=True)
+            total = np.bincount(which, weights=size, minlength=len(names)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(total)], ["anchor", "words"])
+
+    counted = rows.mapInArrow(count, "anchor long, words long").groupBy("anchor").agg(F.sum("words").alias("words"))
+    hot = [row.anchor for row in counted.where(F.col("words") > HOT_WORDS).select("anchor").collect()]
+    return np.sort(np.array(hot, dtype=np.int64).view(np.uint64))
+
+
+def split_segments(words: np.ndarray, hot: np.ndarray, text: np.ndarray, place: np.ndarray, start: np.ndarray, size: np.ndarray, anchor: np.ndarray) -> list[np.ndarray]:
+    """text, place, start, words and anchor of the segments, those of hot anchors window by window.
+
+    ``words`` has the hashes ``place`` counts in. A window's anchor is made from all its words.
+    """
+    split = np.isin(anchor, hot)
+    count = size[split] - WINDOW + 1
+    step = spans(np.zeros(len(count), dtype=np.int64), count)
+    at = np.repeat(place[split], count) + step
+    new = [np.repeat(text[split], count), at, np.repeat(start[split], count) + step, np.full(len(at), WINDOW), mix(grams(words, WINDOW)[at])]
+    return [np.concatenate((old[~split], made)) for old, made in zip((text, place, start, size, anchor), new)]
+
+
+def _covered(rows: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
     """(doc, row, body): for each row the word ranges to remove. ``rows`` has the shared ordinals."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,6 +303,8 @@ def _covered(rows: DataFrame, parts: int) -> DataFrame:
             if not len(text):
                 continue
             words = np.concatenate(buffer.words)
+            if len(hot):
+                text, place, start, size, anchor = split_segments(words, hot, text, place, start, size, anchor)
             power = powers(_BASE, len(words) + 1)
             running = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(words * power[:-1], dtype=np.uint64)))
             # Equal runs of words at different places differ by a power of the base.
@@ -325,7 +364,7 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     anchors = _shared_anchors(narrow, max(1, -(-size // ANCHOR_TEXT)))
     anchors.withColumnRenamed("body", "shared").write.parquet(f"{folder}/anchors")
     chosen = narrow.join(spark.read.parquet(f"{folder}/anchors"), ["doc", "row"])
-    covered = _covered(chosen, max(1, -(-size // SHARD_TEXT)))
+    covered = _covered(chosen, max(1, -(-size // SHARD_TEXT)), _hot_anchors(chosen))
     covered.write.parquet(f"{folder}/covered")
     names_of = {"doc": "__doc", "row": "__row", "body": "__spans"}
     covered = spark.read.parquet(f"{folder}/covered").withColumnsRenamed(names_of)

@@ -96,3 +96,38 @@ def test_search_equals_counting(alphabet, length):
     padded = symbols.tolist() + [0] * length
     runs = [padded[i : i + length] for i in order]
     assert runs == sorted(runs)
+
+
+def test_a_common_notice_in_different_surroundings_is_split(docs, monkeypatch):
+    monkeypatch.setattr(substrings, "HOT_WORDS", 100)
+    monkeypatch.setattr(substrings, "SHARD_TEXT", 4000)
+    monkeypatch.setattr(substrings, "BUFFER_BYTES", 2000)
+    indexed, covered_spans = spark_counter(docs), substrings.covered_spans
+
+    def counted(docs, sizes, words):
+        indexed.add(int(sizes.max()))
+        return covered_spans(docs, sizes, words)
+
+    monkeypatch.setattr(substrings, "covered_spans", counted)
+    draw = random.Random(8)
+    notice = " ".join(f"n{i}" for i in range(14))
+    rows = []
+    for i in range(120):
+        before, after = (" ".join(str(draw.random()) for _ in range(20)) for _ in range(2))
+        rows.append((i, f"{before} {notice} {after}"))
+    found = substrings.dedup_substrings(docs(rows, 4)).collect()
+    assert sorted(((r.doc_id, r.text, r.n_words, r.n_removed) for r in found), key=str) == brute(rows)
+    assert indexed.value == substrings.WINDOW  # the shards hold single windows, not the surroundings
+
+
+def spark_counter(docs):
+    from pyspark.accumulators import AccumulatorParam
+
+    class Largest(AccumulatorParam):
+        def zero(self, value):
+            return 0
+
+        def addInPlace(self, one, other):
+            return max(one, other)
+
+    return docs([]).sparkSession.sparkContext.accumulator(0, Largest())
