@@ -7,10 +7,8 @@ need together.
 """
 
 import math
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import public_tokenizers
@@ -19,134 +17,54 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
-from tokenizers import Tokenizer
 
+from paperloom.llm.pieces import ByteIds, ragged_places
 from paperloom.llm.text import slices
 from paperloom.session import work_folder
 
 SEQUENCE_TOKENS = 2048
-MAX_SEGMENTS = 256
+MAX_SEGMENTS = 12
+#: Loss-bearing tokens of a sequence, and the most ids of a piece: a whole piece reaches the limit.
+LOSS_TOKENS = 2040
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 1
 #: Examples that are packed together; each such group ends with at most a few open sequences.
 GROUP_ITEMS = 4096
-#: Word pieces a tokenizing task remembers at most before it starts anew.
-MEMORY_WORDS = 600_000
-_JOINED = 256
-_OTHER_BLANKS = re.compile(r"[^\S \n]")
-
-
-class WordEncoder:
-    """Token ids of texts; every distinct piece between single blanks is encoded once.
-
-    The tokenizer splits texts before a single space or line end between other characters, and
-    encodes what lies between on its own, so ids can be put together piece by piece. Texts with
-    other white space at such a place are encoded whole.
-    """
-
-    def __init__(self, path: str):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        size = self.tokenizer.get_vocab_size()
-        first = [(self.tokenizer.id_to_token(i) or "?")[0] for i in range(size)]
-        self.opens = np.array([c in "ĠĊ" for c in first])
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, dtype=np.uint32)
-        self.ends = np.zeros(1 << 16, dtype=np.int64)
-        self.used = 0
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Pieces stand for themselves after a space; those that begin with a line end, as they are."""
-        for at in range(0, len(pieces), _JOINED):
-            some = pieces[at : at + _JOINED]
-            whole = [p if p[0] == "\n" else " " + p for p in some]
-            ids = self._ids("".join(whole))
-            starts = np.flatnonzero(self.opens[ids]) if len(ids) else np.zeros(0, int)
-            if len(starts) != len(some):
-                parts = [self._ids(p) for p in whole]
-                ids, starts = np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])])
-            ends = np.append(starts[1:], len(ids))
-            count, base = len(self.number), self.used
-            while base + len(ids) > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-            while count + len(some) > len(self.ends):
-                self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
-            self.ids[base : base + len(ids)] = ids
-            self.ends[count : count + len(some)] = base + ends
-            self.used = base + len(ids)
-            self.number.update(zip(some, range(count, count + len(some))))
-
-    @staticmethod
-    def _odd(pieces: set[str]) -> set[str]:
-        """Pieces next to further white space, which the tokenizer would see together."""
-        odd = pieces & {"", "\n"}
-        if _OTHER_BLANKS.search("".join(pieces)):
-            bare = {p: p[1:] if p[0] == "\n" else p for p in pieces - odd}
-            odd |= {p for p, b in bare.items() if b[0].isspace() or b[-1].isspace()}
-        return odd
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.number) > MEMORY_WORDS:
-            self._forget()
-        pieces = [text.replace("\n", " \n").split(" ") for text in texts]
-        number = self.number.get
-        # The first piece stands at the text's start, not after a space, and is encoded by itself.
-        found = [np.fromiter(map(number, own, repeat(-1)), dtype=np.int64, count=len(own))[1:] for own in pieces]
-        gaps = [np.flatnonzero(which < 0).tolist() for which in found]
-        new = {own[i + 1] for own, missing in zip(pieces, gaps) for i in missing}
-        odd = self._odd(new)
-        self._learn(list(new - odd))
-        out = []
-        for text, own, which, missing in zip(texts, pieces, found, gaps):
-            head = own[0]
-            which[missing] = [number(own[i + 1], -1) for i in missing]
-            if not head or head[0].isspace() or head[-1].isspace() or (which[missing] < 0).any():
-                out.append(self._ids(text))
-                continue
-            ends = self.ends[which]
-            sizes = ends - np.where(which > 0, self.ends[which - 1], 0)
-            take = np.arange(sizes.sum()) + np.repeat(ends - np.cumsum(sizes), sizes)
-            out.append(np.concatenate((self._ids(head), self.ids[take])))
-        return out
 
 
 def document_pieces(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", tokenizer: str | None = None, limit: int = SEQUENCE_TOKENS
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", tokenizer: str | None = None, limit: int = LOSS_TOKENS
 ) -> DataFrame:
-    """(id, start, length, ids_crc32, doc_tokens): each document's ids cut into pieces.
+    """(id, start, length, ids_crc32, doc_tokens, loss_tokens): each document's ids cut into pieces.
 
-    A document is its token ids and an end id. It is cut after every ``limit`` ids; a NULL or
-    empty text is one piece with the end id alone.
+    A document is its token ids and an end id, which bears no loss. It is cut after every
+    ``limit`` ids; a NULL or empty text is one piece with the end id alone. The tokenizer is
+    used as its file has it, so a special token's string gives that token. Every row is a
+    document, whether its id is NULL or repeated; of further columns none is in the result.
     """
     path = tokenizer or str(public_tokenizers.path(TOKENIZER))
     kind = docs.schema[id_column].dataType.simpleString()
-    names = [id_column, "start", "length", "ids_crc32", "doc_tokens"]
+    names = [id_column, "start", "length", "ids_crc32", "doc_tokens", "loss_tokens"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        book = ByteIds(path)
         for batch in batches:
             for part in slices(batch, text):
-                rows, starts, lengths, sums, totals = [], [], [], [], []
-                for row, ids in enumerate(encoder.encode([t or "" for t in part.column(text).to_pylist()])):
-                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
-                    for start in range(0, len(ids), limit):
-                        piece = ids[start : start + limit]
-                        rows.append(row)
-                        starts.append(start)
-                        lengths.append(len(piece))
-                        sums.append(zlib.crc32(piece.tobytes()))
-                        totals.append(len(ids))
-                ids_of = part.column(id_column).take(pa.array(rows, pa.int64()))
-                columns = [pa.array(v, pa.int64()) for v in (starts, lengths, sums, totals)]
+                ids, sizes = book.encode(part.column(text))
+                ids = np.insert(ids, np.cumsum(sizes), END_ID).astype("<u4")
+                sizes = sizes + 1
+                counts = -(-sizes // limit)
+                row = np.repeat(np.arange(len(sizes)), counts)
+                start = ragged_places(np.zeros_like(counts), counts) * limit
+                length = np.minimum(limit, sizes[row] - start)
+                ends, body = np.cumsum(length).tolist(), memoryview(ids).cast("B")
+                sums = [zlib.crc32(body[4 * a : 4 * b]) for a, b in zip([0, *ends], ends)]
+                loss = length - (start + length == sizes[row])
+                ids_of = part.column(id_column).take(pa.array(row))
+                columns = [pa.array(v, pa.int64()) for v in (start, length, sums, sizes[row], loss)]
                 yield pa.RecordBatch.from_arrays([ids_of, *columns], names)
 
-    schema = f"`{id_column}` {kind}, start long, length long, ids_crc32 long, doc_tokens long"
+    schema = f"`{id_column}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long"
     return docs.select(id_column, text).mapInArrow(cut, schema)
 
 
@@ -190,7 +108,7 @@ def pack(
     examples: DataFrame,
     tokens: str = "tokens",
     loss_tokens: str = "loss_tokens",
-    limits: tuple[int, int, int] = (SEQUENCE_TOKENS, MAX_SEGMENTS, SEQUENCE_TOKENS),
+    limits: tuple[int, int, int] = (SEQUENCE_TOKENS, MAX_SEGMENTS, LOSS_TOKENS),
     group_items: int = GROUP_ITEMS,
 ) -> DataFrame:
     """All columns plus ``sequence_id`` and ``offset``, the example's first token in its sequence.
@@ -233,9 +151,8 @@ def pack(
 def pack_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text", tokenizer: str | None = None) -> DataFrame:
     """Every document's pieces with their places in sequences of ``SEQUENCE_TOKENS``.
 
-    All tokens of a document bear loss. See ``document_pieces`` for the pieces and ``pack`` for
-    the placing.
+    All tokens of a document but its end id bear loss. See ``document_pieces`` for the pieces
+    and ``pack`` for the placing.
     """
-    pieces = document_pieces(docs, id_column, text, tokenizer)
-    placed = pack(pieces.withColumn("loss_tokens", F.col("length")), tokens="length")
+    placed = pack(document_pieces(docs, id_column, text, tokenizer), tokens="length")
     return placed.select(id_column, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

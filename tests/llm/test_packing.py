@@ -1,13 +1,15 @@
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm_rows import docs  # noqa: F401
-from paperloom.llm import packing
+from paperloom.llm import packing, pieces
 
 TEXTS = [
     "", None, "word", " lead", "trail ", "two  spaces", "a\n\nb", "a\nb c\nd", "tab\tin side", "x \t y", "don't we're I'll", "\n", " ", "\r\n line",
@@ -15,24 +17,36 @@ TEXTS = [
 ]
 
 
+_DRAW = random.Random(7)
+_PARTS = ["a", "Word", " ", "  ", "\n", "\n\n", ".", ",", "'s", "'", "12", "é", "日本", "\t", "\xa0", "\u2003", "\x85", "\x1c", "!?", ".\n", ", ", "😀", "\u3000", "<|endoftext|>", "-", ":x", "\r\n", "a." * 700]
+ODD = ["".join(_DRAW.choices(_PARTS, k=_DRAW.randint(1, 30))) for _ in range(800)]
+
+
 @pytest.fixture(scope="module")
 def reference():
     tokenizer = Tokenizer.from_file(str(public_tokenizers.path(packing.TOKENIZER)))
-    tokenizer.encode_special_tokens = True
     return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def test_piecewise_ids_equal_the_tokenizer(reference):
-    encoder = packing.WordEncoder(str(public_tokenizers.path(packing.TOKENIZER)))
-    for texts in (TEXTS, TEXTS[::-1]):
-        for text, ids in zip(texts, encoder.encode([t or "" for t in texts])):
-            assert [*ids.tolist(), 1] == reference(text), text
+    book = pieces.ByteIds(str(public_tokenizers.path(packing.TOKENIZER)))
+    for texts in (TEXTS, TEXTS[::-1], ODD, ODD * 3):
+        ids, sizes = book.encode(pa.array(texts, pa.string()))
+        ends = np.cumsum(sizes)
+        for text, a, b in zip(texts, ends - sizes, ends):
+            assert [*ids[a:b].tolist(), 1] == reference(text), text
+
+
+def test_forgotten_pieces_are_learnt_again(reference, monkeypatch):
+    monkeypatch.setattr(pieces, "MEMORY_PIECES", 3)
+    test_piecewise_ids_equal_the_tokenizer(reference)
 
 
 def test_documents_round_trip(docs, reference):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(3, "again"), (None, "no id")]
+    step = packing.LOSS_TOKENS
     found = packing.pack_documents(docs(rows).withColumn("length", F.lit(1))).collect()
-    want = sorted((str(i), len(ids), zlib.crc32(np.array(ids[a : a + 2048], dtype="<u4").tobytes()), a) for i, t in rows for ids in [reference(t)] for a in range(0, len(ids), 2048))
+    want = sorted((str(i), len(ids), zlib.crc32(np.array(ids[a : a + step], dtype="<u4").tobytes()), a) for i, t in rows for ids in [reference(t)] for a in range(0, len(ids), step))
     assert sorted((str(r.doc_id), r.doc_tokens, r.ids_crc32, r.start) for r in found) == want
     sequences = {}
     for r in found:
@@ -57,6 +71,20 @@ def test_all_limits_hold_and_little_is_left_empty():
     assert tokens.sum() / 2048 / (sequence.max() + 1) > 0.95
 
 
+def test_each_limit_decides_on_the_documents(spark):
+    """On the test documents some sequences are closed by each of the three limits alone."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    small = table.select("doc_id", F.substring_index("text", " ", 3).alias("text"))
+    found = packing.pack_documents(table.select("doc_id", "text").union(small)).collect()
+    used = {}
+    for r in found:
+        tokens, count, loss = used.get(r.sequence_id, (0, 0, 0))
+        used[r.sequence_id] = (tokens + r.length, count + 1, loss + r.length - (r.start + r.length == r.doc_tokens))
+    at = [(t == 2048, n == packing.MAX_SEGMENTS, x == packing.LOSS_TOKENS) for t, n, x in used.values()]
+    assert all(t <= 2048 and n <= packing.MAX_SEGMENTS and x <= packing.LOSS_TOKENS for t, n, x in used.values())
+    assert {(True, False, False), (False, True, False), (False, False, True)} <= set(at)
+
+
 def test_examples_of_odd_sizes(spark):
     rows = [(1, 5000, 10), (2, None, None), (3, 0, 0), (4, 100, 3000), (5, 100, None), (5, 100, None)]
     frame = spark.createDataFrame(rows, "id long, tokens long, loss_tokens long").withColumn("offset", F.lit("x"))
