@@ -151,8 +151,8 @@ class PieceBook:
         """Start the learnt data anew."""
         raise NotImplementedError
 
-    def learn(self, pieces: list[bytes], joinable: np.ndarray) -> None:
-        """Append the data of each new piece, in order."""
+    def learn(self, pieces: list[bytes], carried: np.ndarray, joinable: np.ndarray) -> None:
+        """Append the data of each new piece, in order; ``carried`` and ``joinable`` as in ``split_runs``."""
         raise NotImplementedError
 
     def held(self) -> int:
@@ -178,8 +178,9 @@ class PieceBook:
             pieces = [text[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
             odd = cut.odd[np.searchsorted(cut.first, at, side="right") - 1]
             opens = cut.data[starts]
-            joinable = ((opens == 32) | _MARK[opens]) & ~_BLANK[cut.data[ends - 1]] & ~odd
-            self.learn(pieces, joinable)
+            carried = _MARK[opens] & ~odd
+            joinable = ((opens == 32) | carried) & ~_BLANK[cut.data[ends - 1]] & ~odd
+            self.learn(pieces, carried, joinable)
             rows[new] = self.count + np.arange(len(new))
             self.count += len(new)
             # Both are sorted, so the new names slip in between the old ones.
@@ -189,15 +190,19 @@ class PieceBook:
 
 
 def split_runs(
-    pieces: list[bytes], joinable: np.ndarray, encode: Callable[[list[bytes]], list[np.ndarray]], lengths: np.ndarray
+    pieces: list[bytes],
+    carried: np.ndarray,
+    joinable: np.ndarray,
+    encode: Callable[[list[bytes]], list[np.ndarray]],
+    lengths: np.ndarray,
 ) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all pieces one after the other, and how many each piece has.
 
-    ``encode`` gives the ids of some texts and ``lengths`` the bytes of each id. Joinable pieces
+    ``encode`` gives the ids of some texts and ``lengths`` the bytes of each id. Carried pieces
+    begin with a mark and are encoded behind ``CARRIER``, whose token is dropped. Joinable pieces
     are encoded many at a time; where their ends are no ends of tokens, each by itself.
     """
-    carried = [j and p[0] != 32 for p, j in zip(pieces, joinable.tolist())]
-    whole = [CARRIER + p if c else p for p, c in zip(pieces, carried)]
+    whole = [CARRIER + p if c else p for p, c in zip(pieces, carried.tolist())]
     runs, start = [], 0
     for stop in [*np.flatnonzero(~joinable).tolist(), len(pieces)]:
         runs += [(a, min(a + JOINED, stop)) for a in range(start, stop, JOINED)]
@@ -217,7 +222,7 @@ def split_runs(
                 found, counts = np.concatenate(parts), np.array([len(p) for p in parts])
         else:
             counts = np.array([len(found)])
-        drop = np.array(carried[a:b])
+        drop = carried[a:b]
         if drop.any():
             found = np.delete(found, (np.cumsum(counts) - counts)[drop])
             counts = counts - drop
@@ -242,9 +247,9 @@ class ByteTokenizer:
         found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
         return [np.array(e.ids, dtype=np.uint32) for e in found]
 
-    def encode(self, pieces: list[bytes], joinable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, pieces: list[bytes], carried: np.ndarray, joinable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All pieces' ids one after the other, and how many each piece has."""
-        return split_runs(pieces, joinable, self._encode, self.lengths)
+        return split_runs(pieces, carried, joinable, self._encode, self.lengths)
 
 
 class ByteIds(PieceBook):
@@ -260,8 +265,8 @@ class ByteIds(PieceBook):
     def held(self) -> int:
         return self.ids.used
 
-    def learn(self, pieces: list[bytes], joinable: np.ndarray) -> None:
-        self.ids.append(*self.tokens.encode(pieces, joinable))
+    def learn(self, pieces: list[bytes], carried: np.ndarray, joinable: np.ndarray) -> None:
+        self.ids.append(*self.tokens.encode(pieces, carried, joinable))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All texts' ids one after the other, and how many each text has."""

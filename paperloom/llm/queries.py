@@ -4,9 +4,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.llm import (
+    alignment,
+    conversations,
     decontaminate,
     licenses,
     lines,
+    mixing,
     neighbours,
     packing,
     quality,
@@ -96,6 +99,32 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_capped_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = mixing.with_sizes(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    mixed = mixing.mix_sources(docs.drop("text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op12_diagonal_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op13_block_table_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = conversations.repair_conversations(conversations.damage(rows))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    digest = F.sha2(F.array_join(F.coalesce(said, F.array().cast("array<string>")), "\n"), 256)
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = repaired.withColumnRenamed("conv_id", "__id")
+    every = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("__id")), "left")
+    return every.select(
+        "conv_id",
+        *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        digest.alias("repaired_sha256"),
+    )
+
+
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 OP10_SQL = f"""
@@ -144,6 +173,47 @@ SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha25
 FROM kept
 """
 
+OP11_SQL = f"""
+WITH rows AS (
+  SELECT doc_id, source,
+    coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+    ('0x' || substr(md5(concat_ws(':', '{mixing.SEED}', coalesce(doc_id::VARCHAR, ''), coalesce(text, ''))), 1, 15))::BIGINT AS draw
+  FROM documents
+), sizes AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+  FROM rows GROUP BY source
+), ranked AS (
+  SELECT *, 3 * source_size AS cap, row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS place FROM sizes
+), levels AS (
+  SELECT *, (SELECT sum(source_size) FROM sizes) - coalesce(sum(cap) OVER before, 0) AS rest, sum(weight) OVER onward AS free
+  FROM ranked
+  WINDOW before AS (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    onward AS (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), open AS (
+  SELECT rest, free, place FROM levels WHERE cap * free > rest * weight ORDER BY place LIMIT 1
+), targets AS (
+  SELECT r.source, r.source_size,
+    CASE WHEN o.place IS NULL OR r.place < o.place THEN cap::DOUBLE ELSE (o.rest * weight)::DOUBLE / o.free::DOUBLE END AS target
+  FROM ranked r LEFT JOIN open o ON true
+), parts AS (
+  SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3) ELSE 0 END::BIGINT AS whole FROM targets
+), running AS (
+  SELECT source, draw, sum(size)::DOUBLE AS amount, sum(sum(size)) OVER (PARTITION BY source ORDER BY draw)::DOUBLE AS after
+  FROM rows GROUP BY source, draw
+), cuts AS (
+  SELECT p.source, min_by(draw, draw) AS cut,
+    min_by((target - whole * source_size - (after - amount)) * 2 >= amount, draw) AS edge
+  FROM parts p JOIN running r ON p.source IS NOT DISTINCT FROM r.source
+  WHERE target - whole * source_size > 0 AND after >= target - whole * source_size
+  GROUP BY p.source
+)
+SELECT doc_id, size, source_size, target,
+  size * (whole + coalesce(draw < cut OR (edge AND draw = cut), false)::BIGINT) AS taken
+FROM rows d JOIN parts p ON d.source IS NOT DISTINCT FROM p.source
+LEFT JOIN cuts c ON d.source IS NOT DISTINCT FROM c.source
+"""
+
 LLM_QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_secret_scans": op2_secret_scans,
@@ -155,5 +225,8 @@ LLM_QUERIES = {
     "op8_collision_counting": op8_collision_counting,
     "op9_license_scans": op9_license_scans,
     "op10_line_dedup": op10_line_dedup,
+    "op11_capped_mixing": op11_capped_mixing,
+    "op12_diagonal_alignment": op12_diagonal_alignment,
+    "op13_block_table_repair": op13_block_table_repair,
 }
-LLM_ORACLE = {"op4_fm_index_substrings": OP4_SQL, "op10_line_dedup": OP10_SQL}
+LLM_ORACLE = {"op4_fm_index_substrings": OP4_SQL, "op10_line_dedup": OP10_SQL, "op11_capped_mixing": OP11_SQL}

@@ -1,0 +1,115 @@
+from collections import defaultdict
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from compare import connect, differences
+from paperloom.llm import mixing
+from paperloom.llm.queries import OP11_SQL, op11_capped_mixing
+
+FIELDS = "doc_id long, text string, source string"
+
+
+def filled(sizes, weights, total, most=3):
+    """Water-filling by exact fractions."""
+    clamped = set()
+    while True:
+        free = [s for s in sizes if s not in clamped and weights.get(s, 0) > 0]
+        rest = total - sum(most * sizes[s] for s in clamped)
+        share = {s: Fraction(rest * weights[s], sum(weights[f] for f in free)) for s in free}
+        over = {s for s in free if share[s] >= most * sizes[s]}
+        if not over:
+            return {s: most * sizes[s] if s in clamped else share.get(s, 0) for s in sizes}
+        clamped |= over
+
+
+def check(rows, weights=None):
+    by = defaultdict(list)
+    for r in rows:
+        by[r.source].append(r)
+    names = sorted((s for s in by if s is not None), key=lambda s: s.encode()) + [s for s in by if s is None]
+    sizes = {s: sum(r.size for r in by[s]) for s in names}
+    weights = weights or {s: i % 3 + 1 for i, s in enumerate(names)}
+    want = filled(sizes, weights, sum(sizes.values()))
+    for s in names:
+        assert all(r.target == pytest.approx(float(want[s])) and r.source_size == sizes[s] for r in by[s])
+        longest = max(r.size for r in by[s])
+        assert abs(sum(r.taken for r in by[s]) - want[s]) <= longest / 2 + 1e-6, s
+        counts = {r.repeats for r in by[s]}
+        assert max(counts) <= 3 and max(counts) - min(counts) <= 1
+    return want
+
+
+def make(spark, rows, **extra):
+    frame = spark.createDataFrame(rows, FIELDS).repartition(5)
+    return mixing.with_sizes(frame.withColumns({k: F.lit(v) for k, v in extra.items()}))
+
+
+def test_query_equals_its_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    assert differences(op11_capped_mixing(spark, folder), connect(folder), OP11_SQL) is None
+
+
+def test_targets_and_taken_words_of_a_skewed_mix(spark):
+    sizes = {"hot": 300, "b": 5, "c": 1, "ä": 40, "Z": 90, None: 70, "": 12}
+    rows = [(i, "w " * (1 + (7 * i) % 50), s) for s, n in sizes.items() for i in range(n)]
+    found = mixing.mix_sources(make(spark, rows)).collect()
+    assert len(found) == len(rows)
+    want = check(found)
+    # Small sources stop at three times their size, and what they leave goes to the others.
+    assert {s for s in want if want[s] == 3 * next(r.source_size for r in found if r.source == s)} >= {"b", "c"}
+    assert sum(want.values()) == next(sum(r.size for r in found) for _ in [0])
+
+
+def test_reruns_agree_and_partitions_do_not_matter(spark):
+    rows = [(i, "w " * (i % 13), f"s{i % 4}") for i in range(500)]
+    first = {(r.doc_id, r.taken) for r in mixing.mix_sources(make(spark, rows)).collect()}
+    again = {(r.doc_id, r.taken) for r in mixing.mix_sources(make(spark, rows[::-1]).repartition(2)).collect()}
+    assert first == again
+    other = mixing.mix_sources(mixing.with_sizes(spark.createDataFrame(rows, FIELDS), seed=5)).collect()
+    assert {(r.doc_id, r.taken) for r in other} != first
+
+
+def test_given_weights(spark):
+    rows = [(i, "w " * 10, s) for i, s in enumerate(["a"] * 50 + ["b"] * 50 + ["c"] * 50 + [None] * 5)]
+    weights = spark.createDataFrame([("a", 1), ("b", 3), (None, 1)], "source string, weight long")
+    found = mixing.mix_sources(make(spark, rows), weights).collect()
+    check(found, {"a": 1, "b": 3, None: 1})
+    assert all(r.taken == 0 for r in found if r.source == "c")
+
+
+def test_clashing_names_odd_texts_and_repeated_rows(spark):
+    rows = [(1, None, "a"), (1, None, "a"), (2, "", "a"), (None, " \t\n", "a"), (3, "x" * 200_000, "a"), (4, "w " * 100_000, None), (4, "w " * 100_000, None), (5, "　 one\xa0two", "b")]
+    found = mixing.mix_sources(make(spark, rows, size="x", draw=1, target="y", repeats=9, taken=None, weight=2, whole=1, part=0, cut=3, rank=4)).collect()
+    assert sorted(r.size for r in found) == [0, 0, 0, 0, 1, 2, 100_000, 100_000]
+    assert {(r.weight, r.whole, r.part, r.cut, r.rank) for r in found} == {(2, 1, 0, 3, 4)}
+    twins = [r.taken for r in found if r.doc_id == 4]
+    assert len(twins) == 2 and twins[0] == twins[1]
+    nothing = mixing.mix_sources(make(spark, [(1, None, "a"), (2, "", None)])).collect()
+    assert [(r.target, r.taken) for r in nothing] == [(0.0, 0)] * 2
+    assert mixing.mix_sources(make(spark, [])).count() == 0
+
+
+def test_many_sources_are_numbered_over_ranges(spark):
+    names = spark.range(3000).select(F.concat(F.lit("s"), F.pmod(F.hash("id"), F.lit(100000))).alias("source")).distinct()
+    names = names.union(spark.createDataFrame([(None,)], "source string"))
+    found = mixing.numbered_sources(names.repartition(7)).collect()
+    want = sorted((r.source for r in found if r.source is not None)) + [None]
+    assert [r.source for r in sorted(found, key=lambda r: r.rank)] == want
+    assert [r.rank for r in sorted(found, key=lambda r: r.rank)] == list(range(len(found)))
+
+
+def test_the_mix_holds_each_row_as_often_as_taken(spark):
+    rows = [(i, "w " * 5, "abc"[i % 3] if i else None) for i in range(60)]
+    mixed = mixing.mix_sources(make(spark, rows))
+    times = {r.doc_id: r.repeats for r in mixed.collect()}
+    copies = defaultdict(list)
+    for r in mixing.repeated_rows(mixed).collect():
+        copies[r.doc_id].append(r.copy)
+    assert {i: sorted(c) for i, c in copies.items()} == {i: list(range(1, n + 1)) for i, n in times.items() if n}
+
+
+def test_plan_has_no_python(spark):
+    plan = mixing.mix_sources(make(spark, [(1, "a", "s")]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
