@@ -10,6 +10,7 @@ from pyspark.sql.utils import AnalysisException
 
 from paperloom import schemas
 from paperloom.functions.text import render_list
+from paperloom.operators import keyindex
 from paperloom.operators.lookup import BROADCAST_BYTES, attach
 
 PART = "batch"
@@ -91,6 +92,52 @@ def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_batches(spark, path, schema).drop(PART)
 
 
+def _indexed(spark: SparkSession, path: str, schema: str, kind: str) -> DataFrame | None:
+    """The table's key index; None for a new table.
+
+    A table from before it had an index gets one entry per batch that may hold any key, so its
+    batches are opened by every merge until ``index_batches`` has read them.
+    """
+    index = keyindex.read_index(spark, path, kind)
+    if index is None:
+        for row in read_batches(spark, path, schema).select(PART).distinct().collect():
+            keyindex.open_batch(spark, path, row[0], kind)
+        index = keyindex.read_index(spark, path, kind)
+    return index
+
+
+def index_batches(spark: SparkSession, path: str, schema: str, key: str = "pmid") -> None:
+    """Read the keys of all batches once and enter their ranges and filters."""
+    rows = read_batches(spark, path, schema)
+    for row in rows.select(PART).distinct().collect():
+        keyindex.close_batch(rows.where(F.col(PART) == row[0]), path, row[0], key)
+
+
+def may_hold(
+    keys: DataFrame, path: str, schema: str, key: str, batch: str, batch_rows: int | None
+) -> tuple[DataFrame, list[str]]:
+    """The table's rows in the batches that may hold one of the keys, and these batches' names.
+
+    ``batch`` itself is left out. Other batches are neither listed nor opened.
+    """
+    spark, kind = keys.sparkSession, keys.schema[key].dataType.simpleString()
+    index = _indexed(spark, path, schema, kind)
+    small = batch_rows is not None and batch_rows * KEY_BYTES <= BROADCAST_BYTES
+    names = [] if index is None else keyindex.batches_holding(keys, index.where(F.col(PART) != batch), key, small)
+    root = path.rstrip("/")
+    folders = [f"{root}/{PART}={name}" for name in names]
+    try:
+        found = spark.read.schema(f"{schema}, {PART} string").option("basePath", root).parquet(*folders) if folders else None
+    except AnalysisException as error:
+        # A batch that was entered and never written.
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = read_batches(spark, path, schema).where(F.col(PART).isin(names))
+    if found is None:
+        found = spark.createDataFrame([], f"{schema}, {PART} string")
+    return found, names
+
+
 def write_batch(
     rows: DataFrame,
     path: str,
@@ -98,17 +145,26 @@ def write_batch(
     batch: str,
     key: str = "pmid",
     dedupe_by: Sequence[str] | None = None,
-) -> None:
+) -> list[str]:
     """Insert-only merge of ``rows`` as the folder ``batch`` of the table at ``path``.
 
     The batch owns its folder and replaces it; what it wrote before is not counted as seen, so
     a repeated batch writes the same rows once more. ``rows`` is read more than once and should
     be staged. Assumes a single writer, as plain Parquet has no transactions.
+
+    Only the batches whose key ranges and filters admit one of the new keys are opened; their
+    names are returned. The batch is entered as one that may hold any key before its data are
+    written, and with its own filters after that, so a run that fails in between loses nothing.
     """
     rows = rows.select(*T.StructType.fromDDL(schema).fieldNames())
-    others = read_batches(rows.sparkSession, path, schema).where(F.col(PART) != batch)
-    fresh = insert_new(rows, others, key, dedupe_by, countable(rows, key))
-    fresh.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{PART}={batch}")
+    spark, counted = rows.sparkSession, countable(rows, key)
+    others, opened = may_hold(rows.select(key), path, schema, key, batch, counted)
+    fresh = insert_new(rows, others, key, dedupe_by, counted)
+    folder = f"{path.rstrip('/')}/{PART}={batch}"
+    keyindex.open_batch(spark, path, batch, rows.schema[key].dataType.simpleString())
+    fresh.write.mode("overwrite").parquet(folder)
+    keyindex.close_batch(spark.read.schema(rows.schema).parquet(folder).select(key), path, batch, key)
+    return opened
 
 
 def countable(source: DataFrame, key: str) -> int | None:
