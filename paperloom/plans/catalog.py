@@ -1,21 +1,22 @@
 """One runnable query per operator, over the whole test tables."""
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import StreamingQueryException
 
 from paperloom import constants, schemas
 from paperloom.functions.text import as_flag, feature_text, render_list, slashed_date
-from paperloom.operators import filters, merge, quality, rollup, scoring
+from paperloom.operators import filters, headings, memo, merge, nametrie, positions, quality, rollup, runs, scoring, spelling
 from paperloom.operators.places import Gazetteers, countries_of_texts
 from paperloom.plans import stages, tables
 from paperloom.plans.tables import table, to_xml
 from paperloom.session import spread, work_folder
 from paperloom.sources import articles
 from paperloom.sources.gazetteers import country_spellings
-from paperloom.streaming import handoff, incremental
+from paperloom.streaming import handoff, incremental, stateful
 
 WINDOW = (date(1996, 1, 1), date(1997, 12, 31))
 LOADED_UNTIL = date(1997, 12, 31)
@@ -48,6 +49,23 @@ def search_filter(spark: SparkSession, folder: str) -> DataFrame:
     return hits.select("pmid", "title")
 
 
+def search_exploded(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with a supplier below two regions or one nation: a search for a heading finds all narrower ones."""
+    regions = table(spark, folder, "region").select("r_regionkey", "r_name")
+    nations = table(spark, folder, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("r_regionkey"))
+    placed = nations.join(regions, "r_regionkey")
+    upper = placed.select(F.col("n_name").alias("child"), F.col("r_name").alias("parent"))
+    sites = tables.suppliers(spark, folder).join(nations, "n_nationkey")
+    lower = sites.select(F.col("s_name").alias("child"), F.col("n_name").alias("parent"))
+    closure = headings.heading_closure(upper.union(lower))
+    narrower = headings.narrower_headings(closure, tables.WANTED_HEADINGS)
+    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("pmid"), "l_suppkey")
+    named = lines.join(tables.suppliers(spark, folder).select("l_suppkey", "s_name"), "l_suppkey")
+    terms = named.groupBy("pmid").agg(F.collect_set("s_name").alias("mesh_terms"))
+    found = headings.search_headings(terms, "pmid", "mesh_terms", narrower)
+    return found.select("pmid", F.size("mesh_terms").cast("bigint").alias("headings"))
+
+
 def capped_search(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
     hits = articles.date_window(orders, "o_orderdate", *WINDOW)
@@ -66,6 +84,15 @@ def high_water_mark(spark: SparkSession, folder: str) -> DataFrame:
     return articles.high_water_mark(table(spark, folder, "orders"), "o_orderdate")
 
 
+def mark_from_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """The mark of the articles' table without reading a row of it."""
+    main = work_folder(spark, "dated")
+    orders = table(spark, folder, "orders")
+    orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("pubmed_date")).write.parquet(main)
+    mark, rows = articles.mark_from_footers(spark, main, "pubmed_date")
+    return spark.createDataFrame([(mark.strftime("%Y/%m/%d"), rows)], "mark string, row_count long")
+
+
 def batch_stats(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").select("doc_id", "quality", "toxic")
     documents = table(spark, folder, "documents").select("doc_id")
@@ -349,6 +376,19 @@ def label_writeback(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.write_back(documents, labels, "doc_id", ["quality", "toxic"])
 
 
+def positional_writeback(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of the scored rows written back by position; the ids are repeated or missing."""
+    rows = tables.prose(spark, folder).select(
+        F.col("pmid").alias("number"), "abstract",
+        F.when(F.col("pmid") % 5 != 0, F.floor(F.col("pmid") / 3)).alias("pmid"),
+        feature_text(F.col("title"), F.col("abstract")).alias("feature"),
+    )
+    labelled = positions.with_labels(rows)
+    scored = scoring.score_binary(filters.with_abstract(labelled), "include", tables.include_model())
+    back = positions.assign_by_label(labelled, scored, ["include"])
+    return back.select("number", "pmid", F.col("include").cast("bigint").alias("include"))
+
+
 LINE = ["l_orderkey", *tables.AUTHOR_ORDER]
 
 
@@ -380,6 +420,52 @@ def place_resolution(spark: SparkSession, folder: str) -> DataFrame:
     return _country_query(spark, folder, tables.mixed_text(), tables.gazetteers(spark, folder))
 
 
+def place_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Institutions and countries written with up to two wrong letters, in other case, with accents."""
+    sites = tables.institutions(spark, folder).select(
+        "l_suppkey", F.concat("country", F.lit(" "), F.col("s_name")).alias("name")
+    )
+    typed = sites.select("l_suppkey", tables.misspelt(F.col("name"), F.col("l_suppkey")).alias("typed"))
+    found = spelling.nearest_names(typed, "typed", sites, "name")
+    return typed.join(found, "typed", "left").select(
+        "l_suppkey", "typed", "name", F.col("distance").cast("bigint").alias("distance"), F.col("ties").cast("bigint").alias("ties")
+    )
+
+
+def extract_names_large(spark: SparkSession, folder: str) -> DataFrame:
+    """Every part, customer and supplier named in the texts of all line items."""
+    lines = tables.trade_lines(spark, folder)
+    parts = table(spark, folder, "part").select(F.col("p_name").alias("name"))
+    people = table(spark, folder, "customer").select("c_name").union(table(spark, folder, "supplier").select("s_name"))
+    found = nametrie.find_names(lines, "text", parts.union(people).distinct(), "name")
+    named = lines.join(found, "text", "left")
+    return named.select(*LINE, F.array_join("mentions", "|").alias("names"))
+
+
+def resolution_memo(spark: SparkSession, folder: str) -> DataFrame:
+    """Three runs over affiliations: all new, half known, and the same with some institutions moved.
+
+    Counts the texts each run resolved, and how many countries the kept texts name in the end.
+    """
+    known = tables.gazetteers(spark, folder)
+    sites = tables.institutions(spark, folder).select("l_suppkey", "s_name", "country")
+    kept = memo.Resolutions(spark, work_folder(spark, "memo"))
+    texts = sites.select(F.concat(F.lit("Unit 1, "), "s_name").alias("affil"), "l_suppkey")
+    others = sites.select(F.concat(F.lit("Ward 2, "), "s_name").alias("affil"), "l_suppkey")
+    moved = sites.select(
+        F.col("s_name").alias("city"),
+        F.concat("s_name", F.lit(", "), F.when(F.col("l_suppkey") % 7 == 0, "Peru").otherwise(F.col("country"))).alias("address"),
+    )
+    first = Gazetteers(known.countries, known.cities)
+    second = Gazetteers(known.countries, moved)
+    runs_ = [(texts, first), (texts.union(others), first), (texts, second)]
+    counts = [kept.resolve(rows, "affil", names) for rows, names in runs_]
+    table_ = [(f"run {i}", c["new"], c["touched"]) for i, c in enumerate(counts)]
+    resolved = spark.createDataFrame(table_, "what string, new long, touched long")
+    named = kept.table().select(F.explode("countries").alias("what")).groupBy("what").agg(F.count("*").alias("new"))
+    return resolved.unionByName(named.withColumn("touched", F.lit(0).cast("long")))
+
+
 def _country_rows(spark: SparkSession, folder: str) -> DataFrame:
     """A country per author position; returned open lines have none."""
     unknown = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
@@ -457,6 +543,23 @@ def envelope_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("o_orderdate", _day("o_orderdate")).select(*orders.columns, failed)
 
 
+def envelope_evolution(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of an old and a new set of fields decoded together by the schemas they carry."""
+    orders = table(spark, folder, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    finished = F.col("o_orderstatus") == "F"
+    old = orders.where(finished).select("o_orderkey", "o_totalprice", "o_orderdate")
+    new = orders.where(~finished).select("o_orderkey", "o_totalprice", F.struct("o_custkey", "o_orderpriority").alias("customer"), F.array("o_orderstatus").alias("marks"))
+    broken = orders.where("o_orderkey % 50 = 0").select(F.concat(F.lit("?"), "o_orderkey").alias("data"))
+    messages = handoff.encode_described(old).union(handoff.encode_described(new)).union(broken)
+    sent = merge.stage(messages, work_folder(spark, "messages"))
+    rows = handoff.decode_described(sent)
+    failed = F.col(handoff.CORRUPT).alias("corrupt")
+    return rows.select(
+        "o_orderkey", "o_totalprice", _day("o_orderdate").alias("o_orderdate"), F.col("customer.o_custkey").alias("o_custkey"),
+        F.col("customer.o_orderpriority").alias("o_orderpriority"), F.array_join("marks", ",").alias("marks"), failed,
+    )
+
+
 def staging_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     """Two batches staged at the same place: only the second is left."""
     place = work_folder(spark, "staging")
@@ -479,6 +582,25 @@ def merge_insert_only(spark: SparkSession, folder: str) -> DataFrame:
     return target.unionByName(merge.insert_new(source, target))
 
 
+DETAIL = "pmid bigint, detail bigint"
+
+
+def merge_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same merge into a table of batches; a batch is opened only if its key index admits a key."""
+    main = f"{work_folder(spark, 'indexed')}/main"
+    orders = table(spark, folder, "orders").where("o_orderstatus = 'F'")
+    rows = orders.select(F.col("o_orderkey").alias("pmid"), F.lit(0).cast("bigint").alias("detail"))
+    cuts = rows.agg(F.percentile_approx("pmid", [0.25, 0.5, 0.75], 1000)).first()[0] or []
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = rows if low is None else rows.where(F.col("pmid") > low)
+        part = part if high is None else part.where(F.col("pmid") <= high)
+        merge.append_new(part, main, DETAIL)
+    key = F.when(F.col("l_returnflag") != "R", F.col("l_orderkey"))
+    source = table(spark, folder, "lineitem").select(key.alias("pmid"), F.col("l_partkey").alias("detail"))
+    merge.append_new(source, main, DETAIL)
+    return merge.read_table(spark, main, DETAIL)
+
+
 EVENT = "event_id bigint, user_id bigint, event_type string, value double"
 
 
@@ -497,6 +619,45 @@ def stream_incremental_merge(spark: SparkSession, folder: str) -> DataFrame:
     return incremental.read_main(spark, f"{place}/main", EVENT)
 
 
+STORED = f"{EVENT}, arrived timestamp, stored_by int"
+
+
+def stream_stateful_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Three drops of a stream that is restarted between them; recent keys are held in its state.
+
+    The second drop repeats keys of the first inside the horizon, the third some that the state has
+    given up by then, and some of its rows bear an old time.
+    """
+    place = work_folder(spark, "stateful")
+    events = table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    own = F.coalesce(F.pmod("event_id", F.lit(4)), F.lit(0))
+    drops = [((0, 1), datetime(2002, 1, 1)), ((1, 2), datetime(2002, 1, 2)), ((0, 2, 3), datetime(2002, 1, 20))]
+    for number, (held, day) in enumerate(drops):
+        late = F.pmod("event_id", F.lit(8)) == 3
+        stamp = F.when(late, F.lit(drops[0][1])).otherwise(F.lit(day))
+        drop = events.where(own.isin(*held)).withColumns({"arrived": stamp.cast("timestamp"), "stored_by": F.lit(number)})
+        drop.write.mode("append").parquet(f"{place}/landing")
+        stream = spark.readStream.schema(STORED).parquet(f"{place}/landing")
+        stateful.run_stateful(stream, f"{place}/main", STORED, f"{place}/checkpoint", "arrived", "event_id", "2 days")
+    return incremental.read_main(spark, f"{place}/main", STORED).drop("arrived")
+
+
+def failure_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of five or more unusable orders in the order of their dates, beside the longest one."""
+    order = ["o_orderdate", "o_orderkey"]
+    orders = table(spark, folder, "orders").select(*order, "o_orderpriority")
+    ids = runs.numbered(orders, order, F.col("o_orderpriority").isin("1-URGENT", "5-LOW"))
+    summary = runs.run_summary(ids)
+    found = runs.failure_runs(ids, order, 5)
+    return found.select(
+        F.col("first.o_orderkey").alias("first_key"),
+        F.col("last.o_orderkey").alias("last_key"),
+        "length",
+        F.lit(summary["longest"]).cast("long").alias("longest"),
+        F.lit(summary["length"]).cast("long").alias("records"),
+    )
+
+
 def _labelled(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
     models = stages.Models(
         tables.include_model(),
@@ -661,6 +822,69 @@ def failure_gate(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(outcomes, "load string, staged long, failed long, loaded long")
 
 
+def _main_rows(rows: DataFrame, **known: Column) -> DataFrame:
+    """Rows in the main table's layout; what is not known is NULL."""
+    have = {"pmid": F.col("pmid"), **known}
+    kinds = {"author_affils": "array<string>", **schemas.MAIN_TYPES}
+    return rows.select(*[have.get(n, F.lit(None)).cast(kinds[n]).alias(n) for n in schemas.MAIN_TYPES])
+
+
+def stage_gates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every stage with few and with many unusable records: what failed and what reached its sink."""
+    place = work_folder(spark, "gates")
+    articles_ = _short_articles(spark, folder)
+    key, outcomes = F.col("pmid"), []
+
+    def outcome(stage: str, case: str, run: Callable[[str], dict | None], sink: Callable[[str], DataFrame]) -> None:
+        where = f"{place}/{stage}_{case}"
+        try:
+            run(where)
+            stopped = 0
+        except (quality.TooManyFailures, StreamingQueryException) as error:
+            if "failed" not in str(error):
+                raise
+            stopped = 1
+        outcomes.append((stage, case, stopped, sink(where).count()))
+
+    def stored(where: str) -> DataFrame:
+        return merge.read_table(spark, f"{where}/main", schemas.MAIN)
+
+    nobody = F.array().cast("array<string>")
+    for case, bad in {"few": key % 25 == 0, "many": key % 10 == 0, "in_a_row": key < 20}.items():
+        labelled = _main_rows(articles_, include=F.lit(1), author_affils=F.when(bad, nobody))
+        load = lambda where, rows=labelled: stages.load_main(
+            rows, f"{where}/staging", f"{where}/main", record_order=["pmid"]
+        )
+        outcome("load", case, load, stored)
+
+    for case, share in {"few": 25, "many": 10}.items():
+        found = articles_.withColumn("pmid", F.when(key % share != 0, key))
+
+        def publish(where: str, rows: DataFrame = found) -> None:
+            articles.land(rows, f"{where}/landed", FIRST_DAY, "one")
+            stages.publish_new(
+                spark, f"{where}/landed", f"{where}/main", f"{where}/messages", tables.include_model(), FIRST_DAY, {"phrases": ["order"]}
+            )
+
+        def messages(where: str) -> DataFrame:
+            return merge.read_table(spark, f"{where}/messages.ledger", stages.LEDGER).where("row_count > 0")
+
+        outcome("publish", case, publish, messages)
+
+        scored = articles_.withColumns({"feature": F.lit("x"), "include": F.lit(0)})
+        sent = handoff.encode_rows(scored.where(key % share != 0))
+        broken = scored.where(key % share == 0).select(F.concat(F.lit("?"), key).alias("data"))
+
+        def label(where: str, lines: DataFrame = sent.union(broken)) -> None:
+            lines.write.text(f"{where}/messages")
+            models = stages.Models(tables.include_model(), tables.mature_model(), tables.characteristics_model())
+            names = Gazetteers(tables.gazetteers(spark, folder).countries)
+            stages.label_messages(spark, f"{where}/messages", f"{where}/main", f"{where}/checkpoint", models, names)
+
+        outcome("label", case, label, stored)
+    return spark.createDataFrame(outcomes, "stage string, load string, stopped int, reached long")
+
+
 def ingest_increments(spark: SparkSession, folder: str) -> DataFrame:
     """Three drops of XML files with overlapping ids, and a last run without a drop."""
     place = work_folder(spark, "ingest")
@@ -693,9 +917,11 @@ def country_aliases(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_text": feature_text_query,
     "search_filter": search_filter,
+    "search_exploded": search_exploded,
     "capped_search": capped_search,
     "date_window": date_window,
     "high_water_mark": high_water_mark,
+    "mark_from_statistics": mark_from_statistics,
     "batch_stats": batch_stats,
     "xml_parse_scalars": xml_parse_scalars,
     "xml_file_scan": xml_file_scan,
@@ -709,10 +935,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_binary_batches": score_binary_batches,
     "score_multilabel": score_multilabel,
     "label_writeback": label_writeback,
+    "positional_writeback": positional_writeback,
     "extract_countries": extract_countries,
     "city_fallback": city_fallback,
     "tail_fallback": tail_fallback,
     "place_resolution": place_resolution,
+    "resolution_memo": resolution_memo,
+    "extract_names_large": extract_names_large,
+    "place_spelling": place_spelling,
     "country_rollup": country_rollup,
     "fill_country": fill_country,
     "normalise_country": normalise_country,
@@ -721,15 +951,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine_counts": quarantine_counts,
     "year_column": year_column,
     "envelope_roundtrip": envelope_roundtrip,
+    "envelope_evolution": envelope_evolution,
     "staging_overwrite": staging_overwrite,
     "merge_insert_only": merge_insert_only,
+    "merge_indexed": merge_indexed,
     "stream_incremental_merge": stream_incremental_merge,
+    "stream_stateful_merge": stream_stateful_merge,
+    "failure_runs": failure_runs,
     "main_layout": main_layout,
     "landed_window": landed_window,
     "publish_counts": publish_counts,
     "merge_two_writers": merge_two_writers,
     "quarantine_pipeline": quarantine_pipeline,
     "failure_gate": failure_gate,
+    "stage_gates": stage_gates,
     "ingest_increments": ingest_increments,
     "country_aliases": country_aliases,
     "flagship": flagship,

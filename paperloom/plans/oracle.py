@@ -425,6 +425,100 @@ ORACLE: dict[str, str] = {
         WITH target AS ({MERGE_TARGET}), source AS ({MERGE_SOURCE})
         SELECT * FROM target UNION ALL
         SELECT * FROM source s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.pmid = s.pmid)""",
+    "search_exploded": """
+        SELECT l_orderkey AS pmid, count(DISTINCT s_name) AS headings
+        FROM lineitem JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN nation ON n_nationkey = s_nationkey
+          LEFT JOIN region ON r_regionkey = n_regionkey
+        GROUP BY l_orderkey HAVING bool_or(r_name IN ('ASIA', 'EUROPE') OR n_name = 'NATION_0')""",
+    "mark_from_statistics": """
+        SELECT strftime(max(o_orderdate), '%Y/%m/%d') AS mark, count(*) AS row_count FROM orders""",
+    "positional_writeback": f"""
+        SELECT pmid AS number, CASE WHEN pmid % 5 <> 0 THEN pmid // 3 END AS pmid,
+          CASE WHEN abstract IS NOT NULL THEN {INCLUDE}::BIGINT END AS include
+        FROM ({SCORED})""",
+    "resolution_memo": f"""
+        WITH moved AS (
+          SELECT country, s_suppkey % 7 = 0 AS moves FROM ({SITES})
+        ), runs AS (
+          SELECT count(*) AS sites, count(*) FILTER (moves AND country <> 'Peru') AS changed FROM moved
+        )
+        SELECT 'run 0' AS what, sites AS new, 0::BIGINT AS touched FROM runs
+        UNION ALL SELECT 'run 1', sites, 0 FROM runs
+        UNION ALL SELECT 'run 2', 0, 2 * changed FROM runs
+        UNION ALL SELECT CASE WHEN moves THEN 'Peru' ELSE country END, 2 * count(*), 0 FROM moved GROUP BY 1""",
+    "envelope_evolution": """
+        SELECT o_orderkey, o_totalprice,
+          CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d') END AS o_orderdate,
+          CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS o_custkey,
+          CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority,
+          CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS marks, NULL::VARCHAR AS corrupt
+        FROM orders
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, NULL, '?' || o_orderkey FROM orders WHERE o_orderkey % 50 = 0""",
+    "extract_names_large": """
+        SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, p_name || '|' || c_name || '|' || s_name AS names
+        FROM lineitem LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN orders ON o_orderkey = l_orderkey
+        LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN supplier ON s_suppkey = l_suppkey""",
+    "stage_gates": """
+        WITH shares AS (
+          SELECT 'few' AS load, 25 AS share UNION ALL SELECT 'many', 10
+        ), counts AS (
+          SELECT load, count(*) AS rows, count(*) FILTER (o_orderkey % share = 0) AS failed
+          FROM orders, shares GROUP BY load
+        ), gates AS (
+          SELECT load, rows, failed, (failed > 0.05 * rows)::INT AS stopped FROM counts
+        )
+        SELECT 'load' AS stage, load, stopped, CASE stopped WHEN 1 THEN 0 ELSE rows END AS reached FROM gates
+        UNION ALL SELECT 'load', 'in_a_row', 1, 0
+        UNION ALL SELECT 'publish', load, stopped, 1 - stopped FROM gates
+        UNION ALL SELECT 'label', load, stopped, CASE stopped WHEN 1 THEN 0 ELSE rows - failed END FROM gates""",
+    "place_spelling": f"""
+        WITH sites AS (
+          SELECT s_suppkey AS l_suppkey, country || ' ' || s_name AS name,
+            greatest(length(country || ' ' || s_name) // 2, 1) AS m
+          FROM ({SITES})
+        ), typed AS (
+          SELECT l_suppkey, CASE l_suppkey % 8
+            WHEN 0 THEN name
+            WHEN 1 THEN substr(name, 1, m) || substr(name, m + 2)
+            WHEN 2 THEN substr(name, 1, m) || 'x' || substr(name, m + 1)
+            WHEN 3 THEN substr(name, 1, m) || 'y' || substr(name, m + 2)
+            WHEN 4 THEN 'z' || substr(name, 1, m) || substr(name, m + 2)
+            WHEN 5 THEN substr(substr(name, 1, m) || 'x' || substr(name, m + 1), 2) || ' '
+            WHEN 6 THEN upper(translate(name, 'aeiou', 'áèïôü'))
+            ELSE 'qqq' || name END AS typed
+          FROM sites
+        ), near AS (
+          SELECT t.typed, s.name, levenshtein(trim(lower(strip_accents(t.typed))), trim(lower(s.name))) AS distance
+          FROM (SELECT DISTINCT typed FROM typed) t, (SELECT DISTINCT name FROM sites) s
+        ), nearest AS (
+          SELECT typed, min(distance) AS distance FROM near WHERE distance <= 2 GROUP BY typed
+        ), found AS (
+          SELECT typed, distance, min(name) AS name, count(*) AS ties FROM near JOIN nearest USING (typed, distance)
+          GROUP BY typed, distance
+        )
+        SELECT l_suppkey, typed, name, distance, ties FROM typed LEFT JOIN found USING (typed)""",
+    "merge_indexed": f"""
+        WITH target AS ({MERGE_TARGET}), source AS ({MERGE_SOURCE})
+        SELECT * FROM target UNION ALL
+        SELECT * FROM source s WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.pmid = s.pmid)""",
+    "stream_stateful_merge": """
+        SELECT event_id, user_id, event_type, value,
+          CASE coalesce(event_id % 4, 0) WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE 0 END AS stored_by
+        FROM events""",
+    "failure_runs": """
+        WITH placed AS (
+          SELECT o_orderkey, o_orderpriority IN ('1-URGENT', '5-LOW') AS failed,
+            row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS place
+          FROM orders
+        ), islands AS (
+          SELECT *, place - row_number() OVER (ORDER BY place) AS island FROM placed WHERE failed
+        ), found AS (
+          SELECT min_by(o_orderkey, place) AS first_key, max_by(o_orderkey, place) AS last_key, count(*) AS length
+          FROM islands GROUP BY island
+        )
+        SELECT *, (SELECT max(length) FROM found) AS longest, (SELECT count(*) FROM orders) AS records
+        FROM found WHERE length >= 5""",
     "stream_incremental_merge": "SELECT event_id, user_id, event_type, value FROM events",
     "landed_window": """
         SELECT o_orderkey AS pmid,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paperloom import constants, schemas
 from paperloom.functions.text import feature_text, zero_filled
-from paperloom.operators import quality, rollup
+from paperloom.operators import quality, rollup, runs
 from paperloom.operators.filters import scoring_candidate
 from paperloom.operators.merge import (
     append_new,
@@ -125,15 +125,21 @@ def load_main(
     main: str,
     max_failure_ratio: float = 0.05,
     batch: str | None = None,
+    record_order: Sequence[str] | None = None,
+    stop_after: int = 5,
 ) -> dict:
     """Stage the batch, check its failures, then insert the unseen articles that have an id.
 
-    The gate reads counts gathered while staging, so it costs no further pass. Returns the counts.
+    The gate reads counts gathered while staging, so it costs no further pass. With a
+    ``record_order``, columns of the main table, ``stop_after`` failing records in a row stop the
+    load too; only a batch with so many failures is put in order. Returns the counts.
     """
     checked = labelled.withColumn("problem", article_problem())
     watched, counts = quality.observed(checked, "load", quality.failure_metrics("problem"))
     staged = stage(to_main_layout(watched), staging, schemas.MAIN)
     quality.gate(counts, max_failure_ratio)
+    if record_order and counts.get["failed_count"] >= stop_after:
+        runs.consecutive_gate(staged, record_order, article_problem().isNotNull(), stop_after)
     append_new(staged.where(F.col("pmid").isNotNull()), main, schemas.MAIN, batch=batch)
     return counts.get
 

@@ -34,6 +34,7 @@ ALIASED = [
 # Search and model terms that occur in the invented prose.
 PHRASES = ["that the", "heit"]
 HEADINGS = ["standard"]
+WANTED_HEADINGS = ["asia", "Europe", "NATION_0", "Nowhere"]
 INCLUDE_WEIGHTS = {"that": 0.5, "heit": 1.0, "ouch": -0.5, "tion": 0.25, "ing": -0.25}
 MATURE_WEIGHTS = {"er": 0.5, "on": -0.5, "hein": 1.0}
 VOCABULARY = [
@@ -178,6 +179,34 @@ def mixed_text() -> Column:
     )
 
 
+def trade_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items with a text that names a part, a customer and a supplier, and words close to names."""
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    buyers = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
+    people = table(spark, folder, "customer").select("c_custkey", "c_name")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", *AUTHOR_ORDER)
+    named = lines.join(parts, "l_partkey", "left").join(buyers, "l_orderkey", "left").join(people, "c_custkey", "left")
+    sold = named.join(suppliers(spark, folder).drop("n_nationkey"), "l_suppkey", "left")
+    text = F.concat(
+        F.lit("Lot of "), F.col("p_name"), F.lit(" and other "), F.col("p_name"), F.lit("s to "), F.col("c_name"),
+        F.lit(", from ("), F.col("s_name"), F.lit(") not Supplier#"), F.col("l_linenumber"),
+    )
+    return sold.select("l_orderkey", *AUTHOR_ORDER, text.alias("text"))
+
+
+def misspelt(name: Column, number: Column) -> Column:
+    """The name as someone might type it; what is wrong with it follows the number."""
+    middle = F.greatest(F.floor(F.char_length(name) / 2).cast("int"), F.lit(1))
+    head, rest = F.substr(name, F.lit(1), middle), F.substr(name, middle + 1)
+    one_less, one_more = F.concat(head, F.substr(rest, F.lit(2))), F.concat(head, F.lit("x"), rest)
+    other = F.concat(head, F.lit("y"), F.substr(rest, F.lit(2)))
+    kinds = [
+        name, one_less, one_more, other, F.concat(F.lit("z"), one_less), F.concat(F.substr(one_more, F.lit(2)), F.lit(" ")),
+        F.upper(F.translate(name, "aeiou", "áèïôü")), F.concat(F.lit("qqq"), name),
+    ]
+    return F.get(F.array(*kinds), F.pmod(number, F.lit(len(kinds))).cast("int"))
+
+
 def affiliation_lines(spark: SparkSession, folder: str, text: Column) -> DataFrame:
     lines = author_lines(spark, folder, costly=True).join(
         second_countries(spark, folder), "l_linenumber", "left"

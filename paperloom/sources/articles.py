@@ -4,6 +4,7 @@ from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,9 +129,10 @@ def land(articles: DataFrame, path: str, arrived: date | Column, batch: str) ->
     Records are parsed once, here, and filed by the day they arrive, so an article without a
     date or with an old one is found by the next run like any other. Articles with problems
     (an unreadable record, id or date) are kept beside the sound ones, see ``read_rejected``.
-    The rebalance hint splits a partition that is too large and joins small files.
+    The rows are dealt out by their id, so that a day is read by many tasks: the rebalance hint
+    splits what is too large and joins what is small, down to one file per core.
     """
-    rows = _split_state(articles, arrived).hint("rebalance", F.col(STATE))
+    rows = _split_state(articles, arrived).hint("rebalance", F.col("pmid"))
     writer = rows.write.mode("overwrite").partitionBy(ARRIVED, STATE)
     writer.parquet(f"{path.rstrip('/')}/{BATCH}={batch}")
 
@@ -247,3 +249,31 @@ def high_water_mark(table: DataFrame, column: str, epoch: date = date(1900, 1, 1
 def mark_date(table: DataFrame, column: str, epoch: date = date(1900, 1, 1)) -> date:
     """The mark as a date for planning the next run; one row reaches the driver."""
     return table.agg(F.coalesce(F.max(F.col(column)).cast("date"), F.lit(epoch))).first()[0]
+
+
+def footer_statistics(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """(latest, row_count) of a Parquet table from its files' statistics; no row is read.
+
+    ``max`` and ``count`` are pushed into the scan, which needs the second version of Parquet's
+    reader: a session of its own has it, the caller's settings stay. The column is a date or a
+    number; other types have no statistics that Spark would use. It fails on a file in which the
+    column is NULL throughout.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.max(column).alias("latest"), F.count("*").alias("row_count"))
+
+
+def mark_from_footers(spark: SparkSession, path: str, column: str, epoch: date = date(1900, 1, 1)) -> tuple[date, int]:
+    """The mark and the number of rows of a Parquet table, from footers where these tell them.
+
+    Where a file has no statistics the column is read once instead.
+    """
+    try:
+        latest, rows = footer_statistics(spark, path, column).first()
+    except Py4JJavaError as error:
+        if "No min/max found" not in str(error):
+            raise
+        latest, rows = spark.read.parquet(path).agg(F.max(column), F.count("*")).first()
+    return latest or epoch, rows or 0
