@@ -49,22 +49,23 @@ def segments_for(keys: int) -> int:
 
 
 def key_filters(keys: DataFrame, key: str, segments: int | None = None) -> DataFrame:
-    """The segments of the distinct keys that are not NULL; no rows without keys."""
-    known = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    """The segments of the keys that are not NULL; those without a key have no range."""
+    known = keys.select(key).where(F.col(key).isNotNull())
     segments = segments or segments_for(known.count())
-    placed = known.withColumn("segment", _segment(key, F.lit(segments)))
-    spots = placed.select("segment", F.explode(_spots(key)).alias("spot"))
+    placed = known.select(_segment(key, F.lit(segments)).alias("segment"), F.explode(_spots(key)).alias("spot"), F.col(key).alias("key"))
     bit = F.expr("shiftleft(1L, cast(spot & 63 as int))")
-    set_words = spots.select("segment", F.shiftright("spot", 6).alias("word"), bit.alias("bits"))
-    ranges = placed.groupBy("segment").agg(F.min(key).alias("low"), F.max(key).alias("high"))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(WORDS - 1).cast("long"))).alias("word")
-    blank = ranges.select("segment", every).withColumn("bits", F.lit(0).cast("long"))
-    words = set_words.unionByName(blank).groupBy("segment", "word").agg(F.bit_or("bits").alias("bits"))
-    # A segment's words: a list of fixed length.
-    filters = words.groupBy("segment").agg(F.array_sort(F.collect_list(F.struct("word", "bits")))["bits"].alias("words"))
-    return ranges.join(filters, "segment").select(
-        F.lit(key).alias("key_name"), F.lit(segments).alias("segments"), "segment", "low", "high", "words"
+    set_words = placed.select("segment", F.shiftright("spot", 6).alias("word"), bit.alias("bits"), "key")
+    # Every word of every segment, so that the filters have one width.
+    words = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(WORDS - 1).cast("long"))).alias("word")
+    none = F.lit(None).cast(keys.schema[key].dataType).alias("key")
+    blank = keys.sparkSession.range(segments).select(F.col("id").cast("int").alias("segment"), words, F.lit(0).cast("long").alias("bits"), none)
+    merged = set_words.unionByName(blank).groupBy("segment", "word").agg(
+        F.bit_or("bits").alias("bits"), F.min("key").alias("low"), F.max("key").alias("high")
     )
+    # A segment's words: a list of fixed length.
+    listed = F.array_sort(F.collect_list(F.struct("word", "bits")))["bits"]
+    filters = merged.groupBy("segment").agg(F.min("low").alias("low"), F.max("high").alias("high"), listed.alias("words"))
+    return filters.select(F.lit(key).alias("key_name"), F.lit(segments).alias("segments"), "segment", "low", "high", "words")
 
 
 def _folder(path: str, batch: str) -> str:
@@ -77,16 +78,13 @@ def open_batch(spark: SparkSession, path: str, batch: str, kind: str) -> None:
     spark.createDataFrame(row, _schema(kind)).coalesce(1).write.mode("overwrite").parquet(_folder(path, batch))
 
 
-def close_batch(keys: DataFrame, path: str, batch: str, key: str) -> None:
-    """Replace a batch's entry by the ranges and filters of its keys.
+def close_batch(keys: DataFrame, path: str, batch: str, key: str, rows: int | None = None) -> None:
+    """Replace a batch's entry by the ranges and filters of its keys, ``rows`` of them at most.
 
-    A batch without keys keeps one row that no key matches, so it stays listed.
+    A batch without keys has segments that no key matches, so it stays listed.
     """
-    kind = keys.schema[key].dataType.simpleString()
-    none = keys.sparkSession.createDataFrame([(key, 1, -1, None, None, None)], _schema(kind))
-    segments = segments_for(keys.count())
-    rows = key_filters(keys, key, segments).unionByName(none)
-    rows.coalesce(max(1, segments // FILE_SEGMENTS)).write.mode("overwrite").parquet(_folder(path, batch))
+    segments = segments_for(keys.count() if rows is None else rows)
+    key_filters(keys, key, segments).coalesce(max(1, segments // FILE_SEGMENTS)).write.mode("overwrite").parquet(_folder(path, batch))
 
 
 def read_index(spark: SparkSession, path: str, kind: str) -> DataFrame | None:
@@ -99,23 +97,25 @@ def read_index(spark: SparkSession, path: str, kind: str) -> DataFrame | None:
         return None
 
 
-def batches_holding(keys: DataFrame, index: DataFrame, key: str, small: bool = False) -> list[str]:
+def batches_holding(
+    keys: DataFrame, index: DataFrame, key: str, small: bool = False, bounds: tuple | None = None
+) -> list[str]:
     """Names of the batches that may hold one of the keys; every batch that does is among them.
 
     Entries outside the keys' range are pruned by the scan. Each key meets the one segment of a
-    batch it would lie in; ``small`` keys are broadcast to the entries. One name per batch that is
+    batch it would lie in; ``small`` keys are broadcast to the entries. ``bounds``, the smallest and
+    largest key, are looked for where the caller does not know them. One name per batch that is
     to be opened reaches the driver, as a listing of the table's folders would.
     """
-    known = keys.select(key).where(F.col(key).isNotNull()).distinct()
-    low, high = known.agg(F.min(key), F.max(key)).first()
+    known = keys.select(key).where(F.col(key).isNotNull())
+    low, high = bounds or known.agg(F.min(key), F.max(key)).first()
     other = F.coalesce(F.col("key_name") != key, F.lit(True)) | (F.col("segments") == 0)
-    unknown = index.where(other).select(PART)
-    if low is None:
-        return sorted(r[0] for r in unknown.distinct().collect())
-    near = index.where(~other & (F.col("low") <= F.lit(high)) & (F.col("high") >= F.lit(low)))
-    sizes = [r[0] for r in near.select("segments").distinct().collect()]
-    if not sizes:
-        return sorted(r[0] for r in unknown.distinct().collect())
+    near = ~other & (F.col("low") <= F.lit(high)) & (F.col("high") >= F.lit(low))
+    seen = index.where(other if low is None else other | near)
+    names, sizes = seen.agg(F.collect_set(F.when(other, F.col(PART))), F.collect_set(F.when(~other, F.col("segments")))).first()
+    if low is None or not sizes:
+        return sorted(names)
+    near, known = index.where(near), known.distinct()
     asked = known.select(
         F.col(key).alias("__key"), _spots(key).alias("__spots"), F.explode(F.array(*[F.lit(s) for s in sizes])).alias("segments"), key
     )
@@ -123,4 +123,4 @@ def batches_holding(keys: DataFrame, index: DataFrame, key: str, small: bool = F
     met = near.join(F.broadcast(asked) if small else asked, ["segments", "segment"])
     held = F.forall("__spots", lambda s: F.getbit(F.get("words", F.shiftright(s, 6).cast("int")), F.pmod(s, F.lit(64)).cast("int")) == 1)
     found = met.where((F.col("__key") >= F.col("low")) & (F.col("__key") <= F.col("high")) & held)
-    return sorted(r[0] for r in found.select(PART).union(unknown).distinct().collect())
+    return sorted({*names, *[r[0] for r in found.select(PART).distinct().collect()]})

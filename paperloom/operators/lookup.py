@@ -1,6 +1,6 @@
 """Joins against a side that is unique on the key."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 32 << 20
 SALTS = 16
 NULL_SALTS = 1024
+#: Bytes of a sieve: at least and at most, and how many for each value.
+SIEVE_LEAST, SIEVE_MOST, SIEVE_ROOM = 1 << 12, 1 << 20, 16
 _SALT = "__salt"
 _ROW_OVERHEAD = 32
 
@@ -35,6 +37,28 @@ def salt_of(columns: Sequence[str | Column], salts: int) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
 
 
+def sieve(table: DataFrame, column: str, most: int = SIEVE_MOST) -> Callable[[Column], Column]:
+    """A test inside the row that every value of the column passes, and few others.
+
+    The values' hashes mark places in a bitmap of at most ``most`` bytes, which travels with the
+    plan; one number per marked place reaches the driver. It only saves rows ahead of an exact
+    join: with very many values it lets more through, never less.
+    """
+    values = table.select(column).where(F.col(column).isNotNull()).distinct()
+    size = min(most, max(SIEVE_LEAST, 1 << (SIEVE_ROOM * values.count()).bit_length()))
+    place = F.pmod(F.xxhash64(column), F.lit(size)).cast("int")
+    marked = bytearray(b"0" * size)
+    for row in values.select(place.alias("place")).distinct().collect():
+        marked[row.place] = ord("1")
+    bitmap = F.lit(bytes(marked))
+
+    def passes(value: Column) -> Column:
+        at = F.pmod(F.xxhash64(value), F.lit(size)).cast("int") + 1
+        return F.substring(bitmap, at, F.lit(1)) == F.lit(b"1")
+
+    return passes
+
+
 def lookup(
     facts: DataFrame,
     table: DataFrame,

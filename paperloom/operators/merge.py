@@ -3,7 +3,7 @@
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -114,7 +114,7 @@ def index_batches(spark: SparkSession, path: str, schema: str, key: str = "pmid"
 
 
 def may_hold(
-    keys: DataFrame, path: str, schema: str, key: str, batch: str, batch_rows: int | None
+    keys: DataFrame, path: str, schema: str, key: str, batch: str, batch_rows: int | None, bounds: tuple | None = None
 ) -> tuple[DataFrame, list[str]]:
     """The table's rows in the batches that may hold one of the keys, and these batches' names.
 
@@ -123,7 +123,7 @@ def may_hold(
     spark, kind = keys.sparkSession, keys.schema[key].dataType.simpleString()
     index = _indexed(spark, path, schema, kind)
     small = batch_rows is not None and batch_rows * KEY_BYTES <= BROADCAST_BYTES
-    names = [] if index is None else keyindex.batches_holding(keys, index.where(F.col(PART) != batch), key, small)
+    names = [] if index is None else keyindex.batches_holding(keys, index.where(F.col(PART) != batch), key, small, bounds)
     root = path.rstrip("/")
     folders = [f"{root}/{PART}={name}" for name in names]
     try:
@@ -157,20 +157,27 @@ def write_batch(
     written, and with its own filters after that, so a run that fails in between loses nothing.
     """
     rows = rows.select(*T.StructType.fromDDL(schema).fieldNames())
-    spark, counted = rows.sparkSession, countable(rows, key)
-    others, opened = may_hold(rows.select(key), path, schema, key, batch, counted)
+    spark = rows.sparkSession
+    counted, low, high = rows.agg(F.count("*"), F.min(key), F.max(key)).first()
+    counted = counted if _fixed_width(rows, key) else None
+    others, opened = may_hold(rows.select(key), path, schema, key, batch, counted, (low, high))
     fresh = insert_new(rows, others, key, dedupe_by, counted)
     folder = f"{path.rstrip('/')}/{PART}={batch}"
     keyindex.open_batch(spark, path, batch, rows.schema[key].dataType.simpleString())
-    fresh.write.mode("overwrite").parquet(folder)
-    keyindex.close_batch(spark.read.schema(rows.schema).parquet(folder).select(key), path, batch, key)
+    written = Observation()
+    fresh.observe(written, F.count("*").alias("rows")).write.mode("overwrite").parquet(folder)
+    stored = spark.read.schema(rows.schema).parquet(folder).select(key)
+    keyindex.close_batch(stored, path, batch, key, written.get["rows"])
     return opened
 
 
+def _fixed_width(source: DataFrame, key: str) -> bool:
+    return isinstance(source.schema[key].dataType, (T.IntegralType, T.DateType))
+
+
 def countable(source: DataFrame, key: str) -> int | None:
     """Rows of a written batch, or None when its keys have no bounded width."""
-    fixed = isinstance(source.schema[key].dataType, (T.IntegralType, T.DateType))
-    return source.count() if fixed else None
+    return source.count() if _fixed_width(source, key) else None
 
 
 def append_new(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import WORD
-from paperloom.operators.lookup import BROADCAST_BYTES, measured_bytes
+from paperloom.operators.lookup import BROADCAST_BYTES, measured_bytes, sieve
 from paperloom.session import work_folder
 
 ATOM = f"[{WORD}]+|[^{WORD}]"
@@ -64,11 +64,14 @@ def find_names(texts: DataFrame, text: str, names: DataFrame, name: str, limit_b
         return F.broadcast(level) if small else level
 
     roots = children(0).select("word", "is_name")
-    # Only the words from a place on that some name could still need stand beside it.
-    places = F.transform(
-        "atoms", lambda word, i: F.struct(i.alias("start"), word.alias("word"), F.slice("atoms", i + 2, F.lit(depths)).alias("rest"))
+    # Nearly all places are left out inside the row; beside the others stand the words some name could still need.
+    begins = sieve(edges.where("depth = 0"), "word")
+    places = F.transform("atoms", lambda word, i: F.struct(i.alias("start"), word.alias("word")))
+    near = F.transform(
+        F.filter(places, lambda p: begins(p["word"])),
+        lambda p: F.struct(p["start"], p["word"], F.slice("atoms", p["start"] + 2, F.lit(depths)).alias("rest")),
     )
-    live = stored.select("id", F.inline(places)).join(roots, "word").select("id", "start", F.col("word").alias("before"), "rest", "is_name")
+    live = stored.select("id", F.inline(near)).join(roots, "word").select("id", "start", F.col("word").alias("before"), "rest", "is_name")
     levels = []
     for depth in range(depths + 1):
         path = f"{folder}/level={depth}"

@@ -4,7 +4,7 @@ Country names are matched in place by one pattern. Only texts that name no count
 to the city and place tables, each distinct text once.
 """
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.terms import mentions
 from paperloom.functions.text import WORD
-from paperloom.operators.lookup import BROADCAST_BYTES, attach, measured_bytes
+from paperloom.operators.lookup import BROADCAST_BYTES, attach, measured_bytes, sieve
 from paperloom.operators.merge import stage
 from paperloom.session import work_folder
 
@@ -45,11 +45,10 @@ class Gazetteers:
         return measured_bytes(self.places)
 
     @cached_property
-    def odd_starts(self) -> list[str]:
-        """Characters other than words that some city begins with: usually none."""
-        first = F.get(_atoms(F.col("city")), F.lit(0))
-        odd = self.cities.select(first.alias("first")).where(~F.col("first").rlike(f"^[{WORD}]"))
-        return sorted(row.first for row in odd.distinct().collect())
+    def begins(self) -> Callable[[Column], Column]:
+        """Whether a word may be the first one of a city."""
+        firsts = self.cities.select(F.get(_atoms(F.col("city")), F.lit(0)).alias("first"))
+        return sieve(firsts, "first")
 
 
 def _atoms(text: Column) -> Column:
@@ -60,8 +59,8 @@ def _atoms(text: Column) -> Column:
 def extract_cities(texts: DataFrame, text: str, gazetteers: Gazetteers) -> DataFrame:
     """Cities mentioned in each distinct text, as ``mentions``.
 
-    A word that some city begins with is looked up first; only from there runs of atoms are
-    made, in the lengths of the cities beginning so, and joined to the cities on equality.
+    A word that some city begins with is looked up first, after a sieve inside the row; only
+    from there runs of atoms are made, in the lengths of the cities beginning so, and joined to the cities on equality.
     Leftmost matches win, longer ones first, and matches do not overlap.
     """
     named = gazetteers.cities.select("city", "address", _atoms(F.col("city")).alias("atoms"))
@@ -69,11 +68,10 @@ def extract_cities(texts: DataFrame, text: str, gazetteers: Gazetteers) -> DataF
     firsts = named.groupBy(F.get("atoms", F.lit(0)).alias("first")).agg(
         F.collect_set(F.size("atoms")).alias("lengths")
     )
-    begins = F.col("first").rlike(f"^[{WORD}]") | F.col("first").isin(gazetteers.odd_starts)
-    starts = (
-        texts.select(text, _atoms(F.col(text)).alias("atoms"))
-        .select(text, "atoms", F.posexplode("atoms").alias("start", "first"))
-        .where(begins)
+    places = F.transform("atoms", lambda word, i: F.struct(i.alias("start"), word.alias("first")))
+    begins = gazetteers.begins
+    starts = texts.select(text, _atoms(F.col(text)).alias("atoms")).select(
+        text, "atoms", F.inline(F.filter(places, lambda p: begins(p["first"])))
     )
     small = gazetteers.city_bytes <= gazetteers.broadcast_bytes
     near = starts.join(F.broadcast(firsts) if small else firsts, "first")

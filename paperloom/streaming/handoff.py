@@ -78,7 +78,8 @@ def message_schema(messages: DataFrame, column: str = "data") -> T.StructType:
 def _documents(messages: DataFrame, column: str) -> DataFrame:
     data = F.col(column)
     raw = F.try_validate_utf8(F.try_to_binary(data, F.lit("base64")).cast("string"))
-    return messages.select(data.alias("__data"), F.try_parse_json(raw).alias("__doc"))
+    # ``inline`` keeps the parser below; merged into the fields it would run once for each.
+    return messages.select(F.inline(F.array(F.struct(data.alias("__data"), F.try_parse_json(raw).alias("__doc")))))
 
 
 def decode_described(messages: DataFrame, column: str = "data", schema: T.StructType | None = None) -> DataFrame:
