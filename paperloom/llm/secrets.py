@@ -1,13 +1,16 @@
 """Secrets in texts: fixed patterns, and strings that zstandard finds new in a sensitive context.
 
-A candidate is a long string of letters and digits that follows a sensitive word on its line. Its
-novelty is how many more bytes the surrounding text compresses to with the candidate in it than
-without, per character. The compressor is primed with a dictionary of code and of the identifiers
-that the whole corpus assigns to, so that names, paths and repeated values cost little, while
-random keys cost nearly a byte per character.
+A candidate is a long string of letters and digits that follows a sensitive word on its line or on
+one of the two lines before it, or a line of a private key's block. Its novelty is how many more
+bytes the surrounding text compresses to with the candidate in it than without, per character;
+copies of the candidate are taken out of that text first. The compressor is primed with a
+dictionary of code and of the identifiers that the whole corpus assigns to, so that names, paths
+and common values cost little, while random keys cost nearly a byte per character. A name the
+document itself assigns to is none.
 """
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.llm.text import slices
+from paperloom.session import work_folder
 
 # The kinds of spans in their order, and the base patterns.
 KINDS = ["assign", "access", "hex", "novel"]
@@ -24,20 +28,29 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_CHARS, ACCESS_CHARS, HEX_CHARS = 8, 16, 32
 
-#: Candidates: their least length, the text before them that must hold a sensitive word.
+#: Candidates: their least length, and what must stand before them: characters and lines back from
+#: a candidate in which a sensitive word makes its place a sensitive one.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.~-]{16,}")
 SENSITIVE = re.compile(
     r"(?ai:passw|passphrase|pwd|secret|token|api.?key|access.?key|private.?key|signing.?key|encryption.?key"
     r"|credential|bearer|authorization|basic\x20|auth|session.?id|cookie|connection.?string|client.?id|akia)"
 )
-REACH = 48
+REACH, REACH_LINES = 256, 3
+#: A private key's block; its lines are candidates of any length up to the end mark, or to the
+#: first line that cannot be a part of it.
+BLOCK = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
+BLOCK_LINE = re.compile(r"\s*([A-Za-z0-9+/=]{4,})[^\S\n]*(?=\n|\Z|-)")
+BLOCK_HEADER = re.compile(r"\s*[A-Za-z-]+: [^\n]*(?=\n|\Z)")
 #: Characters on both sides that count as the surrounding text.
 CONTEXT = 256
 #: Bytes per character from which a candidate is reported.
 NOVELTY = 0.6
-#: The most identifiers of the corpus in the dictionary, the most frequent ones.
-IDENTIFIERS = 2000
+#: An identifier is in the dictionary if it is at least one of so many assigned names of the corpus.
+#: So there are at most as many, and the rule is the same for any amount of text.
+IDENTIFIER_SHARE = 4000
 IDENTIFIER = r"""([A-Za-z_][A-Za-z0-9_]{2,63})["']?\s*[:=]"""
+#: A name that the document itself assigns to is no secret.
+ASSIGNED = re.compile(r"([A-Za-z_][A-Za-z0-9_]{2,63})\s*=(?!=)")
 CODE = (
     "import os sys json config settings environment variables environ getenv process.env export default return "
     "function class public private static final const let var def self this null None true false string number "
@@ -59,10 +72,11 @@ class NoveltyMeter:
         self.compressor = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False, write_dict_id=False)
 
     def marginal(self, text: str, start: int, end: int) -> float:
-        """Extra compressed bytes per character of the candidate after its surroundings."""
-        around = text[max(0, start - CONTEXT) : start] + text[end : end + CONTEXT]
+        """Extra compressed bytes per character of the candidate after its surroundings, without its copies there."""
+        value = text[start:end]
+        around = text[max(0, start - CONTEXT) : start].replace(value, " ") + text[end : end + CONTEXT].replace(value, " ")
         base = around.encode("utf-8", "surrogatepass")
-        whole = base + text[start:end].encode("utf-8", "surrogatepass")
+        whole = base + value.encode("utf-8", "surrogatepass")
         return (len(self.compressor.compress(whole)) - len(self.compressor.compress(base))) / (end - start)
 
 
@@ -78,14 +92,37 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _candidates(text: str) -> Iterator[tuple[int, int]]:
+def _block_lines(text: str) -> list[list[tuple[int, int]]]:
+    """The lines of each private key's block."""
+    found = []
+    for mark in BLOCK.finditer(text) if "PRIVATE KEY" in text else ():
+        at, own = mark.end(), []
+        while True:
+            if header := BLOCK_HEADER.match(text, at):
+                at = header.end()
+            elif line := BLOCK_LINE.match(text, at):
+                own.append(line.span(1))
+                at = line.end()
+            else:
+                break
+        if own:
+            found.append(own)
+    return found
+
+
+def _candidates(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """Places of candidates, each with the place that is measured for it: the whole of a block for its lines."""
+    blocks = []
+    for lines in _block_lines(text):
+        blocks += lines
+        yield from ((a, b, lines[0][0], lines[-1][1]) for a, b in lines)
     for m in CANDIDATE.finditer(text):
-        value = m[0]
+        value, start = m[0], m.start()
         if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
             continue
-        before = text[max(0, m.start() - REACH) : m.start()].rpartition("\n")[2]
-        if SENSITIVE.search(before):
-            yield m.span()
+        before = text[max(0, start - REACH) : start].rsplit("\n", REACH_LINES)[-REACH_LINES:]
+        if SENSITIVE.search("\n".join(before)) and not any(a < m.end() and b > start for a, b in blocks):
+            yield (*m.span(), *m.span())
 
 
 def find_spans(text: str, meter: NoveltyMeter, novelty: float = NOVELTY) -> list[tuple[str, int, int, str, float]]:
@@ -93,28 +130,39 @@ def find_spans(text: str, meter: NoveltyMeter, novelty: float = NOVELTY) -> list
     base = base_spans(text)
     spans = [(k, a, b, text[a:b], meter.marginal(text, a, b)) for k, a, b in base]
     taken = sorted((a, b) for _, a, b in base)
-    at = 0
-    for start, end in _candidates(text):
-        while at < len(taken) and taken[at][1] <= start:
-            at += 1
-        if any(a < end and b > start for a, b in taken[at : at + 3]):
+    starts, longest = [a for a, _ in taken], max((b - a for a, b in taken), default=0)
+    names = None
+    measured: dict[tuple[int, int], float] = {}
+    for start, end, *whole in sorted(_candidates(text)):
+        near = taken[bisect_left(starts, start - longest) : bisect_left(starts, end)]
+        if any(b > start for _, b in near):
+            continue
+        if names is None:
+            names = set(ASSIGNED.findall(text))
+        if text[start:end] in names:
             continue
-        value = meter.marginal(text, start, end)
+        value = measured.setdefault(tuple(whole), -1.0)
+        if value < 0:
+            value = measured[tuple(whole)] = meter.marginal(text, *whole)
         if value >= novelty:
             spans.append(("novel", start, end, text[start:end], value))
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
-def identifier_dictionary(docs: DataFrame, text: str = "text", most: int = IDENTIFIERS) -> bytes:
-    """The code dictionary and the corpus's most frequent assigned names, the commonest last.
+def identifier_dictionary(docs: DataFrame, text: str = "text", share: int = IDENTIFIER_SHARE) -> bytes:
+    """The code dictionary and the corpus's common assigned names, the commonest last.
 
-    Names are counted over all documents; at most ``most`` come to the driver.
+    Names are counted over all documents. One that makes up less than one ``share``-th of all
+    assignments is left out, so at most ``share`` names come to the driver, whatever the corpus.
     """
+    folder = work_folder(docs.sparkSession, "identifiers")
     likely = docs.where(F.col(text).contains("=") | F.col(text).contains(":"))
     names = likely.select(F.explode(F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(1))).alias("name"))
-    counted = names.groupBy("name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "name").limit(most)
-    common = [row.name for row in counted.collect()]
-    return (CODE + " " + " ".join(reversed(common))).encode()
+    names.groupBy("name").agg(F.count("*").alias("n")).write.parquet(folder)
+    counted = docs.sparkSession.read.parquet(folder)
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    common = counted.where(F.col("n") * share >= total).orderBy(F.desc("n"), "name").collect()
+    return (CODE + " " + " ".join(row.name for row in reversed(common))).encode()
 
 
 def with_secrets(docs: DataFrame, text: str = "text", spans: str = "spans", novelty: float = NOVELTY) -> DataFrame:
