@@ -15,9 +15,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.window import Window
 
 from paperloom.llm.shared import share
 from paperloom.llm.text import Words, slices
+from paperloom.session import work_folder
 
 #: Hashed words; bins of each statistic.
 WORD_BUCKETS = 1 << 14
@@ -25,6 +27,8 @@ BINS = 24
 FACTORS = 8
 #: The most labelled rows a fit takes: those with the smallest hash of their id.
 FIT_ROWS = 6000
+#: The most features of these rows that come to the driver, 16 bytes each.
+FIT_VALUES = 12_000_000
 #: Steps of a fit, each over ``BATCH`` rows, however many rows there are.
 STEPS, BATCH = 800, 256
 THRESHOLD = 0.3
@@ -168,11 +172,8 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = features(part.column("text"), part.column("stated"))
             ends = pa.array(np.concatenate(([0], x.ends)).astype(np.int32))
             lists = [pa.ListArray.from_arrays(ends, pa.array(a)) for a in (x.index, x.value)]
-            yield pa.RecordBatch.from_arrays([part.column("label"), *lists], ["label", "index", "value"])
-
-
-def _inputs(docs: DataFrame, text: str, stated: str, *more: str) -> DataFrame:
-    return docs.select(F.col(text).alias("text"), F.col(stated).cast("long").alias("stated"), *more)
+            own = [part.column(n) for n in ("rank", "label")]
+            yield pa.RecordBatch.from_arrays([*own, *lists], ["rank", "label", "index", "value"])
 
 
 def train(
@@ -183,18 +184,31 @@ def train(
     text: str = "text",
     stated: str = "n_chars",
     fit_rows: int = FIT_ROWS,
+    fit_values: int = FIT_VALUES,
 ) -> FactorisationMachine:
     """Fit on labelled documents outside the held-out fifth.
 
     At most ``fit_rows`` of them: the ones whose ids hash smallest, a random sample that does
-    not depend on partitions. Only their features come to the driver. NULL ids and labels are
-    left out; without any labelled row the model says one half.
+    not depend on partitions, and of these as many as hold ``fit_values`` features together. Only
+    their features come to the driver. Of rows that repeat an id one is taken. NULL ids and labels
+    are left out; without any labelled row the model says one half. Other columns, whatever their
+    names, are not looked at.
     """
-    usable = labels.select(id_column, F.col(label).cast("double").alias("label")).dropna()
-    usable = usable.where(~held_out(F.col(id_column)))
-    chosen = usable.orderBy(F.xxhash64(id_column), "label").limit(fit_rows)
-    rows = _inputs(docs.join(F.broadcast(chosen), id_column), text, stated, "label")
-    table = rows.mapInArrow(_measured, "label double, index array<long>, value array<double>").toArrow()
+    key = F.col(id_column)
+    usable = labels.select(key.alias("__id"), F.col(label).cast("double").alias("label")).dropna()
+    usable = usable.where(~held_out(F.col("__id"))).withColumn("rank", F.xxhash64("__id"))
+    chosen = usable.orderBy("rank", "label").limit(fit_rows)
+    own = docs.select(key.alias("__id"), F.col(text).alias("text"), F.col(stated).cast("long").alias("stated"))
+    joined = own.join(F.broadcast(chosen), "__id")
+    one = F.min(F.struct(F.xxhash64("text", "stated").alias("h"), "text", "stated", "rank")).alias("row")
+    rows = joined.groupBy("__id", "label").agg(one).select("row.text", "row.stated", "row.rank", "label")
+    folder = work_folder(docs.sparkSession, "fit")
+    rows.mapInArrow(_measured, "rank long, label double, index array<long>, value array<double>").write.parquet(folder)
+    stored = docs.sparkSession.read.parquet(folder)
+    # At most ``fit_rows`` sizes are put in order.
+    order = Window.orderBy("rank", "label", F.xxhash64("index", "value"))
+    held = F.sum(F.size("index")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    table = stored.withColumn("held", held).where(F.col("held") <= fit_values).select("label", "index", "value").toArrow()
     if not table.num_rows:
         return FactorisationMachine(0.0, np.zeros(FEATURES), np.zeros((FEATURES, FACTORS)))
     table = table.combine_chunks()

@@ -55,6 +55,26 @@ def test_scores_ignore_labels_and_ids_and_cover_all_rows(spark, docs):
     assert by_id[1000] < 0.3 < by_id[1001] == by_id[0]
 
 
+def test_training_takes_any_further_columns_and_repeated_ids(spark, docs):
+    data = list(junk_and_prose(120))
+    labels = spark.createDataFrame([(i, q) for i, _, q in data], "doc_id long, quality int")
+    plain = quality.train(docs([(i, t) for i, t, _ in data]), labels)
+    clash = docs([(i, t) for i, t, _ in data] * 3 + [(None, "x")]).withColumns({n: F.lit("z") for n in ("label", "quality", "rank", "stated", "row", "held", "index")})
+    again = quality.train(clash, labels)
+    assert again.bias == plain.bias and (again.weights == plain.weights).all() and (again.factors == plain.factors).all()
+
+
+def test_the_fit_is_bounded_in_features(spark, docs, monkeypatch):
+    data = list(junk_and_prose(60))
+    labels = spark.createDataFrame([(i, q) for i, _, q in data], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append(len(x.index)))
+    frame = docs([(i, t + " more words" * 500) for i, t, _ in data])
+    for most in (10**9, 900, 0):
+        quality.train(frame, labels, fit_values=most)
+    assert len(seen) == 2 and 0 < seen[1] <= 900 < seen[0]
+
+
 def test_no_labels_and_no_documents(spark, docs):
     empty = spark.createDataFrame([], "doc_id long, quality int")
     model = quality.train(docs([(1, "a")]), empty)
