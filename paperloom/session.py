@@ -1,5 +1,6 @@
 """Session settings and the shared working folder."""
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +28,15 @@ def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared one the cluster names in ``spark.checkpoint.dir``.
 
     Where that setting is absent the folder lies below the warehouse, which all executors
-    share as well; a machine's own temporary folder is never used.
+    share as well; a machine's own temporary folder is never used. A warehouse on a local disk
+    serves a single machine only, so elsewhere it is refused.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        alone = re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "local"))
+        if not alone and (":" not in base or base.startswith("file:")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {base} is local")
     return f"{base.rstrip('/')}/paperloom/{name}-{uuid.uuid4().hex}"
 
 
