@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import StreamingQueryException
 
 from paperloom import constants, schemas
+from paperloom.functions.surface import register_functions
 from paperloom.functions.text import as_flag, feature_text, render_list, slashed_date
 from paperloom.operators import filters, headings, memo, merge, nametrie, positions, quality, rollup, runs, scoring, spelling
 from paperloom.operators.places import Gazetteers, countries_of_texts
@@ -466,6 +467,17 @@ def resolution_memo(spark: SparkSession, folder: str) -> DataFrame:
     return resolved.unionByName(named.withColumn("touched", F.lit(0).cast("long")))
 
 
+def sql_surface(spark: SparkSession, folder: str) -> DataFrame:
+    """Countries and flags of affiliations, asked for in SQL alone."""
+    register_functions(spark, tables.gazetteers(spark, folder).countries)
+    text = F.when(F.col("l_returnflag") == "A", tables.city_text()).otherwise(tables.country_text())
+    tables.affiliation_lines(spark, folder, text).select(*LINE, "affil").createOrReplaceTempView("affiliation_lines")
+    return spark.sql("""
+        SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, position, country,
+          lmic_flag(country) AS lmic, lmic_lower_flag(country) AS lmic_lower, china_flag(country) AS china
+        FROM affiliation_lines, LATERAL affiliation_countries(affil)""")
+
+
 def _country_rows(spark: SparkSession, folder: str) -> DataFrame:
     """A country per author position; returned open lines have none."""
     unknown = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
@@ -942,6 +954,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "place_resolution": place_resolution,
     "resolution_memo": resolution_memo,
     "extract_names_large": extract_names_large,
+    "sql_surface": sql_surface,
     "place_spelling": place_spelling,
     "country_rollup": country_rollup,
     "fill_country": fill_country,

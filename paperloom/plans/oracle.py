@@ -455,6 +455,17 @@ ORACLE: dict[str, str] = {
         FROM orders
         UNION ALL
         SELECT NULL, NULL, NULL, NULL, NULL, NULL, '?' || o_orderkey FROM orders WHERE o_orderkey % 50 = 0""",
+    "sql_surface": f"""
+        WITH named AS (
+          SELECT {LINE}, 1 AS position, l.country {PLACED} WHERE l_returnflag <> 'A'
+          UNION ALL
+          SELECT {LINE}, 2, c2.country {PLACED}
+          WHERE l_returnflag <> 'A' AND l_linestatus = 'O' AND c2.country <> l.country
+        )
+        SELECT *, {_flag(_alternation('lower(country)', constants.LOW_MIDDLE_INCOME_TERMS))} AS lmic,
+          {_flag(_alternation('lower(country)', constants.LOWER_INCOME_TERMS))} AS lmic_lower,
+          {_flag("contains(lower(country), 'china')")} AS china
+        FROM named""",
     "extract_names_large": """
         SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, p_name || '|' || c_name || '|' || s_name AS names
         FROM lineitem LEFT JOIN part ON p_partkey = l_partkey LEFT JOIN orders ON o_orderkey = l_orderkey
