@@ -28,6 +28,8 @@ FOUND = "struct<license:string,start:bigint,words:bigint,containment:double>"
 TEMPLATES = {
     "MIT": [
         "Released under the MIT License.",
+        "Released under MIT license.",
+        "Licensed under MIT.",
         "Licensed under the MIT License.",
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
@@ -43,6 +45,11 @@ TEMPLATES = {
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
+        "Licensed under Apache 2.0.",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+        "REPRODUCTION, AND DISTRIBUTION",
+        '"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 '
+        "through 9 of this document.",
         "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, "
         "worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare "
         "Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such "
@@ -55,6 +62,8 @@ TEMPLATES = {
         "SPDX-License-Identifier: Apache-2.0",
     ],
     "GPL-2.0": [
+        "Licensed under GPLv2.",
+        "Licensed under the GPLv2.",
         "This work is licensed under the GNU General Public License, version 2.",
         "The licenses for most software are designed to take away your freedom to share and change it. By contrast, "
         "the GNU General Public License is intended to guarantee your freedom to share and change free software--to "
@@ -65,6 +74,8 @@ TEMPLATES = {
         "SPDX-License-Identifier: GPL-2.0",
     ],
     "GPL-3.0": [
+        "Licensed under GPLv3.",
+        "Licensed under the GPLv3.",
         "This work is licensed under the GNU General Public License, version 3.",
         "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
@@ -92,6 +103,14 @@ TEMPLATES = {
         "specifically designed to ensure cooperation with the community in the case of network server software.",
         "SPDX-License-Identifier: AGPL-3.0",
     ],
+    "AGPL-3.0-only": ["SPDX-License-Identifier: AGPL-3.0-only"],
+    "AGPL-3.0-or-later": ["SPDX-License-Identifier: AGPL-3.0-or-later"],
+    "GPL-2.0-or-later": ["SPDX-License-Identifier: GPL-2.0-or-later"],
+    "GPL-3.0-or-later": ["SPDX-License-Identifier: GPL-3.0-or-later"],
+    "LGPL-2.1-only": ["SPDX-License-Identifier: LGPL-2.1-only"],
+    "LGPL-2.1-or-later": ["SPDX-License-Identifier: LGPL-2.1-or-later"],
+    "LGPL-3.0-only": ["SPDX-License-Identifier: LGPL-3.0-only"],
+    "LGPL-3.0-or-later": ["SPDX-License-Identifier: LGPL-3.0-or-later"],
     "LGPL-2.1": [
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
         "General Public License as published by the Free Software Foundation; either version 2.1 of the License, "
@@ -107,6 +126,16 @@ TEMPLATES = {
     "BSD-3-Clause": [
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
         "promote products derived from this software without specific prior written permission.",
+        "SPDX-License-Identifier: BSD-3-Clause",
+    ],
+    "BSD-2-Clause": ["SPDX-License-Identifier: BSD-2-Clause"],
+    "BSL-1.0": [
+        "Boost Software License - Version 1.0 - August 17th, 2003",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+        'and accompanying documentation covered by this license (the "Software") to use, reproduce, display, '
+        "distribute, execute, and transmit the Software, and to prepare derivative works of the Software",
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
     ],
     "EPL-2.0": [
         "This program and the accompanying materials are made available under the terms of the Eclipse Public "
@@ -123,8 +152,10 @@ TEMPLATES = {
         "that the following conditions are met:",
         "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
         "following disclaimer.",
+        # The sentence that this license's own notice begins with.
+        "All rights reserved. Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met:",
         "Licensed under the BSD License.",
-        "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
@@ -135,17 +166,19 @@ TEMPLATES = {
     "ISC": [
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
         "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC",
     ],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "CC-BY-4.0": ["SPDX-License-Identifier: CC-BY-4.0", "Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "CC-BY-SA-4.0": ["SPDX-License-Identifier: CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "CC-BY-NC-4.0": ["SPDX-License-Identifier: CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain.", "SPDX-License-Identifier: Unlicense"],
     "Proprietary": ["All rights reserved."],
 }
 
 
-#: Licenses whose statements differ by a version or a word; only these dispute a passage.
+#: Licenses whose statements differ by a version or a word, or hold another's; only these dispute a passage.
 FAMILY = {name: "GPL" if "GPL" in name else "CC" for name in TEMPLATES if "GPL" in name or name.startswith("CC")}
+FAMILY |= {"BSD": "BSD", "Proprietary": "BSD"}
 
 
 def minhash_bands(shingles: np.ndarray, valid: np.ndarray) -> np.ndarray:
