@@ -178,7 +178,8 @@ def with_leaks(
     words, or the whole item when it is shorter. An item is listed once per document with its
     most similar window: its first word (counted from 0), its number of words and the weighted
     Jaccard similarity. NULL or empty texts and items hold nothing. Repeated documents are
-    searched each for itself, repeated items are all listed, a NULL item id is listed as NULL.
+    searched each for itself, repeated items are all listed, a NULL item id is listed as NULL;
+    item ids are whole numbers.
     All columns are kept; one named like ``leaks`` is replaced.
 
     Documents are not moved. The items' index is sent to all tasks behind a check of its size;

@@ -147,8 +147,8 @@ def dedup_lines(
     places there. A NULL or empty text is one empty line. Rows with one id are one document; a
     NULL id is a document below all others. Repeated rows are treated alike and stay repeated.
     A text without dropped lines is returned as it is, NULL as an empty text. Input columns
-    named ``n_lines`` or ``n_dropped`` are replaced, others are kept. Keys are compared by
-    128-bit hashes.
+    named ``n_lines`` or ``n_dropped`` are replaced, others are kept. Ids are whole numbers; a text
+    that is no number is refused. Keys are compared by 128-bit hashes.
 
     Only key hashes are grouped and joined; whole texts move at most once, when the numbers of
     the dropped lines come back to their rows.

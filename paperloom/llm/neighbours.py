@@ -107,8 +107,8 @@ def nearest_vectors(
 
     Vectors that are NULL, zero, empty or hold NULL or non-finite components take no part, nor do
     rows without an id; queries are compared with vectors of their own length and never with their
-    own id. Of several rows with one id the smallest vector counts. Ties go to the smaller id. Other
-    columns are ignored.
+    own id. Of several rows with one id the smallest vector counts. Ties go to the smaller id; ids
+    are whole numbers. Other columns are ignored.
 
     Vectors are dealt by id into blocks, each block indexed whole by one task; queries stream
     through the blocks, and the k best of every block are merged. A block is repeated once for each

@@ -350,8 +350,8 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     on the input. ``text`` becomes the kept words joined by one space; ``n_words`` and ``n_removed``
     count before and removed. A NULL or empty text has no words and becomes empty. Rows with one id
     are one document and do not remove each other's words; a NULL id ranks above all ids. Input
-    columns named ``n_words`` or ``n_removed`` are replaced, others kept. Words are compared by
-    64-bit hashes.
+    columns named ``n_words`` or ``n_removed`` are replaced, others kept. Ids are whole numbers; a text
+    that is no number is refused. Words are compared by 64-bit hashes.
     """
     spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "substrings")
     docs = docs.drop("n_words", "n_removed")
