@@ -32,6 +32,8 @@ INITIALS = "sua"
 #: Pairs of kinds that may stand side by side: system-user, user-assistant, assistant-user.
 GOOD_PAIRS = {(0, 1), (1, 2), (2, 1)}
 _PLACED = "__conv string, __chunk long, __id long, variant int, before string, deleted long, after string, said string, cost long, illegal long, exits array<int>"
+#: Columns of the ordered rows that go through to the edited ones.
+_OWN = ["__turn", "__role", "__d1", "__d2", "n", "blank", "first", "truncated"]
 
 
 def damage(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -97,7 +99,7 @@ class _Chunk:
     """Ordered rows of some conversations as steps: a turn with its symbol, then its copies that must go."""
 
     def __init__(self, table: pa.Table):
-        table = table.sort_by("__id")
+        self.table = table = table.sort_by("__id")
         self.conv, self.ids = table.column("__conv").combine_chunks(), table.column("__id").to_numpy()
         code = pc.dictionary_encode(self.conv).indices.to_numpy()
         self.first_row = np.flatnonzero(np.diff(code, prepend=-1))
@@ -191,7 +193,7 @@ def _placed(own: pa.Table, edges: pa.Table) -> pa.Table:
         exits[runs, state] = end
         parts.append(_edits(chunk, states, after, runs, end, final[runs], closed[runs] >= 0, state, illegal))
     if (cut_runs := [i for i in range(count) if cut[i]]):
-        parts.append(_summary(names, exits, cut_runs))
+        parts.append(_summary(names, exits, cut_runs, chunk.table.schema))
     table = pa.concat_tables(parts)
     number = pa.array(np.full(table.num_rows, own.column("__chunk")[0].as_py()), pa.int64())
     return table.add_column(1, "__chunk", number)
@@ -239,15 +241,16 @@ def _edits(chunk: _Chunk, states, after, runs, end, final, inside, state, illega
         "illegal": pa.array(illegal[take].astype(np.int64)),
     }
     columns["exits"] = pa.nulls(int(take.sum()), pa.list_(pa.int32()))
-    return pa.table(columns)
+    own = chunk.table.select(_OWN).filter(pa.array(take))
+    return pa.table(columns | {name: own.column(name) for name in _OWN})
 
 
-def _summary(names: list[str], exits: np.ndarray, runs: list[int]) -> pa.Table:
+def _summary(names: list[str], exits: np.ndarray, runs: list[int], schema: pa.Schema) -> pa.Table:
     """For each cut run the state it ends in, by the state it begins in."""
     empty = {"__id": pa.int64(), "variant": pa.int32(), "before": pa.string(), "deleted": pa.int64(), "after": pa.string(), "said": pa.string(), "cost": pa.int64(), "illegal": pa.int64()}
     columns = {"__conv": pa.array([names[i] for i in runs]), **{n: pa.nulls(len(runs), kind) for n, kind in empty.items()}}
     columns["exits"] = pa.array(exits[runs].tolist(), pa.list_(pa.int32()))
-    return pa.table(columns)
+    return pa.table(columns | {name: pa.nulls(len(runs), schema.field(name).type) for name in _OWN})
 
 
 def _entries(runs: pa.Table) -> pa.Table:
@@ -260,9 +263,11 @@ def _entries(runs: pa.Table) -> pa.Table:
 
 
 def _edited(ordered: DataFrame, folder: str) -> DataFrame:
-    """(__conv, __id, before, deleted, after, said, cost, illegal) of each ordered row."""
+    """Each ordered row's own columns with before, deleted, after, said, cost and illegal."""
     spark = ordered.sparkSession
     symbols = ordered.select("__conv", "__chunk", "__id", "kind", "blank", "truncated", "first", "n")
+    kinds = dict(ordered.dtypes)
+    schema = ", ".join([_PLACED, *[f"{name} {kinds[name]}" for name in _OWN]])
     spans = ordered.groupBy("__conv").agg(F.min("__chunk").alias("a"), F.max("__chunk").alias("b"))
     cut = spans.where("a < b").select("__conv")
     pieces = symbols.join(cut, "__conv", "left_semi").groupBy("__chunk")
@@ -270,7 +275,8 @@ def _edited(ordered: DataFrame, folder: str) -> DataFrame:
     edges = matrices.groupBy("__conv").applyInArrow(_edges, "__conv string, __chunk long, right int, closed int, last boolean")
     edges.write.parquet(f"{folder}/edges")
     edges = spark.read.parquet(f"{folder}/edges")
-    placed = symbols.groupBy("__chunk").cogroup(edges.groupBy("__chunk")).applyInArrow(_placed, _PLACED)
+    rows = ordered.select("__conv", "__chunk", "__id", "kind", *_OWN)
+    placed = rows.groupBy("__chunk").cogroup(edges.groupBy("__chunk")).applyInArrow(_placed, schema)
     placed.write.parquet(f"{folder}/placed")
     placed = spark.read.parquet(f"{folder}/placed")
     runs = placed.where("__id IS NULL").select("__conv", "__chunk", "exits")
@@ -300,10 +306,8 @@ def repair_conversations(rows: DataFrame, conv: str = "conv_id", turn: str = "tu
     turns = _turns(rows, conv, turn, role, text)
     ordered = _ordered(turns, folder)
     edits = _edited(ordered, folder)
-    own = ordered.select("__conv", "__id", "__turn", "__role", "__d1", "__d2", "n", "blank", "first", "truncated")
-    joined = own.join(edits, ["__conv", "__id"])
     n, blank, first = F.col("n"), F.col("blank"), F.col("first")
-    faults = joined.withColumns(
+    faults = edits.withColumns(
         {
             "blank": F.when(blank, n).otherwise(0),
             "duplicate": F.when(~blank, n - first.cast("long")).otherwise(0),
