@@ -55,16 +55,19 @@ def ordered_entries(
     order: Sequence[str],
     values: Sequence[str],
     into: str = "entries",
-    salts: int = 8,
+    salts: int | None = None,
 ) -> DataFrame:
     """Per key, the list of its rows as structs of ``order`` and ``values``, in order.
 
-    The rows of a key are first sorted in ``salts`` parts, in different tasks, and the
-    sorted parts are then merged. The final list is one cell, as large as the record it
-    belongs to; where only first, last or distinct values are wanted use
+    The rows are moved once. With ``salts`` the rows of a key are first sorted in that many
+    parts, in different tasks, and the sorted parts are then merged, which moves everything
+    a second time: for keys with very many rows each. The final list is one cell, as large as
+    the record it belongs to; where only first, last or distinct values are wanted use
     ``rollup_summary``, which builds no list.
     """
     entry = F.struct(*order, *values)
+    if salts is None:
+        return rows.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias(into))
     parts = (
         rows.withColumn("__part", salt_of(list(order), salts))
         .groupBy(key, "__part")

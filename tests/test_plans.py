@@ -3,7 +3,10 @@
 import pytest
 from conftest import SMALL
 
+from paperloom.operators import rollup
+from paperloom.plans import tables
 from paperloom.plans.catalog import QUERIES
+from paperloom.plans.tables import table
 
 SCORED_IN_PYTHON = {"score_binary_batches"}
 
@@ -55,3 +58,9 @@ def test_xml_text_is_parsed_once(spark):
         assert "from_xml" not in "".join(
             line for line in shown.splitlines() if line.startswith("Condition")
         )
+
+
+def test_lists_of_an_article_are_moved_once(spark):
+    lines = table(spark, SMALL, "lineitem")
+    shown = plan(rollup.ordered_entries(lines, "l_orderkey", tables.AUTHOR_ORDER, ["l_tax"]))
+    assert shown.count("hashpartitioning(") == 1
