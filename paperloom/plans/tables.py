@@ -4,6 +4,8 @@ An order is an article, its line items are the author positions, suppliers are
 institutions, nations are countries and documents supply titles and abstracts.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -142,40 +144,41 @@ def second_countries(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def country_text() -> Column:
+def country_text(of: Callable[[str], Column] = F.col) -> Column:
     """An affiliation that names one country, or two when the line is open."""
     text = F.concat(
-        F.lit("Dept "), F.col("l_partkey"), F.lit(", "), F.col("s_name"), F.lit(", "), F.col("country")
+        F.lit("Dept "), of("l_partkey"), F.lit(", "), of("s_name"), F.lit(", "), of("country")
     )
-    both = F.concat(text, F.lit(" and "), F.col("country_2"))
-    return F.when(F.col("l_linestatus") == "O", both).otherwise(text)
+    both = F.concat(text, F.lit(" and "), of("country_2"))
+    return F.when(of("l_linestatus") == "O", both).otherwise(text)
 
 
-def city_text() -> Column:
+def city_text(of: Callable[[str], Column] = F.col) -> Column:
     """An affiliation that names two institutions and no country."""
-    other = F.concat(F.lit("Supplier#"), F.lpad(F.col("l_linenumber").cast("string"), 9, "0"))
+    other = F.concat(F.lit("Supplier#"), F.lpad(of("l_linenumber").cast("string"), 9, "0"))
     return F.concat(
-        F.lit("Unit "), F.col("l_partkey"), F.lit(", "), other, F.lit(", "), F.col("s_name")
+        F.lit("Unit "), of("l_partkey"), F.lit(", "), other, F.lit(", "), of("s_name")
     )
 
 
-def tail_text() -> Column:
+def tail_text(of: Callable[[str], Column] = F.col) -> Column:
     """An affiliation known by its last two words, as a whole, or not at all."""
-    tail = F.concat(F.lit("Dept "), F.col("l_partkey"), F.lit(" of Campus "), F.col("l_suppkey"))
-    whole = F.concat(F.lit("Institute "), F.col("l_suppkey"), F.lit(" Old East Wing"))
-    nowhere = F.concat(F.lit("Nowhere "), F.col("l_partkey"))
+    tail = F.concat(F.lit("Dept "), of("l_partkey"), F.lit(" of Campus "), of("l_suppkey"))
+    whole = F.concat(F.lit("Institute "), of("l_suppkey"), F.lit(" Old East Wing"))
+    nowhere = F.concat(F.lit("Nowhere "), of("l_partkey"))
     return (
-        F.when(F.col("l_linestatus") == "F", tail)
-        .when(F.col("l_linenumber") <= 3, whole)
+        F.when(of("l_linestatus") == "F", tail)
+        .when(of("l_linenumber") <= 3, whole)
         .otherwise(nowhere)
     )
 
 
-def mixed_text() -> Column:
+def mixed_text(of: Callable[[str], Column] = F.col) -> Column:
+    """Each of the texts above by the line's flag; ``of`` gives the line's fields."""
     return (
-        F.when(F.col("l_returnflag") == "A", country_text())
-        .when(F.col("l_returnflag") == "N", city_text())
-        .otherwise(tail_text())
+        F.when(of("l_returnflag") == "A", country_text(of))
+        .when(of("l_returnflag") == "N", city_text(of))
+        .otherwise(tail_text(of))
     )
 
 
@@ -207,11 +210,13 @@ def misspelt(name: Column, number: Column) -> Column:
     return F.get(F.array(*kinds), F.pmod(number, F.lit(len(kinds))).cast("int"))
 
 
+def two_country_lines(spark: SparkSession, folder: str) -> DataFrame:
+    lines = author_lines(spark, folder, costly=True)
+    return lines.join(second_countries(spark, folder), "l_linenumber", "left")
+
+
 def affiliation_lines(spark: SparkSession, folder: str, text: Column) -> DataFrame:
-    lines = author_lines(spark, folder, costly=True).join(
-        second_countries(spark, folder), "l_linenumber", "left"
-    )
-    return lines.withColumn("affil", text)
+    return two_country_lines(spark, folder).withColumn("affil", text)
 
 
 def gazetteers(spark: SparkSession, folder: str) -> Gazetteers:
@@ -237,16 +242,24 @@ def article_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Everything an article record takes from its line items, one row per order.
 
     The lists are the article's own authors, subjects and references, which one record
-    holds as a whole.
+    holds as a whole. The affiliations are written out behind the shuffle, from fields that
+    are shorter than the texts.
     """
     parts = table(spark, folder, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_size"
     )
-    lines = affiliation_lines(spark, folder, mixed_text()).join(parts, "l_partkey", "left")
-    values = [
-        "s_name", "affil", "p_name", "p_type", "p_size", "l_returnflag", "l_linestatus",
-    ]
-    return ordered_entries(lines, "l_orderkey", AUTHOR_ORDER, values, "lines")
+    lines = two_country_lines(spark, folder).join(parts, "l_partkey", "left")
+    subjects = ["p_name", "p_type", "p_size", "l_returnflag", "l_linestatus"]
+    values = ["s_name", "country", "country_2", *subjects]
+    listed = ordered_entries(lines, "l_orderkey", AUTHOR_ORDER, values, "lines")
+
+    def written(x: Column) -> Column:
+        own = [x.getField(n).alias(n) for n in [*AUTHOR_ORDER, "s_name"]]
+        rest = [x.getField(n).alias(n) for n in subjects]
+        return F.struct(*own, mixed_text(x.getField).alias("affil"), *rest)
+
+    # Sorted once more, since equal lines are told apart by their texts.
+    return listed.withColumn("lines", F.sort_array(F.transform("lines", written)))
 
 
 def nested(

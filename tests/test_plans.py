@@ -64,3 +64,9 @@ def test_lists_of_an_article_are_moved_once(spark):
     lines = table(spark, SMALL, "lineitem")
     shown = plan(rollup.ordered_entries(lines, "l_orderkey", tables.AUTHOR_ORDER, ["l_tax"]))
     assert shown.count("hashpartitioning(") == 1
+
+
+def test_affiliations_are_written_behind_the_shuffle(spark):
+    shown = tables.article_lines(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    grouped = next(i for i, line in enumerate(shown) if "collect_list" in line)
+    assert any("Dept" in line for line in shown[: grouped + 1]) and not any("Dept" in line for line in shown[grouped + 1 :])
