@@ -49,17 +49,21 @@ def segments_for(keys: int) -> int:
 
 
 def key_filters(keys: DataFrame, key: str, segments: int | None = None) -> DataFrame:
-    """The segments of the keys that are not NULL; those without a key have no range."""
-    known = keys.select(key).where(F.col(key).isNotNull())
+    """The segments of the keys that are not NULL; those without a key have no range.
+
+    The keys alone are dealt out by segment; their filter bits are made and joined where they land.
+    """
+    known = keys.select(F.col(key).alias("key")).where("key IS NOT NULL")
     segments = segments or segments_for(known.count())
-    placed = known.select(_segment(key, F.lit(segments)).alias("segment"), F.explode(_spots(key)).alias("spot"), F.col(key).alias("key"))
-    bit = F.expr("shiftleft(1L, cast(spot & 63 as int))")
-    set_words = placed.select("segment", F.shiftright("spot", 6).alias("word"), bit.alias("bits"), "key")
-    # Every word of every segment, so that the filters have one width.
-    words = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(WORDS - 1).cast("long"))).alias("word")
+    placed = known.select(_segment("key", F.lit(segments)).alias("segment"), "key")
+    # One row without a key stands for every word of a segment, so that the filters have one width.
     none = F.lit(None).cast(keys.schema[key].dataType).alias("key")
-    blank = keys.sparkSession.range(segments).select(F.col("id").cast("int").alias("segment"), words, F.lit(0).cast("long").alias("bits"), none)
-    merged = set_words.unionByName(blank).groupBy("segment", "word").agg(
+    blank = keys.sparkSession.range(segments).select(F.col("id").cast("int").alias("segment"), none)
+    dealt = placed.unionByName(blank).repartition("segment")
+    words = F.sequence(F.lit(0).cast("long"), F.lit(64 * (WORDS - 1)).cast("long"), F.lit(64).cast("long"))
+    spots = dealt.select("segment", "key", F.explode(F.when(F.col("key").isNull(), words).otherwise(_spots("key"))).alias("spot"))
+    bit = F.when(F.col("key").isNull(), F.lit(0).cast("long")).otherwise(F.expr("shiftleft(1L, cast(spot & 63 as int))"))
+    merged = spots.select("segment", "key", F.shiftright("spot", 6).alias("word"), bit.alias("bits")).groupBy("segment", "word").agg(
         F.bit_or("bits").alias("bits"), F.min("key").alias("low"), F.max("key").alias("high")
     )
     # A segment's words: a list of fixed length.
@@ -84,7 +88,8 @@ def close_batch(keys: DataFrame, path: str, batch: str, key: str, rows: int | No
     A batch without keys has segments that no key matches, so it stays listed.
     """
     segments = segments_for(keys.count() if rows is None else rows)
-    key_filters(keys, key, segments).coalesce(max(1, segments // FILE_SEGMENTS)).write.mode("overwrite").parquet(_folder(path, batch))
+    files = max(1, segments // FILE_SEGMENTS)
+    key_filters(keys, key, segments).repartition(files, "segment").write.mode("overwrite").parquet(_folder(path, batch))
 
 
 def read_index(spark: SparkSession, path: str, kind: str) -> DataFrame | None:

@@ -161,7 +161,11 @@ def write_batch(
     counted, low, high = rows.agg(F.count("*"), F.min(key), F.max(key)).first()
     counted = counted if _fixed_width(rows, key) else None
     others, opened = may_hold(rows.select(key), path, schema, key, batch, counted, (low, high))
-    fresh = insert_new(rows, others, key, dedupe_by, counted)
+    if opened:
+        fresh = insert_new(rows, others, key, dedupe_by, counted)
+    else:
+        # No batch holds any of the keys, so no row has to be moved to be compared.
+        fresh = rows if dedupe_by is None else newest_per_key(rows, key, dedupe_by).select(rows.columns)
     folder = f"{path.rstrip('/')}/{PART}={batch}"
     keyindex.open_batch(spark, path, batch, rows.schema[key].dataType.simpleString())
     written = Observation()

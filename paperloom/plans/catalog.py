@@ -888,7 +888,7 @@ def stage_gates(spark: SparkSession, folder: str) -> DataFrame:
         broken = scored.where(key % share == 0).select(F.concat(F.lit("?"), key).alias("data"))
 
         def label(where: str, lines: DataFrame = sent.union(broken)) -> None:
-            lines.write.text(f"{where}/messages")
+            lines.write.option("compression", "gzip").text(f"{where}/messages")
             models = stages.Models(tables.include_model(), tables.mature_model(), tables.characteristics_model())
             names = Gazetteers(tables.gazetteers(spark, folder).countries)
             stages.label_messages(spark, f"{where}/messages", f"{where}/main", f"{where}/checkpoint", models, names)

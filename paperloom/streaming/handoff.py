@@ -33,8 +33,11 @@ def decode_rows(messages: DataFrame, schema: str, column: str = "data") -> DataF
 
 
 def publish(df: DataFrame, path: str) -> None:
-    """Append the rows as messages to a folder that the second stage reads as a stream."""
-    encode_rows(df).write.mode("append").text(path)
+    """Append the rows as messages to a folder that the second stage reads as a stream.
+
+    The files are compressed: a message repeats the names of all its fields.
+    """
+    encode_rows(df).write.mode("append").option("compression", "gzip").text(path)
 
 
 def read_messages(

@@ -49,3 +49,13 @@ def test_statistics_query_asks_the_footers(spark, monkeypatch):
     monkeypatch.setattr(articles, "footer_statistics", lambda *a: asked.append(a[2]) or plain(*a))
     assert QUERIES["mark_from_statistics"](spark, "/root/testdata/sf0.001").first().row_count > 0
     assert asked == ["pubmed_date"]
+
+
+def test_published_messages_are_compressed(spark, tmp_path):
+    path = str(tmp_path / "messages")
+    rows = spark.range(500).selectExpr("id", "cast(NULL AS string) AS a_field_without_a_value")
+    handoff.publish(rows, path)
+    files = list((tmp_path / "messages").glob("part-*"))
+    assert files and all(f.name.endswith(".gz") for f in files)
+    back = handoff.decode_rows(spark.read.text(path), "id long, a_field_without_a_value string", "value")
+    assert sorted(r.id for r in back.where(f"{handoff.CORRUPT} IS NULL").collect()) == list(range(500))

@@ -96,3 +96,18 @@ def test_the_merge_lists_no_files(spark, tmp_path, monkeypatch):
     merge.append_new(frame(spark, []), path, ROW)
     monkeypatch.undo()
     assert rows(merge.read_table(spark, path, ROW)) == [(1, 0), (2, 1)]
+
+
+def test_only_the_keys_are_moved_for_the_filters(spark):
+    keys = spark.range(0, 9_000, 3).withColumnRenamed("id", "pmid")
+    shown = keyindex.key_filters(keys, "pmid", 4)._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("Exchange hashpartitioning") == 1
+    assert all(len(r.words) == keyindex.WORDS for r in keyindex.key_filters(keys, "pmid", 4).collect())
+
+
+def test_rows_that_no_batch_can_hold_are_not_compared(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "main")
+    monkeypatch.setattr(merge, "insert_new", lambda *a, **k: pytest.fail("rows were compared with nothing"))
+    merge.append_new(frame(spark, [1, 1, None, None]), path, ROW)
+    merge.append_new(frame(spark, [7, 7, None], 1), path, ROW, dedupe_by=["n"])
+    assert rows(merge.read_table(spark, path, ROW)) == sorted([(1, 0), (1, 0), (None, 0), (None, 0), (7, 1), (None, 1)], key=str)
