@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.functions.text import WORD
-from paperloom.operators.lookup import BROADCAST_BYTES, measured_bytes, sieve
+from paperloom.operators.lookup import BROADCAST_BYTES, attach, sieve
 from paperloom.session import work_folder
 
 ATOM = f"[{WORD}]+|[^{WORD}]"
+#: What an edge takes in memory beside its path, and after how many levels live places are written.
+EDGE_BYTES, LEVELS = 64, 6
 
 
 def atoms(text: Column) -> Column:
@@ -44,47 +46,49 @@ def find_names(texts: DataFrame, text: str, names: DataFrame, name: str, limit_b
     Names are matched as whole words, case counts. The leftmost match wins, at one place the
     longest, and matches do not overlap. NULL texts have no matches.
 
-    The trie is written and measured; a level's edges are broadcast while the whole trie is
-    small, and else joined by a shuffle on node and word. A text's words are kept once, under its
-    number; live places carry the node they reached and the few words still to be compared.
+    The trie is written and each level measured; the edges of a small one are broadcast, those of
+    a larger one joined by a shuffle on the path. Live places carry the path they ask for, the few
+    words still to be compared and the longest name that ended so far; a place is given up when it
+    is off the trie and no name has ended. What is live is written once every ``LEVELS`` levels.
     """
     spark, folder = texts.sparkSession, work_folder(texts.sparkSession, "trie")
     name_trie(names, name).write.partitionBy("depth").parquet(f"{folder}/edges")
     edges = spark.read.schema("before string, word string, is_name boolean, depth int").parquet(f"{folder}/edges")
-    depths = edges.agg(F.max("depth")).first()[0]
-    if depths is None:
+    paths = edges.select("depth", F.concat("before", "word").alias("path"), "is_name")
+    room = F.sum(F.octet_length("path") + F.lit(EDGE_BYTES))
+    sizes = {r["depth"]: r["room"] for r in paths.groupBy("depth").agg(room.alias("room")).collect()}
+    if not sizes:
         return texts.select(text, F.array().cast("array<string>").alias("mentions")).limit(0)
-    small = measured_bytes(edges.drop("depth")) <= limit_bytes
+    depths = max(sizes)
     own = texts.select(F.col(text).alias("text")).where("text IS NOT NULL").distinct()
-    own.withColumns({"id": F.monotonically_increasing_id(), "atoms": atoms(F.col("text"))}).write.parquet(f"{folder}/texts")
+    own.withColumn("id", F.monotonically_increasing_id()).write.parquet(f"{folder}/texts")
     stored = spark.read.parquet(f"{folder}/texts")
 
-    def children(depth: int) -> DataFrame:
-        level = edges.where(F.col("depth") == depth).drop("depth")
-        return F.broadcast(level) if small else level
-
-    roots = children(0).select("word", "is_name")
-    # Nearly all places are left out inside the row; beside the others stand the words some name could still need.
+    # Nearly all places are left out before anything is made of them; beside the others stand the words some name could still need.
     begins = sieve(edges.where("depth = 0"), "word")
-    places = F.transform("atoms", lambda word, i: F.struct(i.alias("start"), word.alias("word")))
-    near = F.transform(
-        F.filter(places, lambda p: begins(p["word"])),
-        lambda p: F.struct(p["start"], p["word"], F.slice("atoms", p["start"] + 2, F.lit(depths)).alias("rest")),
-    )
-    live = stored.select("id", F.inline(near)).join(roots, "word").select("id", "start", F.col("word").alias("before"), "rest", "is_name")
-    levels = []
+    cut = stored.select("id", atoms(F.col("text")).alias("atoms"))
+    places = cut.select("id", "atoms", F.posexplode("atoms").alias("start", "path")).where(begins(F.col("path")))
+    live = places.select(
+        "id", "start", "path", F.slice("atoms", F.col("start") + 2, F.lit(depths)).alias("rest"),
+        F.lit(0).alias("length"), F.lit(None).cast("string").alias("name"),
+    )
     for depth in range(depths + 1):
-        path = f"{folder}/level={depth}"
-        live.write.parquet(path)
-        reached = spark.read.parquet(path)
-        levels.append(reached.where("is_name").select("id", "start", F.lit(depth + 1).alias("length"), F.col("before").alias("name")))
-        if depth < depths:
-            asked = reached.withColumn("word", F.get("rest", F.lit(depth))).where("word IS NOT NULL").drop("is_name")
-            step = asked.join(children(depth + 1), ["before", "word"])
-            live = step.select("id", "start", F.concat("before", "word").alias("before"), "rest", "is_name")
-    hits = levels[0]
-    for level in levels[1:]:
-        hits = hits.unionByName(level)
+        level = paths.where(F.col("depth") == depth).select("path", "is_name")
+        if sizes[depth] <= limit_bytes:
+            met = live.join(F.broadcast(level), "path", "left")
+        else:
+            met = attach(live, level, "path")
+        live = met.select(
+            "id", "start",
+            F.when(F.col("is_name").isNotNull(), F.concat("path", F.get("rest", F.lit(0)))).alias("path"),
+            F.slice("rest", F.lit(2), F.lit(depths)).alias("rest"),
+            F.when(F.col("is_name"), F.lit(depth + 1)).otherwise(F.col("length")).alias("length"),
+            F.when(F.col("is_name"), F.col("path")).otherwise(F.col("name")).alias("name"),
+        ).where("path IS NOT NULL OR name IS NOT NULL")
+        if depth % LEVELS == LEVELS - 1:
+            live.write.parquet(f"{folder}/level={depth}")
+            live = spark.read.parquet(f"{folder}/level={depth}")
+    hits = live.where("name IS NOT NULL").select("id", "start", "length", "name")
     ordered = F.array_sort(F.collect_list(F.struct("start", (-F.col("length")).alias("order"), "name")))
     per_text = hits.groupBy("id").agg(ordered.alias("hits"))
 

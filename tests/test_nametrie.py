@@ -55,3 +55,25 @@ def test_nothing_to_find(spark):
 def test_the_trie_has_one_row_per_edge(spark):
     edges = nametrie.name_trie(table(spark, ["a b", "a c", "a", "a b"], "n"), "n").collect()
     assert sorted((e.depth, e.before, e.word, e.is_name) for e in edges) == [(0, "", "a", True), (1, "a", " ", False), (2, "a ", "b", True), (2, "a ", "c", True)]
+
+
+@pytest.mark.parametrize("limit", [1 << 25, 0])
+def test_names_longer_than_a_stretch_of_levels(spark, limit):
+    draw, words = random.Random(4), ["a", "b", " "]
+    long = ["".join(draw.choices(words, k=draw.randint(8, 20))) for _ in range(12)]
+    names = sorted({*long, "a", "b a", *[n[: len(n) // 2] for n in long]} - {""})
+    texts = sorted({draw.choice(long) + " " + draw.choice(long)[:-1] for _ in range(40)})
+    assert max(len(ATOM.findall(n)) for n in names) > nametrie.LEVELS
+    rows = nametrie.find_names(table(spark, texts, "t"), "t", table(spark, names, "n"), "n", limit).collect()
+    found = {r.t: r.mentions for r in rows}
+    assert {t: found.get(t, []) for t in texts} == {t: brute(t, names) for t in texts}
+
+
+def test_only_a_large_level_is_shuffled(spark):
+    names = table(spark, [f"Customer#{i}" for i in range(3000)], "n")
+    texts = table(spark, [f"from Customer#{i}, Customer#x" for i in range(0, 6000, 1000)], "t")
+    frame = nametrie.find_names(texts, "t", names, "n", 20_000)
+    shown = frame._jdf.queryExecution().executedPlan().toString()
+    # The first two levels have one edge each; words that all texts share would meet in one task.
+    assert shown.count("BroadcastHashJoin") >= 2
+    assert {r.t: r.mentions for r in frame.collect()} == {f"from Customer#{i}, Customer#x": [f"Customer#{i}"] for i in (0, 1000, 2000)}

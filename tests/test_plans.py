@@ -70,3 +70,8 @@ def test_affiliations_are_written_behind_the_shuffle(spark):
     shown = tables.article_lines(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     grouped = next(i for i, line in enumerate(shown) if "collect_list" in line)
     assert any("Dept" in line for line in shown[: grouped + 1]) and not any("Dept" in line for line in shown[grouped + 1 :])
+
+
+def test_lines_are_joined_once_for_all_names(spark):
+    shown = plan(QUERIES["extract_names_large"](spark, SMALL))
+    assert "lineitem.parquet" not in shown and "supplier.parquet" not in shown
