@@ -15,6 +15,8 @@ from paperloom.session import work_folder
 
 #: Edits that are forgiven.
 DISTANCE = 2
+#: Forms meant for one task; short rows become very many forms, whose number Spark cannot know.
+TASK_FORMS = 500_000
 _LATIN = [chr(c) for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]]
 _PLAIN = {c: unicodedata.normalize("NFD", c)[0].lower() for c in _LATIN}
 _ACCENTED = "".join(c for c, base in _PLAIN.items() if base.isascii() and base.isalpha())
@@ -42,8 +44,20 @@ def deletions(text: Column, most: int) -> Column:
     return F.array_distinct(forms)
 
 
-def _forms(rows: DataFrame, column: str, most: int) -> DataFrame:
-    return rows.select(column, F.explode(deletions(F.col(column), most)).alias("__form"))
+def _form_count(rows: DataFrame, column: str, most: int) -> int:
+    """How many forms the rows have at most."""
+    length = F.char_length(column).cast("double")
+    level = total = F.lit(1.0)
+    for deleted in range(most):
+        level = level * F.greatest(length - deleted, F.lit(0.0)) / (deleted + 1)
+        total = total + level
+    return int(rows.agg(F.sum(total)).first()[0] or 0)
+
+
+def _forms(rows: DataFrame, column: str, most: int, tasks: int) -> DataFrame:
+    """(column, __form), made in ``tasks`` tasks and dealt by form to as many."""
+    dealt = rows.repartition(tasks, column)
+    return dealt.select(column, F.explode(deletions(F.col(column), most)).alias("__form")).repartition(tasks, "__form")
 
 
 def nearest_names(texts: DataFrame, text: str, names: DataFrame, name: str, distance: int = DISTANCE) -> DataFrame:
@@ -54,7 +68,8 @@ def nearest_names(texts: DataFrame, text: str, names: DataFrame, name: str, dist
     NULL texts and names find nothing. Texts without such a name are absent.
 
     Both sides are reduced to distinct folded texts before forms are made of them; each distance
-    is one equality join of short forms, and its result is written before the next one.
+    is one equality join of short forms, and its result is written before the next one. A task
+    gets at most about ``TASK_FORMS`` forms, however many there are.
     """
     spark, folder = texts.sparkSession, work_folder(texts.sparkSession, "spelling")
     asked = texts.select(F.col(text).alias("text"), folded(F.col(text)).alias("__text")).where("text IS NOT NULL").distinct()
@@ -66,7 +81,9 @@ def nearest_names(texts: DataFrame, text: str, names: DataFrame, name: str, dist
     spelled = known.select("__name").distinct()
     open_texts, found = asked.select("__text").distinct(), []
     for edits in range(distance + 1):
-        pairs = _forms(open_texts, "__text", edits).join(_forms(spelled, "__name", edits), "__form")
+        count = _form_count(open_texts, "__text", edits) + _form_count(spelled, "__name", edits)
+        tasks = max(1, -(-count // TASK_FORMS))
+        pairs = _forms(open_texts, "__text", edits, tasks).join(_forms(spelled, "__name", edits, tasks).hint("merge"), "__form")
         pairs = pairs.select("__text", "__name").distinct()
         near = pairs.where(F.levenshtein("__text", "__name", edits) == edits)
         near.withColumn("distance", F.lit(edits)).write.parquet(f"{folder}/edits={edits}")

@@ -70,3 +70,16 @@ def test_names_meet_by_equality_only(spark):
     frame = spelling.nearest_names(table(spark, ["ab"], "t"), "t", table(spark, ["abc"], "n"), "n")
     shown = frame._jdf.queryExecution().toString()
     assert "CartesianProduct" not in shown and "NestedLoopJoin" not in shown and "Python" not in shown
+
+
+def test_no_task_gets_all_forms(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "TASK_FORMS", 500)
+    names = [f"Institute {i:03d}" for i in range(40)]
+    known = table(spark, names, "n")
+    count = spelling._form_count(known, "n", 2)
+    assert count == 40 * (1 + 13 + 78)
+    forms = spelling._forms(known, "n", 2, -(-count // 500))
+    assert forms.rdd.getNumPartitions() == 8
+    assert forms.rdd.glom().map(len).max() < 2000
+    found = spelling.nearest_names(table(spark, [n.replace("tut", "tu") for n in names], "t"), "t", known, "n").collect()
+    assert sorted((r.name, r.distance) for r in found) == [(n, 1) for n in names]
