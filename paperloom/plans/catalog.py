@@ -232,9 +232,10 @@ def xml_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quarantine_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Records with an unusable date, counted per kind beside the sound ones."""
+    """Records with an unusable date, counted per kind beside the sound ones; parsed once."""
     rows = _reparsed(_dated_records(spark, folder), with_problems=True)
-    sound, failed = quality.quarantine(rows.select("pmid", "problems"), "problems")
+    parsed = merge.stage(rows.select("pmid", "problems"), work_folder(spark, "checked"))
+    sound, failed = quality.quarantine(parsed, "problems")
     kinds = quality.problem_counts(failed, "problems")
     fine = sound.agg(F.lit("none").alias("problem"), F.count("*").alias("failed"))
     return kinds.unionByName(fine)

@@ -75,3 +75,7 @@ def test_affiliations_are_written_behind_the_shuffle(spark):
 def test_lines_are_joined_once_for_all_names(spark):
     shown = plan(QUERIES["extract_names_large"](spark, SMALL))
     assert "lineitem.parquet" not in shown and "supplier.parquet" not in shown
+
+
+def test_records_are_parsed_once_for_all_counts(spark):
+    assert "from_xml" not in plan(QUERIES["quarantine_counts"](spark, SMALL))
