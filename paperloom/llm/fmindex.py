@@ -6,23 +6,27 @@ at most that many words.
 
 import numpy as np
 
+from paperloom.llm.text import grams, mix
+
+#: Windows searched together: few enough for a step's arrays to stay in a core's cache.
+SEARCHES = 1 << 15
+
 
 class PackedBits:
-    """Bits in 64-bit words with the ones counted up to each word."""
+    """Bits in cells of 32, each with the ones before it in the cell's upper half, so that a rank reads one cell."""
 
     def __init__(self, bits: np.ndarray):
-        padded = np.zeros((len(bits) // 64 + 1) * 64, dtype=np.uint8)
+        padded = np.zeros((len(bits) // 32 + 1) * 32, dtype=np.uint8)
         padded[: len(bits)] = bits
-        self.words = np.packbits(padded, bitorder="little").view("<u8")
-        counts = np.cumsum(np.bitwise_count(self.words), dtype=np.int64)
-        self.before = np.concatenate(([0], counts[:-1])).astype(np.int32)
+        words = np.packbits(padded, bitorder="little").view("<u4").astype(np.int64)
+        counts = np.cumsum(np.bitwise_count(words), dtype=np.int64)
+        self.cells = (np.concatenate(([0], counts[:-1])) << 32) | words
         self.ones = int(counts[-1])
 
     def rank(self, place: np.ndarray) -> np.ndarray:
         """Ones before each place."""
-        word = place >> 6
-        low = (np.uint64(1) << (place & 63).astype(np.uint64)) - np.uint64(1)
-        return self.before[word] + np.bitwise_count(self.words[word] & low)
+        cell = self.cells[place >> 5]
+        return (cell >> 32) + np.bitwise_count(cell & ((np.int64(1) << (place & 31)) - 1))
 
 
 class WaveletMatrix:
@@ -47,26 +51,51 @@ class WaveletMatrix:
 def suffix_order(symbols: np.ndarray, length: int) -> np.ndarray:
     """Positions in the order of the ``length`` symbols that begin there; zeros follow the end.
 
-    Ranks of short runs are put together to ranks of runs up to twice as long.
+    Symbols, and then the ranks of short runs, are put together to longer runs, as many as a key
+    holds. Positions whose symbols are the same stand in any order, which no search of at most
+    ``length`` symbols sees.
     """
-    count, bits = len(symbols), max(1, int(symbols.max()).bit_length())
-    covered = min(length, 63 // bits)
-    padded = np.concatenate((symbols, np.zeros(length, dtype=np.int64)))
-    key = np.zeros(count, dtype=np.int64)
-    for step in range(covered):
-        key = (key << bits) | padded[step : step + count]
+    count, rank, covered = len(symbols), symbols, 1
     while True:
-        order = np.argsort(key, kind="stable")
-        if covered >= length:
+        bits = max(1, int(rank.max()).bit_length())
+        padded = np.concatenate((rank, np.zeros(length, dtype=np.int64)))
+        key, reach = rank, covered
+        for _ in range(63 // bits - 1):
+            # An overlap is settled by the ranks before, so together they stand for the longer run.
+            step = min(covered, length - reach)
+            place = reach + step - covered
+            key = (key << bits) | padded[place : place + count]
+            reach += step
+            if reach == length:
+                break
+        order, covered = np.argsort(key), reach
+        if covered == length:
             return order
         fresh = np.ones(count, dtype=np.int64)
         fresh[1:] = key[order[1:]] != key[order[:-1]]
         rank = np.empty(count, dtype=np.int64)
         rank[order] = np.cumsum(fresh)
-        step = min(covered, length - covered)
-        after = np.concatenate((rank[step:], np.zeros(step, dtype=np.int64)))
-        # The overlap is settled by the first rank, so the pair stands for the longer run.
-        key, covered = rank * (count + 2) + after, covered + step
+
+
+def distinct_windows(symbols: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of windows that cover all texts among ``starts``, and for each start the number of its own there.
+
+    Windows meet by a hash; one that differs from the first of its hash stands for itself.
+    """
+    if not len(starts):
+        return starts, starts
+    names = grams(mix(symbols.astype(np.uint64)), length)[starts]
+    order = np.argsort(names)
+    fresh = np.ones(len(order), dtype=bool)
+    fresh[1:] = names[order[1:]] != names[order[:-1]]
+    which = np.empty(len(order), dtype=np.int64)
+    which[order] = np.cumsum(fresh) - 1
+    texts = starts[order[fresh]]
+    odd = np.zeros(len(starts), dtype=bool)
+    for step in range(length):
+        odd |= symbols[starts + step] != symbols[texts[which] + step]
+    which[odd] = len(texts) + np.arange(odd.sum())
+    return np.concatenate((texts, starts[odd])), which
 
 
 class FmIndex:
@@ -89,7 +118,14 @@ class FmIndex:
         A window is read from its last symbol to its first. It is given up as soon as fewer than
         two places of the index match, which is only the window's own; ``matched`` counts the
         symbols up to there, and for windows matched whole ``low`` to ``high`` is their range.
+        Windows of the same symbols are searched once.
         """
+        texts, which = distinct_windows(symbols, starts, self.length)
+        found = [self._search(symbols, texts[at : at + SEARCHES]) for at in range(0, max(1, len(texts)), SEARCHES)]
+        matched, low, high = (np.concatenate(x)[which] for x in zip(*found))
+        return matched, low, high
+
+    def _search(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         count = len(starts)
         matched = np.zeros(count, dtype=np.int64)
         lows, highs = np.zeros(count, dtype=np.int64), np.zeros(count, dtype=np.int64)

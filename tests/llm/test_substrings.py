@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_rows import docs  # noqa: F401
-from paperloom.llm import substrings
+from paperloom.llm import fmindex, substrings
 from paperloom.llm.fmindex import FmIndex, WaveletMatrix, suffix_order
 
 
@@ -131,3 +131,18 @@ def spark_counter(docs):
             return max(one, other)
 
     return docs([]).sparkSession.sparkContext.accumulator(0, Largest())
+
+
+def test_windows_of_the_same_words_are_searched_once(monkeypatch):
+    passage = list(range(1, 41))
+    symbols = np.array(([*passage, 0] * 5) + [*range(50, 90), 0])
+    starts = np.concatenate([np.arange(28) + 41 * copy for copy in range(6)])
+    index, searched = fmindex.FmIndex(symbols, substrings.WINDOW), []
+    plain = index._search
+    monkeypatch.setattr(index, "_search", lambda s, at: searched.extend(at.tolist()) or plain(s, at))
+    matched, low, high = index.search(symbols, starts)
+    assert len(searched) == 2 * 28
+    assert (high - low).tolist() == [5] * 140 + [0] * 28 and (matched == substrings.WINDOW).tolist() == [True] * 140 + [False] * 28
+    # Where all hashes are alike, windows that differ are still told apart.
+    monkeypatch.setattr(fmindex, "grams", lambda words, length: np.zeros(len(words) - length + 1, dtype=np.uint64))
+    assert all((a == b).all() for a, b in zip(index.search(symbols, starts), (matched, low, high)))
