@@ -1,21 +1,18 @@
 """Connected components by alternating large-star and small-star steps."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from paperloom.session import work_folder
+from paperloom.session import stored, work_folder
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Number of edges and an order-free digest of them."""
+def _write(edges: DataFrame, folder: str, step: int) -> tuple[DataFrame, tuple]:
+    """The stored edges, with their number and an order-free digest, both taken while they are written."""
+    seen = Observation()
     digest = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    return tuple(edges.agg(F.count("*"), digest).first())
-
-
-def _write(edges: DataFrame, folder: str, step: int) -> DataFrame:
-    path = f"{folder}/step={step}"
-    edges.write.parquet(path)
-    return edges.sparkSession.read.parquet(path)
+    watched = edges.observe(seen, F.count(F.lit(1)).alias("n"), digest.alias("digest"))
+    kept = stored(watched, f"{folder}/step={step}")
+    return kept, (seen.get["n"], seen.get["digest"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,20 +35,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has two columns of one ordered type without NULL. Loops are ignored. Every step
     is written to the shared folder, which cuts the lineage; only a count and a digest of the
-    edges reach the driver. A node's neighbours are only ever aggregated, never collected.
+    edges reach the driver, observed by the write itself, and without edges there is no step. A node's neighbours are only ever aggregated, never collected.
     """
     folder = work_folder(edges.sparkSession, "components")
     left, right = edges.columns
     pairs = edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v"))
-    current = _write(pairs.where("u > v").distinct(), folder, 0)
-    state, step = _state(current), 0
-    while True:
-        step += 1
-        current = _write(_small_star(_large_star(current)), folder, step)
-        new = _state(current)
-        if new == state:
-            break
-        state = new
+    current, state = _write(pairs.where("u > v").distinct(), folder, 0)
+    old, step = None, 0
+    while state[0] and state != old:
+        old, step = state, step + 1
+        current, state = _write(_small_star(_large_star(current)), folder, step)
     members = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return members.union(roots)

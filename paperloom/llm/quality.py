@@ -171,7 +171,7 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch):
             x = features(part.column("text"), part.column("stated"))
             ends = pa.array(np.concatenate(([0], x.ends)).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(ends, pa.array(a)) for a in (x.index, x.value)]
+            lists = [pa.ListArray.from_arrays(ends, pa.array(a)) for a in (x.index.astype(np.int32), x.value)]
             own = [part.column(n) for n in ("rank", "label")]
             yield pa.RecordBatch.from_arrays([*own, *lists], ["rank", "label", "index", "value"])
 
@@ -203,7 +203,7 @@ def train(
     one = F.min(F.struct(F.xxhash64("text", "stated").alias("h"), "text", "stated", "rank")).alias("row")
     rows = joined.groupBy("__id", "label").agg(one).select("row.text", "row.stated", "row.rank", "label")
     folder = work_folder(docs.sparkSession, "fit")
-    rows.mapInArrow(_measured, "rank long, label double, index array<long>, value array<double>").write.parquet(folder)
+    rows.mapInArrow(_measured, "rank long, label double, index array<int>, value array<double>").write.parquet(folder)
     stored = docs.sparkSession.read.parquet(folder)
     # At most ``fit_rows`` sizes are put in order.
     order = Window.orderBy("rank", "label", F.xxhash64("index", "value"))
@@ -211,17 +211,19 @@ def train(
     table = stored.withColumn("held", held).where(F.col("held") <= fit_values).select("label", "index", "value").toArrow()
     if not table.num_rows:
         return FactorisationMachine(0.0, np.zeros(FEATURES), np.zeros((FEATURES, FACTORS)))
-    table = table.combine_chunks()
-    index, value = table.column("index").combine_chunks(), table.column("value").combine_chunks()
+    y = table.column("label").to_numpy()
+    index, value = (table.column(n).combine_chunks() for n in ("index", "value"))
+    del table
     sizes = pc.list_value_length(index).to_numpy()
-    x = Features(index.flatten().to_numpy(), value.flatten().to_numpy(), np.cumsum(sizes))
+    index, value, ends = index.flatten().to_numpy(), value.flatten().to_numpy(), np.cumsum(sizes)
     # Rows come in no fixed order; sorting them makes the fit repeatable.
-    y = table.column("label").to_numpy()
-    digest = np.add.reduceat(x.value * (x.index + 1.0), x.starts())
+    digest = index + 1.0
+    digest *= value
+    digest = np.add.reduceat(digest, ends - sizes)
     order = np.lexsort((digest, sizes, y))
-    starts = x.starts()
-    take = np.concatenate([np.arange(starts[i], x.ends[i]) for i in order])
-    return fit(Features(x.index[take], x.value[take], np.cumsum(sizes[order])), y[order])
+    take = np.concatenate([np.arange(ends[i] - sizes[i], ends[i], dtype=np.int32) for i in order])
+    index = index[take]
+    return fit(Features(index, value[take], np.cumsum(sizes[order])), y[order])
 
 
 def with_score(

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm.components import components
 from paperloom.llm.text import slices
-from paperloom.session import work_folder
+from paperloom.session import stored, work_folder
 
 SHINGLE_WORDS = 4
 HASH_SEED = 42
@@ -239,13 +239,10 @@ def near_duplicates(
     cost no more than the first. Fingerprints are computed once and kept as a table in the
     shared folder.
     """
-    spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "simhash")
-    with_fingerprint(docs, id_column, text, keep).write.parquet(f"{folder}/rows")
-    rows = spark.read.parquet(f"{folder}/rows")
-    rows.groupBy("fp").agg(F.min(id_column).alias("least")).write.parquet(f"{folder}/values")
-    values = spark.read.parquet(f"{folder}/values")
-    link_edges(values, radius).distinct().write.parquet(f"{folder}/edges")
-    sets = components(spark.read.parquet(f"{folder}/edges")).withColumnsRenamed({"node": "fp", "root": "group_key"})
+    folder = work_folder(docs.sparkSession, "simhash")
+    rows = stored(with_fingerprint(docs, id_column, text, keep), f"{folder}/rows")
+    values = stored(rows.groupBy("fp").agg(F.min(id_column).alias("least")), f"{folder}/values")
+    sets = components(link_edges(values, radius)).withColumnsRenamed({"node": "fp", "root": "group_key"})
     members = values.join(sets, "fp", "left").withColumn("group_key", F.coalesce("group_key", "fp"))
     ids = members.groupBy("group_key").agg(F.min("least").alias("component_id"))
     named = members.join(ids, "group_key").select("fp", "group_key", "component_id")
@@ -257,8 +254,7 @@ def near_duplicates(
 def with_row_key(docs: DataFrame) -> DataFrame:
     """The documents as stored rows, each with a number ``__key`` of its own."""
     folder = work_folder(docs.sparkSession, "rows")
-    docs.withColumn("__key", F.monotonically_increasing_id()).write.parquet(f"{folder}/keyed")
-    return docs.sparkSession.read.parquet(f"{folder}/keyed")
+    return stored(docs.withColumn("__key", F.monotonically_increasing_id()), f"{folder}/keyed")
 
 
 def first_of_each_group(rows: DataFrame, groups: DataFrame, id_column: str) -> DataFrame:

@@ -40,6 +40,12 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/paperloom/{name}-{uuid.uuid4().hex}"
 
 
+def stored(frame: DataFrame, path: str) -> DataFrame:
+    """The frame, written to ``path`` and read from there; its schema is known, so no job looks for it."""
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Spread a small scan over all cores ahead of costly expressions.
 

@@ -7,6 +7,7 @@ import xxhash
 from llm_rows import docs  # noqa: F401
 from paperloom.llm import simhash
 from paperloom.llm.components import components
+from paperloom.session import stored
 
 
 def brute_fingerprint(text):
@@ -98,3 +99,30 @@ def test_exactly_one_row_of_each_group_stays(docs):
     kept = simhash.one_of_each_group(docs(rows)).collect()
     want = [(1, one), (2, two), (2, three), (None, "no id here"), (None, "nor is there one at this place")]
     assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(want, key=str)
+
+
+def jobs_of(spark, name, work):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        out = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_stored_tables_are_read_with_the_schema_they_were_written_with(spark, tmp_path):
+    frame = spark.range(5).selectExpr("id", "cast(id as string) as name")
+    _, writing = jobs_of(spark, "write alone", lambda: frame.write.parquet(str(tmp_path / "a")))
+    kept, both = jobs_of(spark, "write and read", lambda: stored(frame, str(tmp_path / "b")))
+    assert both == writing and sorted(kept.collect()) == sorted(frame.collect())
+
+
+def test_components_take_their_state_while_they_write(spark, tmp_path, monkeypatch):
+    """One query for a step, and none beyond the first write where there are no edges."""
+    written = []
+    monkeypatch.setattr("paperloom.llm.components.stored", lambda frame, path: written.append(path) or stored(frame, path))
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0 and len(written) == 1
+    written.clear()
+    edges = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (7, 7)], "a long, b long")
+    assert sorted(map(tuple, components(edges).collect())) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)]
+    assert len(written) >= 2
