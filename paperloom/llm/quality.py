@@ -222,8 +222,10 @@ def train(
     digest = np.add.reduceat(digest, ends - sizes)
     order = np.lexsort((digest, sizes, y))
     take = np.concatenate([np.arange(ends[i] - sizes[i], ends[i], dtype=np.int32) for i in order])
-    index = index[take]
-    return fit(Features(index, value[take], np.cumsum(sizes[order])), y[order])
+    chosen_rows = Features(index[take], value[take], np.cumsum(sizes[order]))
+    del index, value, digest, take
+    pa.default_memory_pool().release_unused()
+    return fit(chosen_rows, y[order])
 
 
 def with_score(

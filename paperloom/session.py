@@ -2,8 +2,10 @@
 
 import re
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "8", app: str = "paperloom", **conf: str) -> SparkSession:
@@ -46,6 +48,12 @@ def stored(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def counted(frame: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
+    """The frame, and what gives the number of its rows once it has been written."""
+    seen = Observation()
+    return frame.observe(seen, F.count(F.lit(1)).alias("n")), lambda: seen.get["n"]
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Spread a small scan over all cores ahead of costly expressions.
 

@@ -6,7 +6,7 @@ import xxhash
 
 from llm_rows import docs  # noqa: F401
 from paperloom.llm import simhash
-from paperloom.llm.components import components
+from paperloom.llm.components import components, join_sets
 from paperloom.session import stored
 
 
@@ -126,3 +126,24 @@ def test_components_take_their_state_while_they_write(spark, tmp_path, monkeypat
     edges = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (7, 7)], "a long, b long")
     assert sorted(map(tuple, components(edges).collect())) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)]
     assert len(written) >= 2
+
+
+def test_stars_take_no_step_and_a_step_few_jobs(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr("paperloom.llm.components.stored", lambda frame, path: written.append(path) or stored(frame, path))
+    stars = spark.createDataFrame([(1, i) for i in range(2, 30)] + [(40, 41)], "a long, b long")
+    found, jobs = jobs_of(spark, "stars", lambda: {r.node: r.root for r in components(stars).collect()})
+    assert found == {i: 1 for i in range(1, 30)} | {40: 40, 41: 40} and len(written) == 1
+    chain = spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")
+    _, more = jobs_of(spark, "chain", lambda: components(chain).collect())
+    assert len(written) == 3 and more - jobs <= 9
+
+
+def test_sets_are_joined_by_links_of_old_and_new_nodes(spark):
+    draw = random.Random(5)
+    for links in ([], [(3, 3)], [(draw.randrange(60), draw.randrange(60)) for _ in range(15)]):
+        edges = [(draw.randrange(40), draw.randrange(40)) for _ in range(20)]
+        frames = [spark.createDataFrame(e, "a long, b long") for e in (edges, links)]
+        want = {r.node: r.root for r in components(frames[0].union(frames[1])).collect()}
+        rows = join_sets(components(frames[0]), frames[1]).collect()
+        assert {r.node: r.root for r in rows} == want and len(rows) == len(want)
