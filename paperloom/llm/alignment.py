@@ -31,6 +31,10 @@ BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_TOKENIZER = "piece_bpe_32k.model"
 #: Bytes of text whose pairs are looked up together; a longer text is a chunk of its own.
 CHUNK_TEXT = 8 << 20
+#: Links or pairs, and documents, that one stored row of a chunk has; readers and writers hold thousands of rows at once.
+ROW_LINKS, ROW_DOCUMENTS = 512, 64
+#: Stored rows of a chunk that are handed on together.
+ROWS_AT_ONCE = 512
 #: Links of a group from which on its equal tokens are put together first.
 WIDE_GROUP = 4096
 RESULT = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
@@ -262,6 +266,7 @@ def _chunk_type(kind: T.DataType) -> T.StructType:
     return T.StructType(
         [
             T.StructField("chunk", T.LongType()),
+            T.StructField("part", T.LongType()),
             T.StructField("rows", T.ArrayType(T.StructType(row))),
             T.StructField("sizes", T.ArrayType(T.LongType())),
             T.StructField("slots", T.ArrayType(T.IntegerType())),
@@ -272,8 +277,12 @@ def _chunk_type(kind: T.DataType) -> T.StructType:
     )
 
 
-def _chunk(number: int, ids: list[pa.Array], found: list[dict]) -> pa.RecordBatch:
-    """One row for some documents: their numbers, and their links as slots in a list of distinct pairs."""
+def _chunk(number: int, ids: list[pa.Array], found: list[dict]) -> Iterator[pa.RecordBatch]:
+    """Some documents' numbers, and their links as slots in a list of distinct pairs, dealt out over rows.
+
+    Each column is one list, cut into the rows' cells in the order of ``part``; slots count from the
+    chunk's first pair.
+    """
     joined = {n: np.concatenate([f[n] for f in found]) for n in (*RESULT[:4], "pairs", "times", "sizes")}
     pairs, slots = np.unique(joined["pairs"], return_inverse=True)
     slots = slots.reshape(-1)
@@ -281,24 +290,27 @@ def _chunk(number: int, ids: list[pa.Array], found: list[dict]) -> pa.RecordBatc
     numbers = [pa.array(joined[n], pa.int64()) for n in RESULT[:4]]
     digests = pa.array([d for f in found for d in f["digest"]], pa.string())
     rows = pa.StructArray.from_arrays([all_ids, *numbers, digests], ["id", *RESULT[:4], "digest"])
+    count = max(-(-len(rows) // ROW_DOCUMENTS), -(-len(slots) // ROW_LINKS))
 
-    def cell(values: pa.Array) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    def cells(values: pa.Array, each: int) -> pa.Array:
+        ends = np.minimum(np.arange(count + 1) * each, len(values))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
     columns = {
-        "chunk": pa.array([number], pa.int64()),
-        "rows": cell(rows),
-        "sizes": cell(pa.array(joined["sizes"], pa.int64())),
-        "slots": cell(pa.array(slots, pa.int32())),
-        "times": cell(pa.array(joined["times"], pa.int64())),
-        "pairs": cell(pa.array(pairs, pa.int64())),
-        "holders": cell(pa.array(np.bincount(slots, minlength=len(pairs)), pa.int64())),
+        "chunk": pa.array(np.full(count, number), pa.int64()),
+        "part": pa.array(np.arange(count), pa.int64()),
+        "rows": cells(rows, ROW_DOCUMENTS),
+        "sizes": cells(pa.array(joined["sizes"], pa.int64()), ROW_DOCUMENTS),
+        "slots": cells(pa.array(slots, pa.int32()), ROW_LINKS),
+        "times": cells(pa.array(joined["times"], pa.int64()), ROW_LINKS),
+        "pairs": cells(pa.array(pairs, pa.int64()), ROW_LINKS),
+        "holders": cells(pa.array(np.bincount(slots, minlength=len(pairs)), pa.int64()), ROW_LINKS),
     }
-    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+    return iter(pa.Table.from_arrays(list(columns.values()), list(columns)).to_batches(ROWS_AT_ONCE))
 
 
 def aligned_chunks(docs: DataFrame, id_column: str, text: str, byte_path: str, piece_path: str, chunk_text: int) -> DataFrame:
-    """Aligned documents, many to a row; a task's rows are numbered by its partition and in it."""
+    """Aligned documents, many to a chunk, which is several rows; a task's chunks are numbered by its partition and in it."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = AlignedPieces(byte_path, piece_path)
@@ -311,10 +323,10 @@ def aligned_chunks(docs: DataFrame, id_column: str, text: str, byte_path: str, p
                 ids.append(part.column(id_column))
                 size += int(pc.sum(pc.binary_length(column)).as_py() or 0)
                 if size >= chunk_text:
-                    yield _chunk(number, ids, found)
+                    yield from _chunk(number, ids, found)
                     number, size, ids, found = number + 1, 0, [], []
         if found:
-            yield _chunk(number, ids, found)
+            yield from _chunk(number, ids, found)
 
     return docs.select(id_column, text).mapInArrow(align, _chunk_type(docs.schema[id_column].dataType))
 
@@ -347,17 +359,20 @@ def align_tokenizers(
     repeated. A NULL or empty text, and one that either tokenizer does not spell byte for byte,
     has no tokens: zeros and an empty string. Further columns are not in the result.
 
-    What is kept of a document is one entry per distinct link. A chunk's distinct pairs meet their
+    What is kept of a document is one entry per distinct link, in rows of bounded size, so that a
+    task may have any number of chunks. A chunk's distinct pairs meet their
     counts by a join on the pair, so a pair is asked for once per chunk and never broadcast.
     """
     spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "alignment")
     paths = [byte_tokenizer or str(public_tokenizers.path(BYTE_TOKENIZER)), piece_tokenizer or str(public_tokenizers.path(PIECE_TOKENIZER))]
     aligned_chunks(docs, id_column, text, *paths, chunk_text).write.parquet(f"{folder}/chunks")
     chunks = spark.read.parquet(f"{folder}/chunks")
-    asked = chunks.select("chunk", F.posexplode("pairs").alias("slot", "pair"))
+    asked = chunks.select("chunk", "part", F.posexplode("pairs").alias("at", "pair"))
+    asked = asked.select("chunk", "pair", (F.col("part") * ROW_LINKS + F.col("at")).alias("slot"))
     answers = asked.join(pair_counts(chunks), "pair").select("chunk", "slot", "holders", "best")
 
     def settle(own: pa.Table, scores: pa.Table) -> pa.Table:
+        own = own.sort_by("part")
         row = {n: own.column(n).combine_chunks().flatten() for n in ("rows", "sizes", "slots", "times")}
         slots, times, sizes = (row[n].to_numpy() for n in ("slots", "times", "sizes"))
         holders, best = np.zeros(scores.num_rows, dtype=np.int64), np.zeros(scores.num_rows, dtype=np.int64)
@@ -374,5 +389,5 @@ def align_tokenizers(
     schema = T.StructType(
         [T.StructField(id_column, kind), *[T.StructField(n, T.LongType()) for n in RESULT], T.StructField("groups_sha256", T.StringType())]
     )
-    narrow = spark.read.parquet(f"{folder}/chunks").select("chunk", "rows", "sizes", "slots", "times")
+    narrow = spark.read.parquet(f"{folder}/chunks").select("chunk", "part", "rows", "sizes", "slots", "times")
     return narrow.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(settle, schema)

@@ -89,6 +89,21 @@ def test_odd_texts_equal_brute_force(docs, tokens, chunk_text):
     assert found(alignment.align_tokenizers(frame, chunk_text=chunk_text)) == brute(rows, tokens)
 
 
+def test_a_chunk_is_many_small_rows(docs, tokens, tmp_path):
+    """Readers hold thousands of rows at once, so none may be as large as a chunk."""
+    draw = random.Random(7)
+    rows = [(i, " ".join(f"w{draw.random()}" for _ in range(40))) for i in range(200)] + [(900, "far and wide " * 3000)]
+    frame = docs(rows).coalesce(1)
+    paths = [str(public_tokenizers.path(n)) for n in (alignment.BYTE_TOKENIZER, alignment.PIECE_TOKENIZER)]
+    alignment.aligned_chunks(frame, "doc_id", "text", *paths, alignment.CHUNK_TEXT).write.parquet(str(tmp_path / "chunks"))
+    parts = frame.sparkSession.read.parquet(str(tmp_path / "chunks")).orderBy("part").collect()
+    assert len({r.chunk for r in parts}) == 1
+    assert max(len(r[n]) for r in parts for n in ("slots", "times", "pairs", "holders")) == 512
+    assert max(len(r[n]) for r in parts for n in ("rows", "sizes")) == 64
+    assert sum(len(r.rows) for r in parts) == len(rows) and sum(n for r in parts for n in r.sizes) == sum(len(r.slots) for r in parts)
+    assert found(alignment.align_tokenizers(frame)) == brute(rows, tokens)
+
+
 def test_query_equals_brute_force(spark, tokens):
     folder = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
