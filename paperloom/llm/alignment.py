@@ -157,7 +157,7 @@ class AlignedPieces(PieceBook):
         self.good = Ragged(np.bool_)
 
     def held(self) -> int:
-        return self.pairs.used + self.a.used
+        return sum(kept.used for kept in (self.a, self.b, self.group_a, self.group_b, self.pairs, self.times))
 
     def learn(self, pieces: list[bytes], carried: np.ndarray, joinable: np.ndarray) -> None:
         a, count_a = self.left.encode(pieces, carried, joinable)
