@@ -16,18 +16,21 @@ from paperloom.operators.lookup import BROADCAST_BYTES, attach
 PART = "batch"
 # Room for one key of an id type in a broadcast table.
 KEY_BYTES = 48
+#: How staged and landed rows are compressed.
+STAGED = "zstd"
 
 
 def stage(df: DataFrame, path: str, schema: str | None = None) -> DataFrame:
     """Replace the staging table with this batch and read it back.
 
-    With ``schema`` the batch must have exactly those columns and types.
+    With ``schema`` the batch must have exactly those columns and types. Staged rows are read
+    once or twice and kept for that, so they are packed more tightly than a table for readers.
     """
     if schema is not None:
         expected = T.StructType.fromDDL(schema)
         if [(f.name, f.dataType) for f in df.schema] != [(f.name, f.dataType) for f in expected]:
             raise ValueError(f"batch schema differs: {df.schema.simpleString()}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", STAGED).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

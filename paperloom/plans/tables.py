@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperloom.constants import CHARACTERISTICS
+from paperloom.operators.lookup import BROADCAST_BYTES, measured_bytes
 from paperloom.operators.places import Gazetteers
 from paperloom.operators.rollup import ordered_entries
 from paperloom.operators.scoring import TermLabels, TermModel
@@ -128,14 +129,23 @@ def with_journal_country(orders: DataFrame, folder: str) -> DataFrame:
     return rows.drop("n_nationkey", "o_custkey")
 
 
-def author_lines(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
-    """One row per author position with the institution and its country."""
+def bare_lines(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
+    """One row per author position."""
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", *AUTHOR_ORDER, "l_returnflag", "l_linestatus"
     )
-    lines = spread(lines) if costly else lines
-    sited = lines.join(suppliers(spark, folder), "l_suppkey", "left")
-    return sited.join(nations(spark, folder), "n_nationkey", "left").drop("n_nationkey")
+    return spread(lines) if costly else lines
+
+
+def with_sites(lines: DataFrame, folder: str, sites: DataFrame) -> DataFrame:
+    """Add the institution and its country to rows with an ``l_suppkey``."""
+    sited = lines.join(sites, "l_suppkey", "left")
+    return sited.join(nations(lines.sparkSession, folder), "n_nationkey", "left").drop("n_nationkey")
+
+
+def author_lines(spark: SparkSession, folder: str, costly: bool = False) -> DataFrame:
+    """One row per author position with the institution and its country."""
+    return with_sites(bare_lines(spark, folder, costly), folder, suppliers(spark, folder))
 
 
 def second_countries(spark: SparkSession, folder: str) -> DataFrame:
@@ -242,13 +252,20 @@ def article_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Everything an article record takes from its line items, one row per order.
 
     The lists are the article's own authors, subjects and references, which one record
-    holds as a whole. The affiliations are written out behind the shuffle, from fields that
-    are shorter than the texts.
+    holds as a whole. Names of institutions and countries are looked up, and the affiliations
+    written out, behind the shuffles, which move the keys; institutions too large to broadcast
+    would need a shuffle of their own there and are joined first.
     """
     parts = table(spark, folder, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_size"
     )
-    lines = two_country_lines(spark, folder).join(parts, "l_partkey", "left")
+    lines, sites = bare_lines(spark, folder, costly=True), suppliers(spark, folder)
+    if measured_bytes(sites) <= BROADCAST_BYTES:
+        moved = lines.join(parts, "l_partkey", "left").repartition("l_orderkey")
+        lines = with_sites(moved, folder, F.broadcast(sites))
+    else:
+        lines = with_sites(lines, folder, sites).join(parts, "l_partkey", "left")
+    lines = lines.join(F.broadcast(second_countries(spark, folder)), "l_linenumber", "left")
     subjects = ["p_name", "p_type", "p_size", "l_returnflag", "l_linestatus"]
     values = ["s_name", "country", "country_2", *subjects]
     listed = ordered_entries(lines, "l_orderkey", AUTHOR_ORDER, values, "lines")

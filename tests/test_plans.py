@@ -3,7 +3,7 @@
 import pytest
 from conftest import SMALL
 
-from paperloom.operators import rollup
+from paperloom.operators import merge, rollup
 from paperloom.plans import tables
 from paperloom.plans.catalog import QUERIES
 from paperloom.plans.tables import table
@@ -72,6 +72,15 @@ def test_affiliations_are_written_behind_the_shuffle(spark):
     assert any("Dept" in line for line in shown[: grouped + 1]) and not any("Dept" in line for line in shown[grouped + 1 :])
 
 
+def test_names_of_institutions_are_looked_up_behind_the_shuffle(spark, tmp_path):
+    shown = plan(tables.article_lines(spark, SMALL))
+    moved = [part for part in shown.split("\n\n") if "Arguments: hashpartitioning(l_orderkey" in part]
+    assert len(moved) == 1 and "p_name" in moved[0]
+    assert "s_name" not in moved[0] and "country" not in moved[0]
+    staged = merge.stage(spark.range(3), str(tmp_path / "staged"))
+    assert all("zstd" in name for name in staged.inputFiles())
+
+
 def test_lines_are_joined_once_for_all_names(spark):
     shown = plan(QUERIES["extract_names_large"](spark, SMALL))
     assert "lineitem.parquet" not in shown and "supplier.parquet" not in shown
