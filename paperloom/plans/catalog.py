@@ -697,7 +697,7 @@ def _landed_articles(spark: SparkSession, folder: str) -> str:
     """All orders parsed and landed: those of the loaded time on one day, the others on the next."""
     landed = work_folder(spark, "landed")
     arrived = F.when(F.col("pubmed_date") <= F.lit(LOADED_UNTIL), F.lit(LOADED_UNTIL)).otherwise(F.lit(TODAY))
-    articles.land(_parsed_articles(spark, folder), landed, arrived, "all")
+    articles.land(_parsed_articles(spark, folder), landed, arrived, "all", dealt=True)
     return landed
 
 

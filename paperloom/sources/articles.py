@@ -13,6 +13,7 @@ from paperloom import constants, schemas
 from paperloom.functions import record
 from paperloom.functions.terms import minimal_terms
 from paperloom.functions.text import slashed_date
+from paperloom.operators.merge import STAGED
 from paperloom.streaming.ledger import sink_token
 
 ARRIVED, STATE, BATCH = "landed_on", "state", "batch"
@@ -123,17 +124,19 @@ def _split_state(articles: DataFrame, arrived: date | Column) -> DataFrame:
     return articles.withColumns({STATE: state, ARRIVED: F.lit(arrived)})
 
 
-def land(articles: DataFrame, path: str, arrived: date | Column, batch: str) -> None:
+def land(articles: DataFrame, path: str, arrived: date | Column, batch: str, dealt: bool = False) -> None:
     """Write articles to the landing table as the partition ``batch``, replacing that batch.
 
     Records are parsed once, here, and filed by the day they arrive, so an article without a
     date or with an old one is found by the next run like any other. Articles with problems
     (an unreadable record, id or date) are kept beside the sound ones, see ``read_rejected``.
     The rows are dealt out by their id, so that a day is read by many tasks: the rebalance hint
-    splits what is too large and joins what is small, down to one file per core.
+    splits what is too large and joins what is small, down to one file per core. Rows that come from
+    a shuffle by the id are ``dealt`` already: whole articles are then not moved a second time.
     """
-    rows = _split_state(articles, arrived).hint("rebalance", F.col("pmid"))
-    writer = rows.write.mode("overwrite").partitionBy(ARRIVED, STATE)
+    rows = _split_state(articles, arrived)
+    rows = rows if dealt else rows.hint("rebalance", F.col("pmid"))
+    writer = rows.write.mode("overwrite").option("compression", STAGED).partitionBy(ARRIVED, STATE)
     writer.parquet(f"{path.rstrip('/')}/{BATCH}={batch}")
 
 

@@ -262,3 +262,16 @@ def test_landing_days_are_pruned_and_every_article_arrives(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(state" in shown and "landed_on" in shown
     assert articles.read_landed(spark, path).count() == 3
     assert [r.problems for r in articles.read_rejected(spark, path).collect()] == [["pmid"]]
+
+
+def test_rows_that_were_dealt_out_already_are_landed_where_they_are(spark, tmp_path):
+    rows = [(i if i % 10 else None, date(2024, 1, 1)) for i in range(60)]
+    frame = full_articles(spark.createDataFrame(rows, "pmid long, pubmed_date date")).repartition(6, "pmid")
+    sets = []
+    for dealt in (False, True):
+        path = str(tmp_path / f"landed{dealt}")
+        articles.land(frame, path, date(2024, 1, 2), "a", dealt=dealt)
+        found = articles.read_landed(spark, path)
+        sets.append((sorted(r.pmid for r in found.collect()), articles.read_rejected(spark, path).count()))
+        assert sum("state=sound" in name for name in found.inputFiles()) == (6 if dealt else 1)
+    assert sets[0] == sets[1] and sets[0][1] == 6
