@@ -436,11 +436,10 @@ def place_spelling(spark: SparkSession, folder: str) -> DataFrame:
 
 def extract_names_large(spark: SparkSession, folder: str) -> DataFrame:
     """Every part, customer and supplier named in the texts of all line items, which are joined together once."""
-    lines = merge.stage(tables.trade_lines(spark, folder), work_folder(spark, "trade"))
+    lines = tables.trade_lines(spark, folder)
     parts = table(spark, folder, "part").select(F.col("p_name").alias("name"))
     people = table(spark, folder, "customer").select("c_name").union(table(spark, folder, "supplier").select("s_name"))
-    found = nametrie.find_names(lines, "text", parts.union(people).distinct(), "name")
-    named = lines.join(found, "text", "left")
+    named = nametrie.with_names(lines, "text", parts.union(people).distinct(), "name")
     return named.select(*LINE, F.array_join("mentions", "|").alias("names"))
 
 

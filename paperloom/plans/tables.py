@@ -197,8 +197,10 @@ def trade_lines(spark: SparkSession, folder: str) -> DataFrame:
     parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     buyers = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
     people = table(spark, folder, "customer").select("c_custkey", "c_name")
+    # Orders are fewer than their lines, so the buyers' names are joined to them.
+    buyers = buyers.join(people, "c_custkey", "left").drop("c_custkey")
     lines = table(spark, folder, "lineitem").select("l_orderkey", *AUTHOR_ORDER)
-    named = lines.join(parts, "l_partkey", "left").join(buyers, "l_orderkey", "left").join(people, "c_custkey", "left")
+    named = lines.join(parts, "l_partkey", "left").join(buyers, "l_orderkey", "left")
     sold = named.join(suppliers(spark, folder).drop("n_nationkey"), "l_suppkey", "left")
     text = F.concat(
         F.lit("Lot of "), F.col("p_name"), F.lit(" and other "), F.col("p_name"), F.lit("s to "), F.col("c_name"),

@@ -2,6 +2,7 @@ import random
 import regex
 
 import pytest
+from pyspark.sql import functions as F
 
 from paperloom.functions.text import WORD
 from paperloom.operators import nametrie
@@ -77,3 +78,22 @@ def test_only_a_large_level_is_shuffled(spark):
     # The first two levels have one edge each; words that all texts share would meet in one task.
     assert shown.count("BroadcastHashJoin") >= 2
     assert {r.t: r.mentions for r in frame.collect()} == {f"from Customer#{i}, Customer#x": [f"Customer#{i}"] for i in (0, 1000, 2000)}
+
+
+@pytest.mark.parametrize("limit", [1 << 25, 0])
+def test_rows_keep_their_mentions_without_moving_texts(spark, tmp_path, limit):
+    draw = random.Random(3)
+    parts, names = ["New", "York", "a", " ", "#", "1"], ["New York", "a", "York#1", "New York a"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 12))) for _ in range(80)] + [None, ""]
+    rows = [(i, text) for i, text in enumerate([*texts, *texts[:9], None, None])] + [(0, texts[0]), (None, "a New York"), (None, None)]
+    spark.createDataFrame(rows, "n long, t string").write.parquet(str(tmp_path / "rows"))
+    read = spark.read.parquet(str(tmp_path / "rows"))
+    frame = nametrie.with_names(read, "t", table(spark, names, "name"), "name", limit_bytes=limit)
+    shown = frame._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert frame.columns == ["n", "mentions"]
+    want = [(i, brute(text, names) or None if text else None) for i, text in rows]
+    assert sorted(map(str, want)) == sorted(str((r.n, r.mentions)) for r in frame.collect())
+    # The texts were moved when their rows were numbered, and are not moved again.
+    moved = [part for part in shown.split("\n\n") if "Arguments: hashpartitioning(" in part]
+    assert moved and not any("hashpartitioning(t#" in part or "__text" in part or " text#" in part for part in moved)
+    assert nametrie.with_names(frame.select("n", F.lit(None).cast("string").alias("t")), "t", table(spark, [""], "x"), "x").count() == len(rows)
